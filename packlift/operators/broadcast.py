@@ -1,0 +1,41 @@
+"""Broadcast only what has been counted.
+
+The optimizer's size estimates for derived relations (after filters, joins,
+aggregates) are guesses. ``sized_broadcast`` counts the rows of the candidate
+side first and hints a broadcast only under a row limit; above it the join
+stays a shuffle join, where AQE's skew-join splitting guards hot keys.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_ROWS_CONF = "packlift.broadcast.maxRows"
+DEFAULT_MAX_ROWS = 2_000_000
+
+
+def max_broadcast_rows(df: DataFrame) -> int:
+    try:
+        return int(df.sparkSession.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS)))
+    except Exception:  # noqa: BLE001 - a bad setting falls back to the default
+        return DEFAULT_MAX_ROWS
+
+
+def sized_broadcast(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
+    """Return ``(df, True)`` with a broadcast hint if ``df`` has at most
+    ``max_rows`` rows, else ``(df, False)`` unchanged.
+
+    The count runs a job over ``df`` only (a small dimension or an aggregate of
+    one); ``limit(max_rows + 1)`` stops it early when the side is large.
+    """
+    limit = max_rows if max_rows is not None else max_broadcast_rows(df)
+    n = df.limit(limit + 1).count()
+    if n <= limit:
+        return F.broadcast(df), True
+    return df, False
+
+
+def small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """``sized_broadcast`` without the flag."""
+    return sized_broadcast(df, max_rows)[0]
