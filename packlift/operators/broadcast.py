@@ -8,6 +8,7 @@ stays a shuffle join, where AQE's skew-join splitting guards hot keys.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,13 +27,17 @@ def sized_broadcast(df: DataFrame, max_rows: int | None = None) -> tuple[DataFra
     """Return ``(df, True)`` with a broadcast hint if ``df`` has at most
     ``max_rows`` rows, else ``(df, False)`` unchanged.
 
-    The count runs a job over ``df`` only (a small dimension or an aggregate of
-    one); ``limit(max_rows + 1)`` stops it early when the side is large.
+    The candidate is persisted first, so the count and the broadcast build
+    read one computation of it (cached blocks lost with an executor are
+    recomputed from lineage); ``limit(max_rows + 1)`` stops the count early
+    when the side is large, and a side that is too large is released again.
     """
     limit = max_rows if max_rows is not None else max_broadcast_rows(df)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.limit(limit + 1).count()
     if n <= limit:
         return F.broadcast(df), True
+    df.unpersist()
     return df, False
 
 

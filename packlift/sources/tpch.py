@@ -9,12 +9,15 @@ DataFrame work and scales with the source tables: the sales fact grows with
 
 from __future__ import annotations
 
+import hashlib
+from dataclasses import fields
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packlift.sources.tables import PromoTables
+from packlift.session import ensure_checkpoint_dir
+from packlift.sources.tables import PromoTables, load_warehouse, write_sales_layout
 
 # ---------------------------------------------------------------------------
 # Fixed values of the fixture formulas
@@ -190,8 +193,8 @@ def derive_entity(customer: DataFrame) -> DataFrame:
     )
 
 
-def load_tpch(spark: SparkSession, sf_dir: str) -> PromoTables:
-    """Build every report input from the test tables in ``sf_dir``."""
+def derive_tpch(spark: SparkSession, sf_dir: str) -> PromoTables:
+    """Every report input as a DataFrame over the test tables in ``sf_dir``."""
     lineitem = _read(spark, sf_dir, "lineitem")
     orders = _read(spark, sf_dir, "orders")
     part = _read(spark, sf_dir, "part")
@@ -214,3 +217,60 @@ def load_tpch(spark: SparkSession, sf_dir: str) -> PromoTables:
         promo_type=derive_promo_type(_read(spark, sf_dir, "region")),
         entity=derive_entity(_read(spark, sf_dir, "customer")),
     )
+
+
+SOURCES = ("lineitem", "orders", "part", "nation", "region", "customer")
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Name of the stored copy: the source paths with their sizes and times."""
+    h = hashlib.sha1(sf_dir.encode())
+    for name in SOURCES:
+        fs, p = _fs(spark, f"{sf_dir}/{name}.parquet")
+        st = fs.getContentSummary(p)
+        h.update(f"{name}:{st.getLength()}:{fs.getFileStatus(p).getModificationTime()}".encode())
+    return h.hexdigest()[:16]
+
+
+def store_tpch(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Write the derived inputs under ``root`` in the warehouse layout (the
+    sales fact partitioned by year), then a completion marker."""
+    t = derive_tpch(spark, sf_dir)
+    for f in fields(t):
+        df = getattr(t, f.name)
+        if f.name == "sale":
+            write_sales_layout(df, f"{root}/sale")
+        else:
+            df.write.mode("overwrite").parquet(f"{root}/{f.name}")
+    fs, p = _fs(spark, f"{root}/_COMPLETE")
+    fs.create(p, True).close()
+
+
+def load_tpch(spark: SparkSession, sf_dir: str, stored: bool = True) -> PromoTables:
+    """Report inputs for the test tables in ``sf_dir``.
+
+    ``stored=True`` (default): derived once and written to the shared
+    checkpoint folder (``spark.checkpoint.dir``) in the warehouse layout, then
+    read from there, as reports read warehouse tables; later calls with the
+    same, unchanged source files reuse the copy. ``stored=False``: the
+    derivation itself, as one lazy plan per table.
+    """
+    if not stored:
+        return derive_tpch(spark, sf_dir)
+    ckpt = ensure_checkpoint_dir(spark)
+    key = (ckpt, sf_dir)
+    root = _STORED.get(key)
+    if root is None:
+        root = f"{ckpt.rstrip('/')}/packlift-inputs/{_fingerprint(spark, sf_dir)}"
+        fs, marker = _fs(spark, f"{root}/_COMPLETE")
+        if not fs.exists(marker):
+            store_tpch(spark, sf_dir, root)
+        _STORED[key] = root
+    return load_warehouse(spark, root)
