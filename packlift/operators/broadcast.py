@@ -1,13 +1,23 @@
 """Broadcast only what has been counted.
 
 The optimizer's size estimates for derived relations (after filters, joins,
-aggregates) are guesses. ``sized_broadcast`` counts the rows of the candidate
-side first and hints a broadcast only under a row limit; above it the join
-stays a shuffle join, where AQE's skew-join splitting guards hot keys.
+aggregates) are guesses. Here a candidate build side is counted first and
+hinted for broadcast only under a row limit (``packlift.broadcast.maxRows``);
+above it the join stays a shuffle join, where AQE's skew-join splitting
+guards hot keys.
+
+Candidates are persisted before they are counted, so the count and the
+broadcast build read one computation (cached blocks lost with an executor are
+recomputed from lineage); a candidate over the limit is released. Several
+candidates are counted in one job: a union of global counts, each with
+map-side partial counts, so a large candidate costs one distributed scan and
+never funnels rows into a single task.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,22 +33,41 @@ def max_broadcast_rows(df: DataFrame) -> int:
         return DEFAULT_MAX_ROWS
 
 
+def count_rows(*dfs: DataFrame) -> list[int]:
+    """Row counts of several frames in one job."""
+    parts = [d.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n") for i, d in enumerate(dfs)]
+    got = dict(tuple(r) for r in reduce(DataFrame.unionByName, parts).collect())
+    return [got[i] for i in range(len(dfs))]
+
+
+def hint_if(df: DataFrame, n: int, limit: int) -> DataFrame:
+    return F.broadcast(df) if n <= limit else df
+
+
+def small_many(*dfs: DataFrame, max_rows: int | None = None) -> list[DataFrame]:
+    """Each frame with a broadcast hint if it has at most ``max_rows`` rows."""
+    if not dfs:
+        return []
+    limit = max_rows if max_rows is not None else max_broadcast_rows(dfs[0])
+    held = [d.persist(StorageLevel.MEMORY_AND_DISK) for d in dfs]
+    out = []
+    for d, n in zip(held, count_rows(*held)):
+        if n > limit:
+            d.unpersist()
+        out.append(hint_if(d, n, limit))
+    return out
+
+
 def sized_broadcast(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """Return ``(df, True)`` with a broadcast hint if ``df`` has at most
-    ``max_rows`` rows, else ``(df, False)`` unchanged.
-
-    The candidate is persisted first, so the count and the broadcast build
-    read one computation of it (cached blocks lost with an executor are
-    recomputed from lineage); ``limit(max_rows + 1)`` stops the count early
-    when the side is large, and a side that is too large is released again.
-    """
+    """``(df, True)`` with a broadcast hint if ``df`` is counted small, else
+    ``(df, False)``."""
     limit = max_rows if max_rows is not None else max_broadcast_rows(df)
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.limit(limit + 1).count()
-    if n <= limit:
-        return F.broadcast(df), True
-    df.unpersist()
-    return df, False
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = count_rows(held)[0]
+    if n > limit:
+        held.unpersist()
+        return held, False
+    return F.broadcast(held), True
 
 
 def small(df: DataFrame, max_rows: int | None = None) -> DataFrame:

@@ -30,15 +30,22 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from packlift.operators.broadcast import sized_broadcast, small
+from packlift.operators.broadcast import sized_broadcast
 from packlift.operators.pairs import PAIR_KEYS
 
 EXC_KEYS = ["id_client", "tin_buyer", "id_common_sku"]
 
 
-def exceptions_common_sku(exc: DataFrame, sku: DataFrame) -> DataFrame:
-    """Exception rows with the common SKU of their SKU (inner join)."""
-    return exc.join(small(sku.select("id_sku", "id_common_sku")), "id_sku").select(
+def exceptions_common_sku(exc: DataFrame, sku_side: DataFrame, clients: tuple[int, ...] | None = None) -> DataFrame:
+    """Exception rows with the common SKU of their SKU (inner join).
+
+    ``sku_side`` is (id_sku, id_common_sku), already sized; a report passes
+    only its pairs' SKUs, and ``clients`` its pairs' clients, since no other
+    exception can meet one of its sales.
+    """
+    if clients is not None:
+        exc = exc.where(F.col("id_client").isin(list(clients)))
+    return exc.join(sku_side, "id_sku").select(
         "id_client", "id_sku", "tin_buyer", "start_date", "end_date", "id_common_sku")
 
 
@@ -101,13 +108,12 @@ def legacy_lists(exc_cs: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFr
     ``null_listed`` (the list holds a NULL TIN); ``listed``: distinct
     (pair, TIN) with a non-NULL TIN on the list. The list of a pair holds the
     TINs of exceptions of its client and common SKU whose interval covers the
-    promo start. The pair table is small and broadcast; the exception list
-    streams past it.
+    promo start. ``pairs`` is the (distinct, sized) pair table; the exception
+    list streams past it.
     """
-    p = small(pairs.select(*PAIR_KEYS).distinct())
     hit = (exc_cs.select("id_client", "id_common_sku", "tin_buyer",
                          F.col("start_date").alias("exc_start"), F.col("end_date").alias("exc_end"))
-           .join(p, ["id_client", "id_common_sku"])
+           .join(pairs.select(*PAIR_KEYS), ["id_client", "id_common_sku"])
            .where(F.col("start_date").between(F.col("exc_start"), F.col("exc_end"))))
     pair_flags = hit.groupBy(*PAIR_KEYS).agg(
         F.count(F.lit(1)).alias("n_listed"),

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packlift.operators.broadcast import small
+from packlift.operators.broadcast import small, small_many
 from packlift.sources.tables import PromoTables, live
 
 
@@ -27,23 +27,39 @@ def bonus_prices(t: PromoTables) -> DataFrame:
     """Live bonus prices keyed by (client, common SKU, sale date).
 
     Two priced SKUs under one common SKU give two rows; a price whose SKU is
-    unknown has no common SKU and matches nothing.
+    unknown has no common SKU and matches nothing. The price list is sized
+    and broadcast; the SKU dimension streams past it.
     """
-    return (live(t.price).join(small(t.sku.select("id_sku", "id_common_sku")), "id_sku")
+    price = small(live(t.price).select("id_client", "id_sku", "sale_date", "bonus"))
+    return (t.sku.select("id_sku", "id_common_sku").join(price, "id_sku")
             .select("id_client", "id_common_sku", "sale_date", "bonus"))
 
 
 def bonus_prices_live_sku(t: PromoTables) -> DataFrame:
-    """Live prices of live SKUs (the reconciliation's price side)."""
+    """Live prices of live SKUs (the reconciliation's price side).
+
+    The price list is the small side here: it is sized and broadcast, and the
+    SKU dimension streams past it."""
+    price = small(live(t.price).select("id_sku", "bonus", "sale_date", "id_client"))
     sku = live(t.sku).select("id_sku", "id_common_sku")
-    return (live(t.price).join(small(sku), "id_sku")
-            .select("id_common_sku", "bonus", "sale_date", "id_client"))
+    return sku.join(price, "id_sku").select("id_common_sku", "bonus", "sale_date", "id_client")
+
 
+def add_names(df: DataFrame, t: PromoTables, sku_side: DataFrame | None = None) -> DataFrame:
+    """Promotion type, client and common SKU names, and the bonus price.
 
-def add_names(df: DataFrame, t: PromoTables) -> DataFrame:
-    """Promotion type, client and common SKU names, and the bonus price."""
-    out = (df.join(small(t.promo_type), "id_promotion_type", "left")
-           .join(small(client_names(t)), "id_client", "left")
-           .join(small(t.common_sku.select("id_common_sku", "common_sku_name")), "id_common_sku", "left"))
-    price = bonus_prices(t).withColumnRenamed("sale_date", "start_date")
-    return out.join(small(price), ["id_client", "id_common_sku", "start_date"], "left")
+    ``sku_side`` (sized SKUs of the report's pairs) restricts the price list
+    to prices that can match; the four lookup tables are sized in one job.
+    """
+    if sku_side is None:
+        price = bonus_prices(t)
+    else:
+        price = (live(t.price).join(sku_side, "id_sku")
+                 .select("id_client", "id_common_sku", "sale_date", "bonus"))
+    price = price.withColumnRenamed("sale_date", "start_date")
+    types, clients, common, price = small_many(
+        t.promo_type, client_names(t), t.common_sku.select("id_common_sku", "common_sku_name"), price)
+    return (df.join(types, "id_promotion_type", "left")
+            .join(clients, "id_client", "left")
+            .join(common, "id_common_sku", "left")
+            .join(price, ["id_client", "id_common_sku", "start_date"], "left"))

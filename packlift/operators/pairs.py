@@ -1,14 +1,17 @@
-"""Promo pairs: one live (promotion, common SKU) row with the promo's terms."""
+"""Promo pairs: one live (promotion, common SKU) row with the promo's terms,
+and the scope they give a report: which clients, dates and SKUs can match."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packlift.functions import expr as X
+from packlift.operators.broadcast import hint_if, max_broadcast_rows, small_many
 from packlift.rules import PromoRules
 from packlift.sources.tables import PromoTables, live
 
@@ -40,17 +43,63 @@ class PairBounds:
     clients: tuple[int, ...] | None
 
 
+def window_start(windows: str) -> F.Column:
+    return X.control_start() if windows == "both" else F.col("start_date")
+
+
+def pair_stats(pairs: DataFrame, windows: str = "both") -> tuple[int, PairBounds | None]:
+    """Row count of the pairs, and their bounds: earliest window start, latest
+    end, and (when few) their clients.
+
+    One aggregate row comes back to the driver, and the distinct clients only
+    when there are at most ``MAX_PUSHED_CLIENTS``. Bounds are ``None`` when no
+    pair has a non-empty window (then no sale can match).
+    """
+    ok = F.col("end_date") >= F.col("start_date")
+    row = pairs.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(F.when(ok, window_start(windows))).alias("lo"),
+        F.max(F.when(ok, F.col("end_date"))).alias("hi"),
+        F.count_distinct(F.when(ok, F.col("id_client"))).alias("n_clients"),
+    ).first()
+    if row["lo"] is None:
+        return row["n"], None
+    clients = None
+    if row["n_clients"] <= MAX_PUSHED_CLIENTS:
+        got = pairs.where(ok).select("id_client").distinct().collect()
+        clients = tuple(sorted(r[0] for r in got))
+    return row["n"], PairBounds(row["lo"], row["hi"], clients)
+
+
 def pair_bounds(pairs: DataFrame, windows: str = "both") -> PairBounds | None:
-    """Earliest window start and latest end over the pairs, and their clients.
+    return pair_stats(pairs, windows)[1]
 
-    One aggregate row comes back to the driver. ``None`` when no pair has a
-    non-empty window (then no sale can match).
+
+@dataclass
+class PromoScope:
+    """The pairs of one report and what they allow the fact scan to skip.
+
+    pairs    the pair table, persisted; broadcast-hinted when counted small
+    bounds   date range and clients of the pairs' windows (``None``: no window)
+    sku      (id_sku, id_common_sku) of the pairs' common SKUs only, hinted
+             when counted small
+    windows  "both" (promo and control) or "promo"
     """
-    first = X.control_start() if windows == "both" else F.col("start_date")
-    valid = pairs.where(F.col("end_date") >= F.col("start_date"))
-    row = valid.agg(F.min(first).alias("lo"), F.max("end_date").alias("hi")).first()
-    if row is None or row["lo"] is None:
-        return None
-    got = [r[0] for r in valid.select("id_client").distinct().limit(MAX_PUSHED_CLIENTS + 1).collect()]
-    clients = tuple(sorted(got)) if len(got) <= MAX_PUSHED_CLIENTS else None
-    return PairBounds(row["lo"], row["hi"], clients)
+
+    pairs: DataFrame
+    bounds: PairBounds | None
+    sku: DataFrame
+    windows: str
+    small_pairs: bool
+
+
+def promo_scope(t: PromoTables, rules: PromoRules, windows: str = "both",
+                pairs: DataFrame | None = None) -> PromoScope:
+    """Build the scope with two small jobs (pair stats, SKU-side count)."""
+    pairs = (pairs if pairs is not None else promo_pairs(t, rules)).persist(StorageLevel.MEMORY_AND_DISK)
+    n, bounds = pair_stats(pairs, windows)
+    limit = max_broadcast_rows(pairs)
+    common = hint_if(pairs.select("id_common_sku").distinct(), n, limit)
+    sku_side = t.sku.select("id_sku", "id_common_sku").join(common, "id_common_sku", "left_semi")
+    (sku_side,) = small_many(sku_side, max_rows=limit)
+    return PromoScope(hint_if(pairs, n, limit), bounds, sku_side, windows, n <= limit)

@@ -21,8 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packlift.functions import expr as X
-from packlift.operators.broadcast import sized_broadcast, small
-from packlift.operators.pairs import PAIR_KEYS, PairBounds, pair_bounds
+from packlift.operators.pairs import PAIR_KEYS, PromoScope, window_start
 from packlift.rules import PromoRules
 from packlift.sources.tables import PromoTables, live, sale_in_range
 
@@ -43,28 +42,21 @@ def live_sales(t: PromoTables, rules: PromoRules, sale_only: bool = True) -> Dat
     return s
 
 
-def with_common_sku(sales: DataFrame, sku: DataFrame, only_common: DataFrame | None = None) -> DataFrame:
-    """Add ``id_common_sku`` to each sale (inner join on ``id_sku``).
-
-    ``only_common`` (common SKU ids, already sized) trims the SKU side to the
-    common SKUs that can match before it is sized for broadcast.
-    """
-    side = sku.select("id_sku", "id_common_sku")
-    if only_common is not None:
-        side = side.join(only_common, "id_common_sku", "left_semi")
-    return sales.join(small(side), "id_sku")
+def with_common_sku(sales: DataFrame, sku_side: DataFrame) -> DataFrame:
+    """Add ``id_common_sku`` to each sale (inner join on ``id_sku``);
+    ``sku_side`` is (id_sku, id_common_sku), already sized."""
+    return sales.join(sku_side, "id_sku")
 
 
-def tag_sales(t: PromoTables, pairs: DataFrame, rules: PromoRules, *, windows: str = "both",
-              sale_only: bool = True, bounds: PairBounds | None | str = "compute") -> DataFrame:
+def tag_sales(t: PromoTables, scope: PromoScope, rules: PromoRules, *, sale_only: bool = True) -> DataFrame:
     """Sales of each pair's client and common SKU inside its window(s).
 
-    ``windows="both"``: ``[control_start, end]``; ``"promo"``: ``[start, end]``.
-    A sale inside several pairs' windows is returned once per pair, as the
-    reports count it in each promotion. Columns: ``TAGGED_COLS``.
+    ``scope.windows="both"``: ``[control_start, end]``; ``"promo"``:
+    ``[start, end]``. A sale inside several pairs' windows is returned once
+    per pair, as the reports count it in each promotion. Columns:
+    ``TAGGED_COLS``.
     """
-    if bounds == "compute":
-        bounds = pair_bounds(pairs, windows)
+    bounds = scope.bounds
     sales = live_sales(t, rules, sale_only)
     if bounds is None:
         sales = sales.where(F.lit(False))
@@ -72,12 +64,10 @@ def tag_sales(t: PromoTables, pairs: DataFrame, rules: PromoRules, *, windows: s
         sales = sale_in_range(sales, bounds.lo, bounds.hi)
         if bounds.clients is not None:
             sales = sales.where(F.col("id_client").isin(list(bounds.clients)))
-    sales = sales.select(*SALE_COLS)
-    sales = with_common_sku(sales, t.sku, small(pairs.select("id_common_sku").distinct()))
-
-    first = X.control_start() if windows == "both" else F.col("start_date")
-    p = pairs.withColumn("window_start", first)
-    p, _ = sized_broadcast(p)
+    sales = with_common_sku(sales.select(*SALE_COLS), scope.sku)
+    p = scope.pairs.withColumn("window_start", window_start(scope.windows))
+    if scope.small_pairs:
+        p = F.broadcast(p)
     hit = (sales.join(p, ["id_common_sku", "id_client"])
            .where((F.col("operation_date") >= F.col("window_start"))
                   & (F.col("operation_date") <= F.col("end_date"))))

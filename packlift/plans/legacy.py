@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packlift.operators import measures as M
-from packlift.operators.broadcast import small
+from packlift.operators.broadcast import small_many
 from packlift.operators.exceptions import exceptions_common_sku, legacy_keep, legacy_lists
 from packlift.operators.lookups import add_names
-from packlift.operators.pairs import PAIR_KEYS, promo_pairs
+from packlift.operators.pairs import PAIR_KEYS, promo_pairs, promo_scope
 from packlift.operators.windows import tag_sales
-from packlift.plans.report import REPORT_COLUMNS, with_amounts
+from packlift.plans.report import report_columns
 from packlift.rules import LEGACY_RULES, PromoRules
 from packlift.sources.tables import PromoTables
 
@@ -43,13 +43,14 @@ def legacy_pairs(t: PromoTables, rules: PromoRules = LEGACY_RULES) -> DataFrame:
 def legacy_buyers(t: PromoTables, rules: PromoRules = LEGACY_RULES) -> DataFrame:
     """Stage 1 per (distinct pair, TIN) with the ``keep`` flag of the
     exclusion list."""
-    pairs = legacy_pairs(t, rules).distinct()
-    tagged = tag_sales(t, pairs, rules, windows="both", sale_only=True)
-    s1 = M.legacy_stage1(tagged, rules)
-    pair_flags, listed = legacy_lists(exceptions_common_sku(t.exc, t.sku), pairs)
-    s1 = (s1.join(small(pair_flags), PAIR_KEYS, "left")
-          .join(small(listed), PAIR_KEYS + ["tin_buyer"], "left"))
-    return s1.withColumn("keep", legacy_keep()).drop("n_listed", "null_listed", "is_listed")
+    scope = promo_scope(t, rules, "both", pairs=legacy_pairs(t, rules).distinct())
+    s1 = M.legacy_stage1(tag_sales(t, scope, rules, sale_only=True), rules)
+    clients = scope.bounds.clients if scope.bounds else None
+    pair_flags, listed = legacy_lists(exceptions_common_sku(t.exc, scope.sku, clients), scope.pairs)
+    pair_flags, listed = small_many(pair_flags, listed)
+    s1 = (s1.join(pair_flags, PAIR_KEYS, "left")
+          .join(listed, PAIR_KEYS + ["tin_buyer"], "left"))
+    return s1.select("*", legacy_keep().alias("keep")).drop("n_listed", "null_listed", "is_listed")
 
 
 def legacy_participants(t: PromoTables, rules: PromoRules = LEGACY_RULES) -> DataFrame:
@@ -71,4 +72,4 @@ def legacy_pair_measures(t: PromoTables, rules: PromoRules = LEGACY_RULES) -> Da
 
 def report_legacy(t: PromoTables, rules: PromoRules = LEGACY_RULES) -> DataFrame:
     """The legacy report's 21 columns."""
-    return with_amounts(add_names(legacy_pair_measures(t, rules), t)).select(*REPORT_COLUMNS)
+    return report_columns(add_names(legacy_pair_measures(t, rules), t))

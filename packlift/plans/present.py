@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packlift.functions import expr as X
-from packlift.operators.broadcast import small
+from packlift.operators.broadcast import small, small_many
 from packlift.operators.lookups import client_as_of
 from packlift.plans.reconcile import qty, recon_by_tin, recon_grouped
 from packlift.rules import CONDITION_RULES, DEFAULT_ENTITY_NAME, PromoRules
@@ -51,8 +51,8 @@ def _names(df: DataFrame, t: PromoTables, as_of: date) -> DataFrame:
     """Live common SKU name and the client's name valid on ``as_of``; a
     deleted or missing row leaves the name NULL and keeps the row."""
     common = live(t.common_sku).select("id_common_sku", "common_sku_name")
-    return (df.join(small(common), "id_common_sku", "left")
-            .join(small(client_as_of(t, as_of)), "id_client", "left"))
+    common, clients = small_many(common, client_as_of(t, as_of))
+    return df.join(common, "id_common_sku", "left").join(clients, "id_client", "left")
 
 
 def hot_by_tin(t: PromoTables, as_of: date, rules: PromoRules = CONDITION_RULES) -> DataFrame:

@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from packlift.functions import expr as X
 from packlift.operators.broadcast import small
-from packlift.operators.exceptions import excluded, exceptions_common_sku, flag_exceptions
+from packlift.operators.exceptions import excluded
 from packlift.operators.lookups import bonus_prices_live_sku
-from packlift.operators.pairs import pair_bounds, promo_pairs
-from packlift.operators.windows import tag_sales
+from packlift.operators.pairs import promo_scope
+from packlift.plans.report import flag_scope
 from packlift.rules import CONDITION_RULES, PromoRules
 from packlift.sources.tables import PromoTables, live
 
@@ -37,13 +37,8 @@ _AMOUNT = "decimal(24,5)"
 
 def condition_candidates(t: PromoTables, rules: PromoRules = CONDITION_RULES) -> DataFrame:
     """Promo-window sales of each pair that survive the exception list."""
-    pairs = promo_pairs(t, rules)
-    bounds = pair_bounds(pairs, "promo")
-    tagged = tag_sales(t, pairs, rules, windows="promo", sale_only=True, bounds=bounds)
-    if bounds is None:
-        return tagged.withColumn("exc_on_date", F.lit(False)).withColumn("exc_any", F.lit(False))
-    flagged = flag_exceptions(tagged, exceptions_common_sku(t.exc, t.sku), bounds.lo, bounds.hi)
-    return flagged.where(~excluded(rules.exception_policy))
+    scope = promo_scope(t, rules, "promo")
+    return flag_scope(t, scope, rules, sale_only=True).where(~excluded(rules.exception_policy))
 
 
 def condition_sales(t: PromoTables, rules: PromoRules = CONDITION_RULES) -> DataFrame:

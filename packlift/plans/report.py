@@ -14,7 +14,7 @@ from packlift.functions import expr as X
 from packlift.operators import measures as M
 from packlift.operators.exceptions import excluded, exceptions_common_sku, flag_exceptions
 from packlift.operators.lookups import add_names
-from packlift.operators.pairs import PAIR_KEYS, pair_bounds, promo_pairs
+from packlift.operators.pairs import PAIR_KEYS, PromoScope, promo_scope
 from packlift.operators.windows import tag_sales, window_label
 from packlift.rules import REPORT_RULES, PromoRules
 from packlift.sources.tables import PromoTables
@@ -42,15 +42,20 @@ AMOUNTS = {
 }
 
 
-def flagged_sales(t: PromoTables, rules: PromoRules = REPORT_RULES) -> DataFrame:
+def flag_scope(t: PromoTables, scope: PromoScope, rules: PromoRules, sale_only: bool) -> DataFrame:
+    """Tagged sales of a scope with the exception flags."""
+    tagged = tag_sales(t, scope, rules, sale_only=sale_only)
+    b = scope.bounds
+    if b is None:
+        return tagged.withColumn("exc_on_date", F.lit(False)).withColumn("exc_any", F.lit(False))
+    return flag_exceptions(tagged, exceptions_common_sku(t.exc, scope.sku, b.clients), b.lo, b.hi)
+
+
+def flagged_sales(t: PromoTables, rules: PromoRules = REPORT_RULES, scope: PromoScope | None = None) -> DataFrame:
     """Every sale (any operation type) in either window of a pair, with the
     window and the exception flags."""
-    pairs = promo_pairs(t, rules)
-    bounds = pair_bounds(pairs, "both")
-    tagged = tag_sales(t, pairs, rules, windows="both", sale_only=False, bounds=bounds)
-    if bounds is None:
-        return tagged.withColumn("exc_on_date", F.lit(False)).withColumn("exc_any", F.lit(False))
-    return flag_exceptions(tagged, exceptions_common_sku(t.exc, t.sku), bounds.lo, bounds.hi)
+    scope = scope or promo_scope(t, rules, "both")
+    return flag_scope(t, scope, rules, sale_only=False)
 
 
 def conditional_sales(flagged: DataFrame, rules: PromoRules = REPORT_RULES) -> DataFrame:
@@ -82,9 +87,9 @@ def sales_packs(combined: DataFrame, rules: PromoRules = REPORT_RULES) -> DataFr
             .withColumn("sales_pack", X.packs("sales_quantity", m)))
 
 
-def report_pivot(t: PromoTables, rules: PromoRules = REPORT_RULES) -> DataFrame:
+def report_pivot(t: PromoTables, rules: PromoRules = REPORT_RULES, scope: PromoScope | None = None) -> DataFrame:
     """Pair keys and the 12 measures (``n_<type>`` row counts kept)."""
-    return M.stage2(M.stage1(M.score(flagged_sales(t, rules), rules)))
+    return M.stage2(M.stage1(M.score(flagged_sales(t, rules, scope), rules)))
 
 
 def sales_type_agg(t: PromoTables, rules: PromoRules = REPORT_RULES) -> DataFrame:
@@ -92,13 +97,14 @@ def sales_type_agg(t: PromoTables, rules: PromoRules = REPORT_RULES) -> DataFram
     return M.unpivot(report_pivot(t, rules))
 
 
-def with_amounts(df: DataFrame) -> DataFrame:
-    for name, measure in AMOUNTS.items():
-        df = df.withColumn(name, F.col(measure) * F.col("bonus"))
-    return df
+def report_columns(df: DataFrame) -> DataFrame:
+    """The 21 report columns, amounts valued at the bonus."""
+    amount = {name: (F.col(m) * F.col("bonus")).alias(name) for name, m in AMOUNTS.items()}
+    return df.select(*[amount.get(c, F.col(c)) for c in REPORT_COLUMNS])
 
 
 def report_new(t: PromoTables, rules: PromoRules = REPORT_RULES) -> DataFrame:
     """The report: 21 columns (``id_promotion`` is a key but not shown)."""
-    pivot = report_pivot(t, rules).select(*PAIR_KEYS, *[c for n in M.PIVOT_NAMES.values() for c in n])
-    return with_amounts(add_names(pivot, t)).select(*REPORT_COLUMNS)
+    scope = promo_scope(t, rules, "both")
+    pivot = report_pivot(t, rules, scope).select(*PAIR_KEYS, *[c for n in M.PIVOT_NAMES.values() for c in n])
+    return report_columns(add_names(pivot, t, scope.sku))

@@ -20,7 +20,8 @@ from packlift.functions import expr as X
 from packlift.operators import measures as M
 from packlift.operators.exceptions import exceptions_common_sku
 from packlift.operators.lookups import bonus_prices, client_as_of, client_names
-from packlift.operators.pairs import PAIR_KEYS, promo_pairs
+from packlift.operators.broadcast import small
+from packlift.operators.pairs import PAIR_KEYS, promo_pairs, promo_scope
 from packlift.operators.windows import SALE_COLS, live_sales, tag_sales, window_label, with_common_sku
 from packlift.plans import legacy as L
 from packlift.plans import present as P
@@ -81,12 +82,13 @@ def _promo_base_legacy(t):
 
 @register("sales_sku")
 def _sales_sku(t):
-    return with_common_sku(live_sales(t, REPORT_RULES, sale_only=False).select(*SALE_COLS), t.sku)
+    return with_common_sku(live_sales(t, REPORT_RULES, sale_only=False).select(*SALE_COLS),
+                           small(t.sku.select("id_sku", "id_common_sku")))
 
 
 @register("exceptions_common_sku")
 def _exceptions_common_sku(t):
-    return exceptions_common_sku(t.exc, t.sku)
+    return exceptions_common_sku(t.exc, small(t.sku.select("id_sku", "id_common_sku")))
 
 
 @register("bonus_prices")
@@ -111,13 +113,13 @@ _SALE_PAIR_COLS = PAIR_KEYS + ["id_sku", "tin_buyer", "operation_date", "quantit
 
 @register("sales_windows")
 def _sales_windows(t):
-    tagged = tag_sales(t, promo_pairs(t, REPORT_RULES), REPORT_RULES, windows="both", sale_only=False)
+    tagged = tag_sales(t, promo_scope(t, REPORT_RULES, "both"), REPORT_RULES, sale_only=False)
     return tagged.select(*_SALE_PAIR_COLS, window_label().alias("sales_type"))
 
 
 @register("qualifying_sales")
 def _qualifying_sales(t):
-    tagged = tag_sales(t, promo_pairs(t, REPORT_RULES), REPORT_RULES, windows="both", sale_only=True)
+    tagged = tag_sales(t, promo_scope(t, REPORT_RULES, "both"), REPORT_RULES, sale_only=True)
     return tagged.select(
         *_SALE_PAIR_COLS, "multiple", window_label().alias("sales_type"),
         (F.col("quantity") % F.col("multiple")).alias("remainder"),
@@ -127,7 +129,7 @@ def _qualifying_sales(t):
 
 @register("legacy_qualifying")
 def _legacy_qualifying(t):
-    tagged = tag_sales(t, L.legacy_pairs(t), LEGACY_RULES, windows="promo", sale_only=True)
+    tagged = tag_sales(t, promo_scope(t, LEGACY_RULES, "promo"), LEGACY_RULES, sale_only=True)
     return tagged.select(*_SALE_PAIR_COLS, X.qualifies(LEGACY_RULES).alias("qualifies"))
 
 
