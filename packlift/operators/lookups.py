@@ -45,20 +45,27 @@ def bonus_prices_live_sku(t: PromoTables) -> DataFrame:
     return sku.join(price, "id_sku").select("id_common_sku", "bonus", "sale_date", "id_client")
 
 
-def add_names(df: DataFrame, t: PromoTables, sku_side: DataFrame | None = None) -> DataFrame:
-    """Promotion type, client and common SKU names, and the bonus price.
+def name_tables(t: PromoTables, sku_side: DataFrame | None = None) -> list[DataFrame]:
+    """The report's four lookup tables (unsized): promotion types, client
+    names, common SKU names, and bonus prices keyed by start date.
 
-    ``sku_side`` (sized SKUs of the report's pairs) restricts the price list
-    to prices that can match; the four lookup tables are sized in one job.
+    ``sku_side`` (the SKUs of the report's pairs) restricts the price list to
+    prices that can match.
     """
     if sku_side is None:
         price = bonus_prices(t)
     else:
         price = (live(t.price).join(sku_side, "id_sku")
                  .select("id_client", "id_common_sku", "sale_date", "bonus"))
-    price = price.withColumnRenamed("sale_date", "start_date")
-    types, clients, common, price = small_many(
-        t.promo_type, client_names(t), t.common_sku.select("id_common_sku", "common_sku_name"), price)
+    return [t.promo_type, client_names(t), t.common_sku.select("id_common_sku", "common_sku_name"),
+            price.withColumnRenamed("sale_date", "start_date")]
+
+
+def add_names(df: DataFrame, t: PromoTables, sized: list[DataFrame] | None = None) -> DataFrame:
+    """Left-join the promotion type, client and common SKU names and the bonus
+    price; ``sized`` are ``name_tables`` already sized, else they are sized
+    here in one job."""
+    types, clients, common, price = sized if sized is not None else small_many(*name_tables(t))
     return (df.join(types, "id_promotion_type", "left")
             .join(clients, "id_client", "left")
             .join(common, "id_common_sku", "left")

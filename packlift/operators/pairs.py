@@ -3,15 +3,18 @@ and the scope they give a report: which clients, dates and SKUs can match."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 from datetime import date
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from packlift.functions import expr as X
-from packlift.operators.broadcast import hint_if, max_broadcast_rows, small_many
+from packlift.operators.broadcast import hint_if, max_broadcast_rows
 from packlift.rules import PromoRules
 from packlift.sources.tables import PromoTables, live
 
@@ -47,28 +50,33 @@ def window_start(windows: str) -> F.Column:
     return X.control_start() if windows == "both" else F.col("start_date")
 
 
-def pair_stats(pairs: DataFrame, windows: str = "both") -> tuple[int, PairBounds | None]:
-    """Row count of the pairs, and their bounds: earliest window start, latest
-    end, and (when few) their clients.
-
-    One aggregate row comes back to the driver, and the distinct clients only
-    when there are at most ``MAX_PUSHED_CLIENTS``. Bounds are ``None`` when no
-    pair has a non-empty window (then no sale can match).
-    """
+def _stats_aggs(windows: str) -> list:
     ok = F.col("end_date") >= F.col("start_date")
-    row = pairs.agg(
+    return [
         F.count(F.lit(1)).alias("n"),
         F.min(F.when(ok, window_start(windows))).alias("lo"),
         F.max(F.when(ok, F.col("end_date"))).alias("hi"),
         F.count_distinct(F.when(ok, F.col("id_client"))).alias("n_clients"),
-    ).first()
+        # Distinct clients of the pairs; used only when there are few.
+        F.slice(F.array_sort(F.collect_set(F.when(ok, F.col("id_client")))), 1, MAX_PUSHED_CLIENTS + 1)
+        .alias("clients"),
+    ]
+
+
+def _bounds(row) -> PairBounds | None:
     if row["lo"] is None:
-        return row["n"], None
-    clients = None
-    if row["n_clients"] <= MAX_PUSHED_CLIENTS:
-        got = pairs.where(ok).select("id_client").distinct().collect()
-        clients = tuple(sorted(r[0] for r in got))
-    return row["n"], PairBounds(row["lo"], row["hi"], clients)
+        return None
+    clients = tuple(row["clients"]) if row["n_clients"] <= MAX_PUSHED_CLIENTS else None
+    return PairBounds(row["lo"], row["hi"], clients)
+
+
+def pair_stats(pairs: DataFrame, windows: str = "both") -> tuple[int, PairBounds | None]:
+    """Row count of the pairs and their bounds: earliest window start, latest
+    end and (when at most ``MAX_PUSHED_CLIENTS``) their clients. One row comes
+    back to the driver. Bounds are ``None`` when no pair has a non-empty
+    window (then no sale can match)."""
+    row = pairs.agg(*_stats_aggs(windows)).first()
+    return row["n"], _bounds(row)
 
 
 def pair_bounds(pairs: DataFrame, windows: str = "both") -> PairBounds | None:
@@ -91,15 +99,32 @@ class PromoScope:
     sku: DataFrame
     windows: str
     small_pairs: bool
+    also: list[DataFrame] = field(default_factory=list)
 
 
-def promo_scope(t: PromoTables, rules: PromoRules, windows: str = "both",
-                pairs: DataFrame | None = None) -> PromoScope:
-    """Build the scope with two small jobs (pair stats, SKU-side count)."""
+def promo_scope(t: PromoTables, rules: PromoRules, windows: str = "both", pairs: DataFrame | None = None,
+                also: Callable[[DataFrame], list[DataFrame]] | None = None) -> PromoScope:
+    """Build the scope in one job: the pairs' stats, and the row counts of the
+    SKU side and of any further candidates ``also(sku_side)`` returns (for
+    example the report's lookup tables), which come back sized in
+    ``scope.also``."""
     pairs = (pairs if pairs is not None else promo_pairs(t, rules)).persist(StorageLevel.MEMORY_AND_DISK)
-    n, bounds = pair_stats(pairs, windows)
+    sku_side = (t.sku.select("id_sku", "id_common_sku")
+                .join(pairs.select("id_common_sku").distinct(), "id_common_sku", "left_semi")
+                .persist(StorageLevel.MEMORY_AND_DISK))
+    extra = [d.persist(StorageLevel.MEMORY_AND_DISK) for d in (also(sku_side) if also else [])]
+    aggs = _stats_aggs(windows)
+    empty = [F.lit(None).cast(T.DateType()).alias("lo"), F.lit(None).cast(T.DateType()).alias("hi"),
+             F.lit(0).cast("bigint").alias("n_clients"), F.lit(None).cast("array<int>").alias("clients")]
+    parts = [pairs.agg(*aggs).select(F.lit(0).alias("i"), "n", "lo", "hi", "n_clients", "clients")]
+    for i, d in enumerate([sku_side, *extra], start=1):
+        parts.append(d.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n", *empty))
+    rows = {r["i"]: r for r in reduce(DataFrame.unionByName, parts).collect()}
     limit = max_broadcast_rows(pairs)
-    common = hint_if(pairs.select("id_common_sku").distinct(), n, limit)
-    sku_side = t.sku.select("id_sku", "id_common_sku").join(common, "id_common_sku", "left_semi")
-    (sku_side,) = small_many(sku_side, max_rows=limit)
-    return PromoScope(hint_if(pairs, n, limit), bounds, sku_side, windows, n <= limit)
+    n = rows[0]["n"]
+    sized = []
+    for i, d in enumerate([sku_side, *extra], start=1):
+        if rows[i]["n"] > limit:
+            d.unpersist()
+        sized.append(hint_if(d, rows[i]["n"], limit))
+    return PromoScope(hint_if(pairs, n, limit), _bounds(rows[0]), sized[0], windows, n <= limit, sized[1:])

@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from packlift.operators import measures as M
 from packlift.operators.broadcast import small_many
 from packlift.operators.exceptions import exceptions_common_sku, legacy_keep, legacy_lists
-from packlift.operators.lookups import add_names
-from packlift.operators.pairs import PAIR_KEYS, promo_pairs, promo_scope
+from packlift.operators.lookups import add_names, name_tables
+from packlift.operators.pairs import PAIR_KEYS, PromoScope, promo_pairs, promo_scope
 from packlift.operators.windows import tag_sales
 from packlift.plans.report import report_columns
 from packlift.rules import LEGACY_RULES, PromoRules
@@ -40,10 +40,10 @@ def legacy_pairs(t: PromoTables, rules: PromoRules = LEGACY_RULES) -> DataFrame:
     return promo_pairs(t, rules)
 
 
-def legacy_buyers(t: PromoTables, rules: PromoRules = LEGACY_RULES) -> DataFrame:
+def legacy_buyers(t: PromoTables, rules: PromoRules = LEGACY_RULES, scope: PromoScope | None = None) -> DataFrame:
     """Stage 1 per (distinct pair, TIN) with the ``keep`` flag of the
     exclusion list."""
-    scope = promo_scope(t, rules, "both", pairs=legacy_pairs(t, rules).distinct())
+    scope = scope or legacy_scope(t, rules)
     s1 = M.legacy_stage1(tag_sales(t, scope, rules, sale_only=True), rules)
     clients = scope.bounds.clients if scope.bounds else None
     pair_flags, listed = legacy_lists(exceptions_common_sku(t.exc, scope.sku, clients), scope.pairs)
@@ -53,6 +53,11 @@ def legacy_buyers(t: PromoTables, rules: PromoRules = LEGACY_RULES) -> DataFrame
     return s1.select("*", legacy_keep().alias("keep")).drop("n_listed", "null_listed", "is_listed")
 
 
+def legacy_scope(t: PromoTables, rules: PromoRules = LEGACY_RULES, with_names: bool = False) -> PromoScope:
+    also = (lambda sku_side: name_tables(t, sku_side)) if with_names else None
+    return promo_scope(t, rules, "both", pairs=legacy_pairs(t, rules).distinct(), also=also)
+
+
 def legacy_participants(t: PromoTables, rules: PromoRules = LEGACY_RULES) -> DataFrame:
     """Buyers who took part: a kept, qualifying promo-window sale, TIN known."""
     b = legacy_buyers(t, rules)
@@ -60,10 +65,11 @@ def legacy_participants(t: PromoTables, rules: PromoRules = LEGACY_RULES) -> Dat
             .select(*PAIR_KEYS, "tin_buyer"))
 
 
-def legacy_pair_measures(t: PromoTables, rules: PromoRules = LEGACY_RULES) -> DataFrame:
+def legacy_pair_measures(t: PromoTables, rules: PromoRules = LEGACY_RULES,
+                         scope: PromoScope | None = None) -> DataFrame:
     """Every pair row (duplicates kept) with the seven measures; a pair without
     matching sales has NULL sums and zero counts."""
-    per_pair = M.legacy_stage2(legacy_buyers(t, rules))
+    per_pair = M.legacy_stage2(legacy_buyers(t, rules, scope))
     out = legacy_pairs(t, rules).join(per_pair, PAIR_KEYS, "left")
     for c in COUNT_MEASURES:
         out = out.withColumn(c, F.coalesce(F.col(c), F.lit(0)).cast("bigint"))
@@ -72,4 +78,5 @@ def legacy_pair_measures(t: PromoTables, rules: PromoRules = LEGACY_RULES) -> Da
 
 def report_legacy(t: PromoTables, rules: PromoRules = LEGACY_RULES) -> DataFrame:
     """The legacy report's 21 columns."""
-    return report_columns(add_names(legacy_pair_measures(t, rules), t))
+    scope = legacy_scope(t, rules, with_names=True)
+    return report_columns(add_names(legacy_pair_measures(t, rules, scope), t, scope.also))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from packlift.functions import expr as X
 from packlift.operators import measures as M
 from packlift.operators.exceptions import excluded, exceptions_common_sku, flag_exceptions
-from packlift.operators.lookups import add_names
+from packlift.operators.lookups import add_names, name_tables
 from packlift.operators.pairs import PAIR_KEYS, PromoScope, promo_scope
 from packlift.operators.windows import tag_sales, window_label
 from packlift.rules import REPORT_RULES, PromoRules
@@ -105,6 +105,6 @@ def report_columns(df: DataFrame) -> DataFrame:
 
 def report_new(t: PromoTables, rules: PromoRules = REPORT_RULES) -> DataFrame:
     """The report: 21 columns (``id_promotion`` is a key but not shown)."""
-    scope = promo_scope(t, rules, "both")
+    scope = promo_scope(t, rules, "both", also=lambda sku_side: name_tables(t, sku_side))
     pivot = report_pivot(t, rules, scope).select(*PAIR_KEYS, *[c for n in M.PIVOT_NAMES.values() for c in n])
-    return report_columns(add_names(pivot, t, scope.sku))
+    return report_columns(add_names(pivot, t, scope.also))
