@@ -35,16 +35,6 @@ def bonus_prices(t: PromoTables) -> DataFrame:
             .select("id_client", "id_common_sku", "sale_date", "bonus"))
 
 
-def bonus_prices_live_sku(t: PromoTables) -> DataFrame:
-    """Live prices of live SKUs (the reconciliation's price side).
-
-    The price list is the small side here: it is sized and broadcast, and the
-    SKU dimension streams past it."""
-    price = small(live(t.price).select("id_sku", "bonus", "sale_date", "id_client"))
-    sku = live(t.sku).select("id_sku", "id_common_sku")
-    return sku.join(price, "id_sku").select("id_common_sku", "bonus", "sale_date", "id_client")
-
-
 def name_tables(t: PromoTables, sku_side: DataFrame | None = None) -> list[DataFrame]:
     """The report's four lookup tables (unsized): promotion types, client
     names, common SKU names, and bonus prices keyed by start date.

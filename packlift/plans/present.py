@@ -8,11 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packlift.functions import expr as X
-from packlift.operators.broadcast import small, small_many
-from packlift.operators.lookups import client_as_of
-from packlift.plans.reconcile import qty, recon_by_tin, recon_grouped
+from packlift.plans.reconcile import ReconScope, qty, recon_by_tin, recon_grouped, recon_scope
 from packlift.rules import CONDITION_RULES, DEFAULT_ENTITY_NAME, PromoRules
-from packlift.sources.tables import PromoTables, live
+from packlift.sources.tables import PromoTables
 
 # ---------------------------------------------------------------------------
 # The column labels readers of the presentation queries expect
@@ -47,18 +45,17 @@ def _z(c: str) -> F.Column:
     return F.coalesce(F.col(c), F.lit(0))
 
 
-def _names(df: DataFrame, t: PromoTables, as_of: date) -> DataFrame:
+def _names(df: DataFrame, rs: ReconScope) -> DataFrame:
     """Live common SKU name and the client's name valid on ``as_of``; a
     deleted or missing row leaves the name NULL and keeps the row."""
-    common = live(t.common_sku).select("id_common_sku", "common_sku_name")
-    common, clients = small_many(common, client_as_of(t, as_of))
+    common, clients = rs.names[:2]
     return df.join(common, "id_common_sku", "left").join(clients, "id_client", "left")
 
 
 def hot_by_tin(t: PromoTables, as_of: date, rules: PromoRules = CONDITION_RULES) -> DataFrame:
     """Reconciliation by TIN for reading: 19 labelled columns."""
-    ent = live(t.entity).select(F.col("id_legal_entity").alias("tin_buyer"), "legal_entity_name")
-    df = _names(recon_by_tin(t, rules=rules), t, as_of).join(small(ent), "tin_buyer", "left")
+    rs = recon_scope(t, rules, as_of, entity=True)
+    df = _names(recon_by_tin(t, rules=rules, rs=rs), rs).join(rs.names[2], "tin_buyer", "left")
     return df.select(
         F.col("common_sku_name").alias(PRODUCT),
         "id_common_sku",
@@ -85,7 +82,8 @@ def hot_by_tin(t: PromoTables, as_of: date, rules: PromoRules = CONDITION_RULES)
 def hot_grouped(t: PromoTables, as_of: date, rules: PromoRules = CONDITION_RULES) -> DataFrame:
     """Grouped reconciliation for reading: 17 labelled columns, with the
     declared bonus sum floored to whole packs and the unfloored correction."""
-    df = _names(recon_grouped(t, rules=rules), t, as_of)
+    rs = recon_scope(t, rules, as_of)
+    df = _names(recon_grouped(t, rules=rules, rs=rs), rs)
     qp, pm, pb = qty("quantity_promo"), F.col("promo_multiple"), F.col("promo_bonus")
     qs, sm, sb = qty("quantity_sales"), F.col("sales_multiple"), F.col("sales_bonus")
     return df.select(

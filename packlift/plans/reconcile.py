@@ -6,19 +6,24 @@
 ``recon_grouped``    the same without the TIN.
 
 Sold and declared sides are each aggregated first (partial aggregation before
-the shuffle); only the aggregates are joined.
+the shuffle); only the aggregates are joined. The small sides (pairs, their
+SKUs, live prices, live SKUs, and the presentation lookups) are counted in
+one job per query (``recon_scope``).
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packlift.functions import expr as X
 from packlift.operators.broadcast import small
 from packlift.operators.exceptions import excluded
-from packlift.operators.lookups import bonus_prices_live_sku
-from packlift.operators.pairs import promo_scope
+from packlift.operators.lookups import client_as_of
+from packlift.operators.pairs import PromoScope, promo_scope
 from packlift.plans.report import flag_scope
 from packlift.rules import CONDITION_RULES, PromoRules
 from packlift.sources.tables import PromoTables, live
@@ -35,68 +40,123 @@ _QTY = "decimal(20,3)"
 _AMOUNT = "decimal(24,5)"
 
 
-def condition_candidates(t: PromoTables, rules: PromoRules = CONDITION_RULES) -> DataFrame:
+@dataclass
+class ReconScope:
+    """Sized inputs of one reconciliation query.
+
+    scope     pairs and SKU side of the qualifying-sales view
+    price     live prices of live SKUs: (id_common_sku, bonus, start_date, id_client)
+    sku_live  live SKUs of the pairs' common SKUs: (id_sku, id_common_sku)
+    names     presentation lookups when asked for: live common SKU names,
+              client names valid on ``as_of`` [, live legal entities]
+    """
+
+    scope: PromoScope
+    price: DataFrame
+    sku_live: DataFrame
+    names: list[DataFrame] = field(default_factory=list)
+
+
+def _price_side(t: PromoTables, sku_live: DataFrame) -> DataFrame:
+    return (live(t.price).select("id_sku", "bonus", "sale_date", "id_client").join(sku_live, "id_sku")
+            .select("id_common_sku", "bonus", F.col("sale_date").alias("start_date"), "id_client"))
+
+
+def presentation_tables(t: PromoTables, as_of: date, entity: bool) -> list[DataFrame]:
+    out = [live(t.common_sku).select("id_common_sku", "common_sku_name"), client_as_of(t, as_of)]
+    if entity:
+        out.append(live(t.entity).select(F.col("id_legal_entity").alias("tin_buyer"), "legal_entity_name"))
+    return out
+
+
+def recon_scope(t: PromoTables, rules: PromoRules = CONDITION_RULES, as_of: date | None = None,
+                entity: bool = False) -> ReconScope:
+    """Every small side of a reconciliation, counted in one job.
+
+    Prices and declared results only ever meet sold rows of the pairs' common
+    SKUs, so their SKU side is the pairs' live SKUs.
+    """
+    def also(sku_side: DataFrame) -> list[DataFrame]:
+        sku_live = live(t.sku).select("id_sku").join(sku_side, "id_sku")
+        extra = [_price_side(t, sku_live), sku_live]
+        if as_of is not None:
+            extra += presentation_tables(t, as_of, entity)
+        return extra
+
+    s = promo_scope(t, rules, "promo", also=also)
+    return ReconScope(s, s.also[0], s.also[1], s.also[2:])
+
+
+def condition_candidates(t: PromoTables, rules: PromoRules = CONDITION_RULES,
+                         scope: PromoScope | None = None) -> DataFrame:
     """Promo-window sales of each pair that survive the exception list."""
-    scope = promo_scope(t, rules, "promo")
+    scope = scope or promo_scope(t, rules, "promo")
     return flag_scope(t, scope, rules, sale_only=True).where(~excluded(rules.exception_policy))
 
 
-def condition_sales(t: PromoTables, rules: PromoRules = CONDITION_RULES) -> DataFrame:
+def condition_sales(t: PromoTables, rules: PromoRules = CONDITION_RULES,
+                    scope: PromoScope | None = None) -> DataFrame:
     """The 9-column qualifying-sales view (positive scored quantities)."""
-    rows = condition_candidates(t, rules).withColumn("sales_quantity", X.scored_quantity(rules))
+    rows = condition_candidates(t, rules, scope).withColumn("sales_quantity", X.scored_quantity(rules))
     return rows.where(F.col("sales_quantity") > 0).select(*CONDITION_COLUMNS)
 
 
-def condition_sales_bonus(t: PromoTables, rules: PromoRules = CONDITION_RULES) -> DataFrame:
+def condition_sales_bonus(t: PromoTables, rules: PromoRules = CONDITION_RULES,
+                          rs: ReconScope | None = None) -> DataFrame:
     """Qualifying sales priced at the promo start's bonus (live prices of live
     SKUs; several prices per common SKU repeat the sale), with
     ``sum_bonus = bonus * floor(sales_quantity / multiple)``."""
-    price = bonus_prices_live_sku(t).withColumnRenamed("sale_date", "start_date")
-    out = condition_sales(t, rules).join(small(price), ["start_date", "id_client", "id_common_sku"])
+    rs = rs or recon_scope(t, rules)
+    out = condition_sales(t, rules, rs.scope).join(rs.price, ["start_date", "id_client", "id_common_sku"])
     return out.withColumn("sum_bonus", F.col("bonus") * X.floor_packs("sales_quantity", "multiple"))
 
 
-def sold_by_tin(t: PromoTables, rules: PromoRules = CONDITION_RULES) -> DataFrame:
-    return (condition_sales_bonus(t, rules)
-            .groupBy(*TIN_KEYS, "bonus", "multiple")
+def _sold(t: PromoTables, rules: PromoRules, rs: ReconScope | None, keys: list[str]) -> DataFrame:
+    return (condition_sales_bonus(t, rules, rs)
+            .groupBy(*keys, "bonus", "multiple")
             .agg(F.sum("sales_quantity").alias("quantity"), F.sum("sum_bonus").alias("sum_bonus")))
 
 
-def sold_grouped(t: PromoTables, rules: PromoRules = CONDITION_RULES) -> DataFrame:
-    return (condition_sales_bonus(t, rules)
-            .groupBy(*GROUP_KEYS, "bonus", "multiple")
-            .agg(F.sum("sales_quantity").alias("quantity"), F.sum("sum_bonus").alias("sum_bonus")))
+def sold_by_tin(t: PromoTables, rules: PromoRules = CONDITION_RULES, rs: ReconScope | None = None) -> DataFrame:
+    return _sold(t, rules, rs, TIN_KEYS)
+
 
+def sold_grouped(t: PromoTables, rules: PromoRules = CONDITION_RULES, rs: ReconScope | None = None) -> DataFrame:
+    return _sold(t, rules, rs, GROUP_KEYS)
 
-def _declared(t: PromoTables) -> DataFrame:
+
+def _declared(t: PromoTables, sku_live: DataFrame | None) -> DataFrame:
     """Declared results of live SKUs, keyed by common SKU."""
-    sku = live(t.sku).select("id_sku", "id_common_sku")
-    return t.result.join(small(sku), "id_sku")
+    if sku_live is None:
+        sku_live = small(live(t.sku).select("id_sku", "id_common_sku"))
+    return t.result.join(sku_live, "id_sku")
 
 
-def results_by_tin(t: PromoTables) -> DataFrame:
+def results_by_tin(t: PromoTables, sku_live: DataFrame | None = None) -> DataFrame:
     """Declared per (TIN keys, multiple, bonus): quantity and the unfloored
     ``bonus * quantity / multiple``."""
     per_row = (F.col("bonus") * F.col("quantity")).cast(_AMOUNT) / F.col("multiple")
-    return (_declared(t).groupBy(*TIN_KEYS, "multiple", "bonus")
+    return (_declared(t, sku_live).groupBy(*TIN_KEYS, "multiple", "bonus")
             .agg(F.sum("quantity").alias("quantity_promo"), F.sum(per_row).alias("sum_bonus")))
 
 
-def results_grouped(t: PromoTables) -> DataFrame:
+def results_grouped(t: PromoTables, sku_live: DataFrame | None = None) -> DataFrame:
     """Declared per (group keys, multiple, bonus): quantity and
     ``sum(quantity) * bonus``."""
-    return (_declared(t).groupBy(*GROUP_KEYS, "multiple", "bonus")
+    return (_declared(t, sku_live).groupBy(*GROUP_KEYS, "multiple", "bonus")
             .agg(F.sum("quantity").alias("quantity_promo"))
             .withColumn("sum_bonus", F.col("quantity_promo") * F.col("bonus")))
 
 
-def recon_by_tin(t: PromoTables, matched_only: bool = False, rules: PromoRules = CONDITION_RULES) -> DataFrame:
+def recon_by_tin(t: PromoTables, matched_only: bool = False, rules: PromoRules = CONDITION_RULES,
+                 rs: ReconScope | None = None) -> DataFrame:
     """Sold left-joined to declared on the five TIN keys (multiple and bonus
     are not keys, so several versions of either side pair up)."""
-    sold = sold_by_tin(t, rules).select(
+    rs = rs or recon_scope(t, rules)
+    sold = sold_by_tin(t, rules, rs).select(
         *TIN_KEYS, F.col("multiple").alias("sales_multiple"), F.col("bonus").alias("sales_bonus"),
         F.col("quantity").alias("quantity_sales"), F.col("sum_bonus").alias("sales_sum_bonus"))
-    declared = results_by_tin(t).select(
+    declared = results_by_tin(t, rs.sku_live).select(
         *TIN_KEYS, F.col("multiple").alias("promo_multiple"), F.col("bonus").alias("promo_bonus"),
         "quantity_promo", F.col("sum_bonus").alias("promo_sum_bonus"))
     return sold.join(declared, TIN_KEYS, "inner" if matched_only else "left").select(
@@ -104,12 +164,14 @@ def recon_by_tin(t: PromoTables, matched_only: bool = False, rules: PromoRules =
         "promo_multiple", "promo_bonus", "quantity_promo", "promo_sum_bonus")
 
 
-def recon_grouped(t: PromoTables, matched_only: bool = False, rules: PromoRules = CONDITION_RULES) -> DataFrame:
+def recon_grouped(t: PromoTables, matched_only: bool = False, rules: PromoRules = CONDITION_RULES,
+                  rs: ReconScope | None = None) -> DataFrame:
     """Sold left-joined to declared on the four group keys."""
-    sold = sold_grouped(t, rules).select(
+    rs = rs or recon_scope(t, rules)
+    sold = sold_grouped(t, rules, rs).select(
         *GROUP_KEYS, F.col("multiple").alias("sales_multiple"), F.col("bonus").alias("sales_bonus"),
         F.col("quantity").alias("quantity_sales"), F.col("sum_bonus").alias("sales_sum_bonus"))
-    declared = results_grouped(t).select(
+    declared = results_grouped(t, rs.sku_live).select(
         *GROUP_KEYS, "quantity_promo", F.col("multiple").alias("promo_multiple"),
         F.col("bonus").alias("promo_bonus"))
     return sold.join(declared, GROUP_KEYS, "inner" if matched_only else "left").select(
@@ -119,3 +181,4 @@ def recon_grouped(t: PromoTables, matched_only: bool = False, rules: PromoRules
 
 def qty(c) -> F.Column:
     return F.col(c).cast(_QTY)
+
