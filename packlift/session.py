@@ -13,6 +13,7 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # Broadcasts are decided by sized_broadcast() from counted rows, not by
     # the optimizer's size guesses on derived relations.
     "spark.sql.autoBroadcastJoinThreshold": "-1",

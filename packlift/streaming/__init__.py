@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reports are batch SQL over warehouse tables; nothing in them reads a
+stream, keeps state across micro-batches, uses watermarks or event-time
+windows. No streaming operator is built, so none is offered here.
+"""
