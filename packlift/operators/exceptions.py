@@ -75,15 +75,17 @@ def merged_intervals(exc_cs: DataFrame, lo: date, hi: date) -> DataFrame:
         F.collect_list(F.when(F.col("s").isNotNull(), F.struct("s", "e"))).alias("intervals"))
 
 
-def flag_exceptions(rows: DataFrame, exc_cs: DataFrame, lo: date, hi: date) -> DataFrame:
-    """Add ``exc_on_date`` (an exception of the row's key covers its
-    ``operation_date``) and ``exc_any`` (its key has any exception).
+def exception_keys(exc_cs: DataFrame, lo: date, hi: date) -> tuple[DataFrame, bool]:
+    """``merged_intervals``, sized: ``(table, True)`` broadcast-hinted when
+    counted small, else ``(table, False)``."""
+    return sized_broadcast(merged_intervals(exc_cs, lo, hi))
 
-    ``rows`` must lie inside ``[lo, hi]``. The per-key table is broadcast when
-    counted small; otherwise both sides shuffle on the three keys, and AQE
-    splits hot sales keys (the table side has one row per key).
+
+def add_flags(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Add ``exc_on_date`` (an exception of the row's key covers its
+    ``operation_date``) and ``exc_any`` (its key has any exception) from an
+    ``exception_keys`` table (one row per key: an equi left join, no fan-out).
     """
-    keys, _ = sized_broadcast(merged_intervals(exc_cs, lo, hi))
     d = F.col("operation_date")
     return (rows.join(keys, EXC_KEYS, "left")
             .withColumn("exc_on_date",
@@ -92,6 +94,14 @@ def flag_exceptions(rows: DataFrame, exc_cs: DataFrame, lo: date, hi: date) -> D
             .drop("intervals"))
 
 
+def flag_exceptions(rows: DataFrame, exc_cs: DataFrame, lo: date, hi: date) -> DataFrame:
+    """``add_flags`` with the key table built and sized here. ``rows`` must
+    lie inside ``[lo, hi]``. When the table is too large to broadcast both
+    sides shuffle on the three keys and AQE splits hot sales keys (the table
+    side has one row per key)."""
+    return add_flags(rows, exception_keys(exc_cs, lo, hi)[0])
+
+
 def excluded(policy: str) -> F.Column:
     """Exclusion flag of a flagged row under a date policy."""
     if policy == "sale_date":

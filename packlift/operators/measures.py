@@ -37,15 +37,15 @@ PIVOT_NAMES = {
 }
 
 
-def score(rows: DataFrame, rules: PromoRules) -> DataFrame:
-    """Per tagged and exception-flagged row: for each sales type, whether the
-    row counts (``f_<type>``) and the quantity it contributes (``q_<type>``).
+def parts(tagged: DataFrame, rules: PromoRules) -> DataFrame:
+    """Per tagged row and sales type ``t``: ``q_t`` (quantity it contributes,
+    NULL if it does not count), ``p_t`` (its packs) and ``n_t`` (1 if it
+    counts, else 0). The exception list is not applied yet.
 
-    Conditional types: sales only, not excluded, quantity rule met; totals:
-    every row. A row whose scored quantity is 0 counts for no type.
+    Conditional types: sales only and the quantity rule met; totals: every
+    row. A row whose scored quantity is 0 counts for no type.
     """
     sale = F.col("id_operation_type") == rules.sale_operation_type
-    cond = sale & ~excluded(rules.exception_policy)
     scored = X.scored_quantity(rules)
     cols = []
     for label, conditional, promo_window in SALES_TYPES:
@@ -53,21 +53,37 @@ def score(rows: DataFrame, rules: PromoRules) -> DataFrame:
         q = scored if conditional else F.col("quantity")
         flag = window & (q != 0)
         if conditional:
-            flag = flag & cond
-        cols += [flag.alias(f"f_{label}"), q.alias(f"q_{label}")]
-    return rows.select(*PAIR_KEYS, "tin_buyer", "multiple", *cols)
+            flag = flag & sale
+        cols += [F.when(flag, q).alias(f"q_{label}"),
+                 F.when(flag, X.packs(q, "multiple")).alias(f"p_{label}"),
+                 flag.cast("long").alias(f"n_{label}")]
+    return tagged.select(*PAIR_KEYS, "tin_buyer", "operation_date", "in_promo", *cols)
 
 
-def stage1(scored: DataFrame) -> DataFrame:
-    """Group by (pair, TIN): per type the sum of quantities, of packs, and the
-    number of rows that counted."""
+PART_COLS = [f"{m}_{label}" for label, _, _ in SALES_TYPES for m in ("q", "p", "n")]
+
+
+def combine_parts(rows: DataFrame) -> DataFrame:
+    """Pre-aggregate ``parts`` to (pair, TIN, sale date): every exception
+    policy gives one answer per such group, so the exception join can run on
+    the groups instead of the rows. Map-side partial aggregation makes a hot
+    buyer cost at most (its pairs x days) rows per task."""
+    return (rows.groupBy(*PAIR_KEYS, "tin_buyer", "operation_date", "in_promo")
+            .agg(*[F.sum(c).alias(c) for c in PART_COLS]))
+
+
+def stage1(flagged: DataFrame, rules: PromoRules) -> DataFrame:
+    """Group (exception-flagged) parts by (pair, TIN): per type the sum of
+    quantities, of packs, and the number of rows that counted; conditional
+    types drop what the report's exception policy excludes."""
+    keep = ~excluded(rules.exception_policy)
     aggs = []
-    for label, _, _ in SALES_TYPES:
-        f, q = F.col(f"f_{label}"), F.col(f"q_{label}")
-        aggs += [F.sum(F.when(f, q)).alias(f"q_{label}"),
-                 F.sum(F.when(f, X.packs(q, "multiple"))).alias(f"p_{label}"),
-                 F.count(F.when(f, F.lit(1))).alias(f"n_{label}")]
-    return scored.groupBy(*PAIR_KEYS, "tin_buyer").agg(*aggs)
+    for label, conditional, _ in SALES_TYPES:
+        q, p, n = (F.col(f"{m}_{label}") for m in ("q", "p", "n"))
+        if conditional:
+            q, p, n = F.when(keep, q), F.when(keep, p), F.when(keep, n).otherwise(F.lit(0))
+        aggs += [F.sum(q).alias(f"q_{label}"), F.sum(p).alias(f"p_{label}"), F.sum(n).alias(f"n_{label}")]
+    return flagged.groupBy(*PAIR_KEYS, "tin_buyer").agg(*aggs)
 
 
 def stage2(s1: DataFrame) -> DataFrame:

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from packlift.functions import expr as X
 from packlift.operators import measures as M
-from packlift.operators.exceptions import excluded, exceptions_common_sku, flag_exceptions
+from packlift.operators.exceptions import (add_flags, exception_keys, excluded, exceptions_common_sku,
+                                           flag_exceptions)
 from packlift.operators.lookups import add_names, name_tables
 from packlift.operators.pairs import PAIR_KEYS, PromoScope, promo_scope
 from packlift.operators.windows import tag_sales, window_label
@@ -88,8 +89,23 @@ def sales_packs(combined: DataFrame, rules: PromoRules = REPORT_RULES) -> DataFr
 
 
 def report_pivot(t: PromoTables, rules: PromoRules = REPORT_RULES, scope: PromoScope | None = None) -> DataFrame:
-    """Pair keys and the 12 measures (``n_<type>`` row counts kept)."""
-    return M.stage2(M.stage1(M.score(flagged_sales(t, rules, scope), rules)))
+    """Pair keys and the 12 measures (``n_<type>`` row counts kept).
+
+    When the exception key table is counted small it is broadcast and each
+    sale row is flagged in place (no shuffle). Otherwise the rows are first
+    pre-aggregated to (pair, TIN, sale date), the grain the exception outcome
+    is constant on, so the shuffle for the exception join carries groups, not
+    rows, and a hot buyer is bounded by its pairs x days.
+    """
+    scope = scope or promo_scope(t, rules, "both")
+    parts = M.parts(tag_sales(t, scope, rules, sale_only=False), rules)
+    b = scope.bounds
+    if b is None:
+        flagged = parts.withColumn("exc_on_date", F.lit(False)).withColumn("exc_any", F.lit(False))
+    else:
+        keys, keys_small = exception_keys(exceptions_common_sku(t.exc, scope.sku, b.clients), b.lo, b.hi)
+        flagged = add_flags(parts if keys_small else M.combine_parts(parts), keys)
+    return M.stage2(M.stage1(flagged, rules))
 
 
 def sales_type_agg(t: PromoTables, rules: PromoRules = REPORT_RULES) -> DataFrame:
