@@ -49,17 +49,19 @@ def exceptions_common_sku(exc: DataFrame, sku_side: DataFrame, clients: tuple[in
         "id_client", "id_sku", "tin_buyer", "start_date", "end_date", "id_common_sku")
 
 
-def merged_intervals(exc_cs: DataFrame, lo: date, hi: date) -> DataFrame:
+def merged_intervals(exc_cs: DataFrame, lo: date | None = None, hi: date | None = None) -> DataFrame:
     """One row per (client, TIN, common SKU) with ``intervals``: the union of
-    its exception intervals clipped to ``[lo, hi]``, as disjoint
-    ``struct(s, e)`` (possibly empty when all fall outside the range).
-
-    Duplicate intervals are dropped first (an aggregate with map-side
-    combine, so a hot key costs no more than its distinct intervals); the
-    union is then found by a running max of ``e`` in ``s`` order per key.
+    its exception intervals (clipped to ``[lo, hi]`` when given), as disjoint
+    ``struct(s, e)`` (possibly empty when none is a valid range).
+
+    Merged intervals are disjoint and at least a day apart, so a key holds at
+    most (days spanned)/2 + 1 of them, a bound set by the calendar, not by the
+    size of the list. Duplicate intervals are dropped first (an aggregate with
+    map-side combine, so a hot key costs no more than its distinct intervals);
+    the union is then found by a running max of ``e`` in ``s`` order per key.
     """
-    valid_s = F.greatest(F.col("start_date"), F.lit(lo))
-    valid_e = F.least(F.col("end_date"), F.lit(hi))
+    valid_s = F.col("start_date") if lo is None else F.greatest(F.col("start_date"), F.lit(lo))
+    valid_e = F.col("end_date") if hi is None else F.least(F.col("end_date"), F.lit(hi))
     iv = (exc_cs.where(F.col("tin_buyer").isNotNull())
           .select(*EXC_KEYS, valid_s.alias("s"), valid_e.alias("e"))
           .distinct())
@@ -75,7 +77,7 @@ def merged_intervals(exc_cs: DataFrame, lo: date, hi: date) -> DataFrame:
         F.collect_list(F.when(F.col("s").isNotNull(), F.struct("s", "e"))).alias("intervals"))
 
 
-def exception_keys(exc_cs: DataFrame, lo: date, hi: date) -> tuple[DataFrame, bool]:
+def exception_keys(exc_cs: DataFrame, lo: date | None = None, hi: date | None = None) -> tuple[DataFrame, bool]:
     """``merged_intervals``, sized: ``(table, True)`` broadcast-hinted when
     counted small, else ``(table, False)``."""
     return sized_broadcast(merged_intervals(exc_cs, lo, hi))

@@ -51,6 +51,31 @@ def name_tables(t: PromoTables, sku_side: DataFrame | None = None) -> list[DataF
             price.withColumnRenamed("sale_date", "start_date")]
 
 
+NAME_COLUMNS = ["promotion_type_name", "client_name", "common_sku_name", "bonus"]
+
+
+def pair_names(t: PromoTables, pairs: DataFrame, sku_side: DataFrame | None = None) -> DataFrame:
+    """The four lookups resolved once per pair: one small table keyed by the
+    pair columns (a renamed client or a second priced SKU gives the pair a
+    second row), so a report needs a single lookup join."""
+    from packlift.operators.pairs import PAIR_KEYS
+
+    types, clients, common, price = name_tables(t, sku_side)
+    return (pairs.select(*PAIR_KEYS).distinct()
+            .join(types, "id_promotion_type", "left")
+            .join(clients, "id_client", "left")
+            .join(common, "id_common_sku", "left")
+            .join(price, ["id_client", "id_common_sku", "start_date"], "left")
+            .select(*PAIR_KEYS, *NAME_COLUMNS))
+
+
+def add_pair_names(df: DataFrame, names: DataFrame) -> DataFrame:
+    """Left-join a (sized) ``pair_names`` table on the pair columns."""
+    from packlift.operators.pairs import PAIR_KEYS
+
+    return df.join(names, PAIR_KEYS, "left")
+
+
 def add_names(df: DataFrame, t: PromoTables, sized: list[DataFrame] | None = None) -> DataFrame:
     """Left-join the promotion type, client and common SKU names and the bonus
     price; ``sized`` are ``name_tables`` already sized, else they are sized

@@ -92,6 +92,10 @@ class PromoScope:
     sku      (id_sku, id_common_sku) of the pairs' common SKUs only, hinted
              when counted small
     windows  "both" (promo and control) or "promo"
+    also     further sized candidates (lookup tables and the like)
+    exc_keys the exception list as one row per (client, TIN, common SKU) with
+             merged intervals, restricted to the pairs' clients and common
+             SKUs; broadcast-hinted when counted small (``exc_small``)
     """
 
     pairs: DataFrame
@@ -100,19 +104,28 @@ class PromoScope:
     windows: str
     small_pairs: bool
     also: list[DataFrame] = field(default_factory=list)
+    exc_keys: DataFrame | None = None
+    exc_small: bool = False
 
 
 def promo_scope(t: PromoTables, rules: PromoRules, windows: str = "both", pairs: DataFrame | None = None,
-                also: Callable[[DataFrame], list[DataFrame]] | None = None) -> PromoScope:
+                also: Callable[[DataFrame, DataFrame], list[DataFrame]] | None = None,
+                exceptions: bool = False) -> PromoScope:
     """Build the scope in one job: the pairs' stats, and the row counts of the
-    SKU side and of any further candidates ``also(sku_side)`` returns (for
-    example the report's lookup tables), which come back sized in
-    ``scope.also``."""
+    SKU side, of the exception key table (``exceptions=True``) and of any
+    further candidates ``also(pairs, sku_side)`` returns (for example the
+    report's lookup tables), which come back sized in ``scope.also``."""
+    from packlift.operators.exceptions import exceptions_common_sku, merged_intervals
+
     pairs = (pairs if pairs is not None else promo_pairs(t, rules)).persist(StorageLevel.MEMORY_AND_DISK)
     sku_side = (t.sku.select("id_sku", "id_common_sku")
                 .join(pairs.select("id_common_sku").distinct(), "id_common_sku", "left_semi")
                 .persist(StorageLevel.MEMORY_AND_DISK))
-    extra = [d.persist(StorageLevel.MEMORY_AND_DISK) for d in (also(sku_side) if also else [])]
+    extra = list(also(pairs, sku_side)) if also else []
+    if exceptions:
+        exc = t.exc.join(pairs.select("id_client").distinct(), "id_client", "left_semi")
+        extra.append(merged_intervals(exceptions_common_sku(exc, sku_side)))
+    extra = [d.persist(StorageLevel.MEMORY_AND_DISK) for d in extra]
     aggs = _stats_aggs(windows)
     empty = [F.lit(None).cast(T.DateType()).alias("lo"), F.lit(None).cast(T.DateType()).alias("hi"),
              F.lit(0).cast("bigint").alias("n_clients"), F.lit(None).cast("array<int>").alias("clients")]
@@ -127,4 +140,9 @@ def promo_scope(t: PromoTables, rules: PromoRules, windows: str = "both", pairs:
         if rows[i]["n"] > limit:
             d.unpersist()
         sized.append(hint_if(d, rows[i]["n"], limit))
-    return PromoScope(hint_if(pairs, n, limit), _bounds(rows[0]), sized[0], windows, n <= limit, sized[1:])
+    keys, keys_small = None, False
+    if exceptions:
+        keys, keys_small = sized[-1], rows[len(sized)]["n"] <= limit
+        sized = sized[:-1]
+    return PromoScope(hint_if(pairs, n, limit), _bounds(rows[0]), sized[0], windows, n <= limit, sized[1:],
+                      keys, keys_small)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from packlift.operators import measures as M
 from packlift.operators.broadcast import small_many
 from packlift.operators.exceptions import exceptions_common_sku, legacy_keep, legacy_lists
-from packlift.operators.lookups import add_names, name_tables
+from packlift.operators.lookups import add_pair_names, pair_names
 from packlift.operators.pairs import PAIR_KEYS, PromoScope, promo_pairs, promo_scope
 from packlift.operators.windows import tag_sales
 from packlift.plans.report import report_columns
@@ -54,7 +54,7 @@ def legacy_buyers(t: PromoTables, rules: PromoRules = LEGACY_RULES, scope: Promo
 
 
 def legacy_scope(t: PromoTables, rules: PromoRules = LEGACY_RULES, with_names: bool = False) -> PromoScope:
-    also = (lambda sku_side: name_tables(t, sku_side)) if with_names else None
+    also = (lambda pairs, sku_side: [pair_names(t, pairs, sku_side)]) if with_names else None
     return promo_scope(t, rules, "both", pairs=legacy_pairs(t, rules).distinct(), also=also)
 
 
@@ -79,4 +79,4 @@ def legacy_pair_measures(t: PromoTables, rules: PromoRules = LEGACY_RULES,
 def report_legacy(t: PromoTables, rules: PromoRules = LEGACY_RULES) -> DataFrame:
     """The legacy report's 21 columns."""
     scope = legacy_scope(t, rules, with_names=True)
-    return report_columns(add_names(legacy_pair_measures(t, rules, scope), t, scope.also))
+    return report_columns(add_pair_names(legacy_pair_measures(t, rules, scope), scope.also[0]))

@@ -76,21 +76,21 @@ def recon_scope(t: PromoTables, rules: PromoRules = CONDITION_RULES, as_of: date
     Prices and declared results only ever meet sold rows of the pairs' common
     SKUs, so their SKU side is the pairs' live SKUs.
     """
-    def also(sku_side: DataFrame) -> list[DataFrame]:
+    def also(pairs: DataFrame, sku_side: DataFrame) -> list[DataFrame]:
         sku_live = live(t.sku).select("id_sku").join(sku_side, "id_sku")
         extra = [_price_side(t, sku_live), sku_live]
         if as_of is not None:
             extra += presentation_tables(t, as_of, entity)
         return extra
 
-    s = promo_scope(t, rules, "promo", also=also)
+    s = promo_scope(t, rules, "promo", also=also, exceptions=True)
     return ReconScope(s, s.also[0], s.also[1], s.also[2:])
 
 
 def condition_candidates(t: PromoTables, rules: PromoRules = CONDITION_RULES,
                          scope: PromoScope | None = None) -> DataFrame:
     """Promo-window sales of each pair that survive the exception list."""
-    scope = scope or promo_scope(t, rules, "promo")
+    scope = scope or promo_scope(t, rules, "promo", exceptions=True)
     return flag_scope(t, scope, rules, sale_only=True).where(~excluded(rules.exception_policy))
 
 

@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 
 from packlift.functions import expr as X
 from packlift.operators import measures as M
-from packlift.operators.exceptions import (add_flags, exception_keys, excluded, exceptions_common_sku,
-                                           flag_exceptions)
-from packlift.operators.lookups import add_names, name_tables
+from packlift.operators.exceptions import add_flags, exception_keys, excluded, exceptions_common_sku
+from packlift.operators.lookups import add_pair_names, pair_names
 from packlift.operators.pairs import PAIR_KEYS, PromoScope, promo_scope
 from packlift.operators.windows import tag_sales, window_label
 from packlift.rules import REPORT_RULES, PromoRules
@@ -43,19 +42,26 @@ AMOUNTS = {
 }
 
 
+def scope_exception_keys(t: PromoTables, scope: PromoScope) -> tuple[DataFrame, bool]:
+    """The scope's sized exception key table (built here if the scope has none)."""
+    if scope.exc_keys is not None:
+        return scope.exc_keys, scope.exc_small
+    b = scope.bounds
+    return exception_keys(exceptions_common_sku(t.exc, scope.sku, b.clients), b.lo, b.hi)
+
+
 def flag_scope(t: PromoTables, scope: PromoScope, rules: PromoRules, sale_only: bool) -> DataFrame:
     """Tagged sales of a scope with the exception flags."""
     tagged = tag_sales(t, scope, rules, sale_only=sale_only)
-    b = scope.bounds
-    if b is None:
+    if scope.bounds is None:
         return tagged.withColumn("exc_on_date", F.lit(False)).withColumn("exc_any", F.lit(False))
-    return flag_exceptions(tagged, exceptions_common_sku(t.exc, scope.sku, b.clients), b.lo, b.hi)
+    return add_flags(tagged, scope_exception_keys(t, scope)[0])
 
 
 def flagged_sales(t: PromoTables, rules: PromoRules = REPORT_RULES, scope: PromoScope | None = None) -> DataFrame:
     """Every sale (any operation type) in either window of a pair, with the
     window and the exception flags."""
-    scope = scope or promo_scope(t, rules, "both")
+    scope = scope or promo_scope(t, rules, "both", exceptions=True)
     return flag_scope(t, scope, rules, sale_only=False)
 
 
@@ -97,13 +103,12 @@ def report_pivot(t: PromoTables, rules: PromoRules = REPORT_RULES, scope: PromoS
     is constant on, so the shuffle for the exception join carries groups, not
     rows, and a hot buyer is bounded by its pairs x days.
     """
-    scope = scope or promo_scope(t, rules, "both")
+    scope = scope or promo_scope(t, rules, "both", exceptions=True)
     parts = M.parts(tag_sales(t, scope, rules, sale_only=False), rules)
-    b = scope.bounds
-    if b is None:
+    if scope.bounds is None:
         flagged = parts.withColumn("exc_on_date", F.lit(False)).withColumn("exc_any", F.lit(False))
     else:
-        keys, keys_small = exception_keys(exceptions_common_sku(t.exc, scope.sku, b.clients), b.lo, b.hi)
+        keys, keys_small = scope_exception_keys(t, scope)
         flagged = add_flags(parts if keys_small else M.combine_parts(parts), keys)
     return M.stage2(M.stage1(flagged, rules))
 
@@ -121,6 +126,7 @@ def report_columns(df: DataFrame) -> DataFrame:
 
 def report_new(t: PromoTables, rules: PromoRules = REPORT_RULES) -> DataFrame:
     """The report: 21 columns (``id_promotion`` is a key but not shown)."""
-    scope = promo_scope(t, rules, "both", also=lambda sku_side: name_tables(t, sku_side))
+    scope = promo_scope(t, rules, "both", exceptions=True,
+                        also=lambda pairs, sku_side: [pair_names(t, pairs, sku_side)])
     pivot = report_pivot(t, rules, scope).select(*PAIR_KEYS, *[c for n in M.PIVOT_NAMES.values() for c in n])
-    return report_columns(add_names(pivot, t, scope.also))
+    return report_columns(add_pair_names(pivot, scope.also[0]))

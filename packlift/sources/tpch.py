@@ -10,6 +10,7 @@ DataFrame work and scales with the source tables: the sales fact grows with
 from __future__ import annotations
 
 import hashlib
+import threading
 from dataclasses import fields
 from datetime import date
 
@@ -221,6 +222,7 @@ def derive_tpch(spark: SparkSession, sf_dir: str) -> PromoTables:
 
 SOURCES = ("lineitem", "orders", "part", "nation", "region", "customer")
 _STORED: dict[tuple[str, str], str] = {}
+_STORE_LOCK = threading.Lock()
 
 
 def _fs(spark: SparkSession, path: str):
@@ -266,11 +268,12 @@ def load_tpch(spark: SparkSession, sf_dir: str, stored: bool = True) -> PromoTab
         return derive_tpch(spark, sf_dir)
     ckpt = ensure_checkpoint_dir(spark)
     key = (ckpt, sf_dir)
-    root = _STORED.get(key)
-    if root is None:
-        root = f"{ckpt.rstrip('/')}/packlift-inputs/{_fingerprint(spark, sf_dir)}"
-        fs, marker = _fs(spark, f"{root}/_COMPLETE")
-        if not fs.exists(marker):
-            store_tpch(spark, sf_dir, root)
-        _STORED[key] = root
+    with _STORE_LOCK:
+        root = _STORED.get(key)
+        if root is None:
+            root = f"{ckpt.rstrip('/')}/packlift-inputs/{_fingerprint(spark, sf_dir)}"
+            fs, marker = _fs(spark, f"{root}/_COMPLETE")
+            if not fs.exists(marker):
+                store_tpch(spark, sf_dir, root)
+            _STORED[key] = root
     return load_warehouse(spark, root)
