@@ -101,10 +101,12 @@ def stage2(s1: DataFrame) -> DataFrame:
                  F.count(F.when((n > 0) & F.col("tin_buyer").isNotNull(), F.lit(1))).alias(f"_acb_{label}")]
     out = s1.groupBy(*PAIR_KEYS).agg(*aggs)
     out = out.where(F.greatest(*[F.col(f"n_{label}") for label, _, _ in SALES_TYPES]) > 0)
+    cols = list(PAIR_KEYS)
     for label, _, _ in SALES_TYPES:
-        an = PIVOT_NAMES[label][2]
-        out = out.withColumn(an, F.when(F.col(f"n_{label}") > 0, F.col(f"_acb_{label}"))).drop(f"_acb_{label}")
-    return out
+        qn, pn, an = PIVOT_NAMES[label]
+        n = F.col(f"n_{label}")
+        cols += [qn, pn, n.alias(f"n_{label}"), F.when(n > 0, F.col(f"_acb_{label}")).alias(an)]
+    return out.select(*cols)
 
 
 def unpivot(s2: DataFrame) -> DataFrame:

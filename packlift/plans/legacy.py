@@ -71,9 +71,8 @@ def legacy_pair_measures(t: PromoTables, rules: PromoRules = LEGACY_RULES,
     matching sales has NULL sums and zero counts."""
     per_pair = M.legacy_stage2(legacy_buyers(t, rules, scope))
     out = legacy_pairs(t, rules).join(per_pair, PAIR_KEYS, "left")
-    for c in COUNT_MEASURES:
-        out = out.withColumn(c, F.coalesce(F.col(c), F.lit(0)).cast("bigint"))
-    return out.select(*PAIR_KEYS, *LEGACY_MEASURES)
+    return out.select(*PAIR_KEYS, *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) if c in COUNT_MEASURES
+                                     else F.col(c) for c in LEGACY_MEASURES])
 
 
 def report_legacy(t: PromoTables, rules: PromoRules = LEGACY_RULES) -> DataFrame:
