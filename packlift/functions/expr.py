@@ -35,17 +35,10 @@ def control_end(start="start_date") -> Column:
     return F.date_sub(col(start), 1)
 
 
-def in_promo(date="operation_date", start="start_date", end="end_date") -> Column:
-    return col(date).between(col(start), col(end))
 
 
-def in_control(date="operation_date", start="start_date", end="end_date") -> Column:
-    return col(date).between(control_start(start, end), control_end(start))
 
 
-def in_either_window(date="operation_date", start="start_date", end="end_date") -> Column:
-    """Promo or control window, as one range ``[control_start, end]``."""
-    return col(date).between(control_start(start, end), col(end))
 
 
 def packs(q, m) -> Column:

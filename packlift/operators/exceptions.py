@@ -96,12 +96,6 @@ def add_flags(rows: DataFrame, keys: DataFrame) -> DataFrame:
             .drop("intervals"))
 
 
-def flag_exceptions(rows: DataFrame, exc_cs: DataFrame, lo: date, hi: date) -> DataFrame:
-    """``add_flags`` with the key table built and sized here. ``rows`` must
-    lie inside ``[lo, hi]``. When the table is too large to broadcast both
-    sides shuffle on the three keys and AQE splits hot sales keys (the table
-    side has one row per key)."""
-    return add_flags(rows, exception_keys(exc_cs, lo, hi)[0])
 
 
 def excluded(policy: str) -> F.Column:

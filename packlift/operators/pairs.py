@@ -79,8 +79,6 @@ def pair_stats(pairs: DataFrame, windows: str = "both") -> tuple[int, PairBounds
     return row["n"], _bounds(row)
 
 
-def pair_bounds(pairs: DataFrame, windows: str = "both") -> PairBounds | None:
-    return pair_stats(pairs, windows)[1]
 
 
 @dataclass

@@ -27,7 +27,7 @@ from packlift.plans import legacy as L
 from packlift.plans import present as P
 from packlift.plans import reconcile as C
 from packlift.plans import report as R
-from packlift.rules import CONDITION_RULES, LEGACY_RULES, REPORT_RULES
+from packlift.rules import LEGACY_RULES, REPORT_RULES
 from packlift.sources.tables import PromoTables
 from packlift.sources.tpch import load_tpch
 
