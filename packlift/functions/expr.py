@@ -16,30 +16,77 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def multiple(rules: PromoRules, type_col="id_promotion_type") -> Column:
+# Each rule is stated once, as SQL expression text over column names; the
+# Column helpers below wrap it with ``F.expr``, and the generated per-type
+# measures compose the text (one parse per expression instead of a driver
+# round trip per operator).
+
+def _ints(xs) -> str:
+    return ", ".join(str(int(x)) for x in xs)
+
+
+def multiple_sql(rules: PromoRules, type_col: str = "id_promotion_type") -> str:
     """Promo multiple: ``type + offset`` (type 0 is "1+1", multiple 2)."""
-    return col(type_col) + F.lit(rules.multiple_offset)
+    return f"({type_col} + {int(rules.multiple_offset)})"
 
 
-def control_start(start="start_date", end="end_date") -> Column:
+def control_start_sql(start: str = "start_date", end: str = "end_date") -> str:
     """First day of the control window: ``start - (end - start)``.
 
     The control window ``[control_start, start - 1]`` is one day shorter than
     the promo window and empty for a one-day promo; it touches the promo
     window, so the two together are ``[control_start, end]``.
     """
-    return F.date_sub(col(start), F.datediff(col(end), col(start)))
+    return f"date_sub({start}, datediff({end}, {start}))"
 
 
-def control_end(start="start_date") -> Column:
-    return F.date_sub(col(start), 1)
+def qualifies_sql(rules: PromoRules, q: str = "quantity", m: str = "multiple", client: str = "id_client",
+                  type_col: str = "id_promotion_type") -> str:
+    """Quantity rule: whole multiples for the listed clients, else ``q >= m``.
+
+    With ``rules.rule_types`` set, other promo types yield NULL (never true),
+    as a rule table without an ``else`` branch does.
+    """
+    rule = f"{q} >= {m}"
+    if rules.whole_multiple_clients:
+        rule = f"CASE WHEN {client} IN ({_ints(rules.whole_multiple_clients)}) THEN {q} % {m} = 0 ELSE {rule} END"
+    if rules.rule_types is not None:
+        rule = f"CASE WHEN {type_col} IN ({_ints(rules.rule_types)}) THEN {rule} END"
+    return rule
 
 
+def scored_sql(rules: PromoRules, q: str = "quantity", m: str = "multiple", client: str = "id_client",
+               type_col: str = "id_promotion_type") -> str:
+    """Quantity if the rule holds, else 0."""
+    return f"CASE WHEN {qualifies_sql(rules, q, m, client, type_col)} THEN {q} ELSE 0 END"
+
 
+def packs_sql(q: str, m: str) -> str:
+    """Whole packs ``trunc(q / m)`` as SQL text (see ``packs``)."""
+    return f"CAST(({q}) / ({m}) AS BIGINT)"
 
 
+def multiple(rules: PromoRules, type_col: str = "id_promotion_type") -> Column:
+    return F.expr(multiple_sql(rules, type_col))
 
 
+def control_start(start: str = "start_date", end: str = "end_date") -> Column:
+    return F.expr(control_start_sql(start, end))
+
+
+def control_end(start="start_date") -> Column:
+    return F.date_sub(col(start), 1)
+
+
+def qualifies(rules: PromoRules, q: str = "quantity", m: str = "multiple", client: str = "id_client",
+              type_col: str = "id_promotion_type") -> Column:
+    return F.expr(qualifies_sql(rules, q, m, client, type_col))
+
+
+def scored_quantity(rules: PromoRules, q: str = "quantity", m: str = "multiple", client: str = "id_client",
+                    type_col: str = "id_promotion_type") -> Column:
+    return F.expr(scored_sql(rules, q, m, client, type_col))
+
 
 def packs(q, m) -> Column:
     """Whole packs ``trunc(q / m)``, truncated toward zero (-7 / 3 -> -2).
@@ -56,26 +103,6 @@ def floor_packs(q, m) -> Column:
     return F.floor(col(q) / col(m))
 
 
-def qualifies(rules: PromoRules, q="quantity", m="multiple", client="id_client",
-              type_col="id_promotion_type") -> Column:
-    """Quantity rule: whole multiples for the listed clients, else ``q >= m``.
-
-    With ``rules.rule_types`` set, other promo types yield NULL (never true),
-    as a rule table without an ``else`` branch does.
-    """
-    q, m = col(q), col(m)
-    rule = F.when(col(client).isin(list(rules.whole_multiple_clients)), q % m == 0).otherwise(q >= m)
-    if rules.rule_types is not None:
-        rule = F.when(col(type_col).isin(list(rules.rule_types)), rule)
-    return rule
-
-
-def scored_quantity(rules: PromoRules, q="quantity", m="multiple", client="id_client",
-                    type_col="id_promotion_type") -> Column:
-    """Quantity if the rule holds, else 0."""
-    return F.when(qualifies(rules, q, m, client, type_col), col(q)).otherwise(F.lit(0))
-
-
 def times_ratio(q, m, b) -> Column:
     """``q / m * b`` in decimals, unfloored, keeping 14 places in the quotient.
 

@@ -98,15 +98,19 @@ def add_flags(rows: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 
-def excluded(policy: str) -> F.Column:
-    """Exclusion flag of a flagged row under a date policy."""
+def excluded_sql(policy: str) -> str:
+    """Exclusion flag of a flagged row under a date policy, as SQL text."""
     if policy == "sale_date":
-        return F.col("exc_on_date")
+        return "exc_on_date"
     if policy == "sale_date_or_any_in_control":
-        return F.when(F.col("in_promo"), F.col("exc_on_date")).otherwise(F.col("exc_any"))
+        return "CASE WHEN in_promo THEN exc_on_date ELSE exc_any END"
     raise ValueError(f"not a per-row policy: {policy!r}")
 
 
+def excluded(policy: str) -> F.Column:
+    return F.expr(excluded_sql(policy))
+
+
 def legacy_lists(exc_cs: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The ``promo_start`` policy's per-pair exclusion list, in two parts.
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packlift.functions import expr as X
-from packlift.operators.exceptions import excluded
+from packlift.operators.exceptions import excluded_sql
 from packlift.operators.pairs import PAIR_KEYS
 from packlift.rules import PromoRules
 
@@ -45,19 +45,18 @@ def parts(tagged: DataFrame, rules: PromoRules) -> DataFrame:
     Conditional types: sales only and the quantity rule met; totals: every
     row. A row whose scored quantity is 0 counts for no type.
     """
-    sale = F.col("id_operation_type") == rules.sale_operation_type
-    scored = X.scored_quantity(rules)
-    cols = []
+    scored = X.scored_sql(rules)
+    exprs = []
     for label, conditional, promo_window in SALES_TYPES:
-        window = F.col("in_promo") if promo_window else ~F.col("in_promo")
-        q = scored if conditional else F.col("quantity")
-        flag = window & (q != 0)
+        window = "in_promo" if promo_window else "NOT in_promo"
+        q = f"({scored})" if conditional else "quantity"
+        flag = f"{window} AND {q} <> 0"
         if conditional:
-            flag = flag & sale
-        cols += [F.when(flag, q).alias(f"q_{label}"),
-                 F.when(flag, X.packs(q, "multiple")).alias(f"p_{label}"),
-                 flag.cast("long").alias(f"n_{label}")]
-    return tagged.select(*PAIR_KEYS, "tin_buyer", "operation_date", "in_promo", *cols)
+            flag += f" AND id_operation_type = {int(rules.sale_operation_type)}"
+        exprs += [f"CASE WHEN {flag} THEN {q} END AS q_{label}",
+                  f"CASE WHEN {flag} THEN {X.packs_sql(q, 'multiple')} END AS p_{label}",
+                  f"CAST({flag} AS BIGINT) AS n_{label}"]
+    return tagged.selectExpr(*PAIR_KEYS, "tin_buyer", "operation_date", "in_promo", *exprs)
 
 
 PART_COLS = [f"{m}_{label}" for label, _, _ in SALES_TYPES for m in ("q", "p", "n")]
@@ -69,21 +68,22 @@ def combine_parts(rows: DataFrame) -> DataFrame:
     the groups instead of the rows. Map-side partial aggregation makes a hot
     buyer cost at most (its pairs x days) rows per task."""
     return (rows.groupBy(*PAIR_KEYS, "tin_buyer", "operation_date", "in_promo")
-            .agg(*[F.sum(c).alias(c) for c in PART_COLS]))
+            .agg(*[F.expr(f"sum({c}) AS {c}") for c in PART_COLS]))
 
 
 def stage1(flagged: DataFrame, rules: PromoRules) -> DataFrame:
     """Group (exception-flagged) parts by (pair, TIN): per type the sum of
     quantities, of packs, and the number of rows that counted; conditional
     types drop what the report's exception policy excludes."""
-    keep = ~excluded(rules.exception_policy)
+    keep = f"NOT ({excluded_sql(rules.exception_policy)})"
     aggs = []
     for label, conditional, _ in SALES_TYPES:
-        q, p, n = (F.col(f"{m}_{label}") for m in ("q", "p", "n"))
+        q, p, n = (f"{m}_{label}" for m in ("q", "p", "n"))
         if conditional:
-            q, p, n = F.when(keep, q), F.when(keep, p), F.when(keep, n).otherwise(F.lit(0))
-        aggs += [F.sum(q).alias(f"q_{label}"), F.sum(p).alias(f"p_{label}"), F.sum(n).alias(f"n_{label}")]
-    return flagged.groupBy(*PAIR_KEYS, "tin_buyer").agg(*aggs)
+            q, p, n = (f"CASE WHEN {keep} THEN {q} END", f"CASE WHEN {keep} THEN {p} END",
+                       f"CASE WHEN {keep} THEN {n} ELSE 0 END")
+        aggs += [f"sum({q}) AS q_{label}", f"sum({p}) AS p_{label}", f"sum({n}) AS n_{label}"]
+    return flagged.groupBy(*PAIR_KEYS, "tin_buyer").agg(*[F.expr(a) for a in aggs])
 
 
 def stage2(s1: DataFrame) -> DataFrame:
@@ -92,21 +92,15 @@ def stage2(s1: DataFrame) -> DataFrame:
     A type without rows has NULL quantity, packs and ACB; a pair without
     rows of any type is absent.
     """
-    aggs = []
-    for label, _, _ in SALES_TYPES:
-        qn, pn, an = PIVOT_NAMES[label]
-        n = F.col(f"n_{label}")
-        aggs += [F.sum(f"q_{label}").alias(qn), F.sum(f"p_{label}").alias(pn),
-                 F.sum(n).alias(f"n_{label}"),
-                 F.count(F.when((n > 0) & F.col("tin_buyer").isNotNull(), F.lit(1))).alias(f"_acb_{label}")]
-    out = s1.groupBy(*PAIR_KEYS).agg(*aggs)
-    out = out.where(F.greatest(*[F.col(f"n_{label}") for label, _, _ in SALES_TYPES]) > 0)
-    cols = list(PAIR_KEYS)
+    aggs, cols = [], list(PAIR_KEYS)
     for label, _, _ in SALES_TYPES:
         qn, pn, an = PIVOT_NAMES[label]
-        n = F.col(f"n_{label}")
-        cols += [qn, pn, n.alias(f"n_{label}"), F.when(n > 0, F.col(f"_acb_{label}")).alias(an)]
-    return out.select(*cols)
+        aggs += [f"sum(q_{label}) AS {qn}", f"sum(p_{label}) AS {pn}", f"sum(n_{label}) AS n_{label}",
+                 f"count(CASE WHEN n_{label} > 0 AND tin_buyer IS NOT NULL THEN 1 END) AS _acb_{label}"]
+        cols += [qn, pn, f"n_{label}", f"CASE WHEN n_{label} > 0 THEN _acb_{label} END AS {an}"]
+    any_rows = "greatest(" + ", ".join(f"n_{label}" for label, _, _ in SALES_TYPES) + ") > 0"
+    return (s1.groupBy(*PAIR_KEYS).agg(*[F.expr(a) for a in aggs])
+            .where(any_rows).selectExpr(*cols))
 
 
 def unpivot(s2: DataFrame) -> DataFrame:

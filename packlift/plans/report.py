@@ -87,11 +87,11 @@ def combined_sales(flagged: DataFrame, rules: PromoRules = REPORT_RULES) -> Data
 def sales_packs(combined: DataFrame, rules: PromoRules = REPORT_RULES) -> DataFrame:
     """Scored quantity and packs per combined row: totals pass the quantity,
     conditional rows apply the quantity rule."""
-    m = X.multiple(rules)
+    m = X.multiple_sql(rules)
     total = F.col("sales_type").startswith("total")
     sq = F.when(total, F.col("quantity")).otherwise(X.scored_quantity(rules, m=m))
     return (combined.withColumn("sales_quantity", sq)
-            .withColumn("sales_pack", X.packs("sales_quantity", m)))
+            .withColumn("sales_pack", X.packs("sales_quantity", X.multiple(rules))))
 
 
 def report_pivot(t: PromoTables, rules: PromoRules = REPORT_RULES, scope: PromoScope | None = None) -> DataFrame:
