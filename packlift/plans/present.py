@@ -48,14 +48,13 @@ def _z(c: str) -> F.Column:
 def _names(df: DataFrame, rs: ReconScope) -> DataFrame:
     """Live common SKU name and the client's name valid on ``as_of``; a
     deleted or missing row leaves the name NULL and keeps the row."""
-    common, clients = rs.names[:2]
-    return df.join(common, "id_common_sku", "left").join(clients, "id_client", "left")
+    return df.join(rs.names[0], ["id_common_sku", "id_client"], "left")
 
 
 def hot_by_tin(t: PromoTables, as_of: date, rules: PromoRules = CONDITION_RULES) -> DataFrame:
     """Reconciliation by TIN for reading: 19 labelled columns."""
     rs = recon_scope(t, rules, as_of, entity=True)
-    df = _names(recon_by_tin(t, rules=rules, rs=rs), rs).join(rs.names[2], "tin_buyer", "left")
+    df = _names(recon_by_tin(t, rules=rules, rs=rs), rs).join(rs.names[1], "tin_buyer", "left")
     return df.select(
         F.col("common_sku_name").alias(PRODUCT),
         "id_common_sku",

@@ -47,8 +47,8 @@ class ReconScope:
     scope     pairs and SKU side of the qualifying-sales view
     price     live prices of live SKUs: (id_common_sku, bonus, start_date, id_client)
     sku_live  live SKUs of the pairs' common SKUs: (id_sku, id_common_sku)
-    names     presentation lookups when asked for: live common SKU names,
-              client names valid on ``as_of`` [, live legal entities]
+    names     presentation lookups when asked for: names per (common SKU,
+              client) valid on ``as_of`` [, live legal entities by TIN]
     """
 
     scope: PromoScope
@@ -62,8 +62,15 @@ def _price_side(t: PromoTables, sku_live: DataFrame) -> DataFrame:
             .select("id_common_sku", "bonus", F.col("sale_date").alias("start_date"), "id_client"))
 
 
-def presentation_tables(t: PromoTables, as_of: date, entity: bool) -> list[DataFrame]:
-    out = [live(t.common_sku).select("id_common_sku", "common_sku_name"), client_as_of(t, as_of)]
+def presentation_tables(t: PromoTables, pairs: DataFrame, as_of: date, entity: bool) -> list[DataFrame]:
+    """The live common SKU name and the client name valid on ``as_of``,
+    resolved once per (common SKU, client) of the pairs (one small table, one
+    lookup join; a missing or deleted name stays NULL), and the live legal
+    entities keyed by TIN when asked for."""
+    names = (pairs.select("id_common_sku", "id_client").distinct()
+             .join(live(t.common_sku).select("id_common_sku", "common_sku_name"), "id_common_sku", "left")
+             .join(client_as_of(t, as_of), "id_client", "left"))
+    out = [names]
     if entity:
         out.append(live(t.entity).select(F.col("id_legal_entity").alias("tin_buyer"), "legal_entity_name"))
     return out
@@ -80,7 +87,7 @@ def recon_scope(t: PromoTables, rules: PromoRules = CONDITION_RULES, as_of: date
         sku_live = live(t.sku).select("id_sku").join(sku_side, "id_sku")
         extra = [_price_side(t, sku_live), sku_live]
         if as_of is not None:
-            extra += presentation_tables(t, as_of, entity)
+            extra += presentation_tables(t, pairs, as_of, entity)
         return extra
 
     s = promo_scope(t, rules, "promo", also=also, exceptions=True)
