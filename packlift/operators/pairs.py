@@ -50,33 +50,40 @@ def window_start(windows: str) -> F.Column:
     return X.control_start() if windows == "both" else F.col("start_date")
 
 
-def _stats_aggs(windows: str) -> list:
-    ok = F.col("end_date") >= F.col("start_date")
-    return [
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.when(ok, window_start(windows))).alias("lo"),
-        F.max(F.when(ok, F.col("end_date"))).alias("hi"),
-        F.count_distinct(F.when(ok, F.col("id_client"))).alias("n_clients"),
-        # Distinct clients of the pairs; used only when there are few.
-        F.slice(F.array_sort(F.collect_set(F.when(ok, F.col("id_client")))), 1, MAX_PUSHED_CLIENTS + 1)
-        .alias("clients"),
-    ]
-
-
-def _bounds(row) -> PairBounds | None:
-    if row["lo"] is None:
-        return None
-    clients = tuple(row["clients"]) if row["n_clients"] <= MAX_PUSHED_CLIENTS else None
-    return PairBounds(row["lo"], row["hi"], clients)
+def _ok() -> F.Column:
+    return F.col("end_date") >= F.col("start_date")
+
+
+def _stats_parts(pairs: DataFrame, windows: str) -> list[DataFrame]:
+    """Two union parts: the pairs' stats row (``i = 0``: count, earliest
+    window start, latest end), and up to ``MAX_PUSHED_CLIENTS + 1`` of their
+    distinct clients (``i = -1``, one row each; a distributed distinct, then
+    a limit, so no task or driver ever holds more than that)."""
+    stats = pairs.agg(F.count(F.lit(1)).alias("n"),
+                      F.min(F.when(_ok(), window_start(windows))).alias("lo"),
+                      F.max(F.when(_ok(), F.col("end_date"))).alias("hi"))
+    stats = stats.select(F.lit(0).alias("i"), "n", "lo", "hi", F.lit(None).cast("int").alias("client"))
+    clients = (pairs.where(_ok()).select(F.col("id_client").alias("client")).distinct()
+               .limit(MAX_PUSHED_CLIENTS + 1)
+               .select(F.lit(-1).alias("i"), F.lit(None).cast("bigint").alias("n"),
+                       F.lit(None).cast("date").alias("lo"), F.lit(None).cast("date").alias("hi"), "client"))
+    return [stats, clients]
+
+
+def _bounds(rows) -> tuple[int, PairBounds | None]:
+    stats = next(r for r in rows if r["i"] == 0)
+    if stats["lo"] is None:
+        return stats["n"], None
+    got = sorted(r["client"] for r in rows if r["i"] == -1)
+    clients = tuple(got) if len(got) <= MAX_PUSHED_CLIENTS else None
+    return stats["n"], PairBounds(stats["lo"], stats["hi"], clients)
 
 
 def pair_stats(pairs: DataFrame, windows: str = "both") -> tuple[int, PairBounds | None]:
     """Row count of the pairs and their bounds: earliest window start, latest
-    end and (when at most ``MAX_PUSHED_CLIENTS``) their clients. One row comes
-    back to the driver. Bounds are ``None`` when no pair has a non-empty
-    window (then no sale can match)."""
-    row = pairs.agg(*_stats_aggs(windows)).first()
-    return row["n"], _bounds(row)
+    end and (when at most ``MAX_PUSHED_CLIENTS``) their clients. Bounds are
+    ``None`` when no pair has a non-empty window (then no sale can match)."""
+    return _bounds(reduce(DataFrame.unionByName, _stats_parts(pairs, windows)).collect())
 
 
 
@@ -124,15 +131,15 @@ def promo_scope(t: PromoTables, rules: PromoRules, windows: str = "both", pairs:
         exc = t.exc.join(pairs.select("id_client").distinct(), "id_client", "left_semi")
         extra.append(merged_intervals(exceptions_common_sku(exc, sku_side)))
     extra = [d.persist(StorageLevel.MEMORY_AND_DISK) for d in extra]
-    aggs = _stats_aggs(windows)
     empty = [F.lit(None).cast(T.DateType()).alias("lo"), F.lit(None).cast(T.DateType()).alias("hi"),
-             F.lit(0).cast("bigint").alias("n_clients"), F.lit(None).cast("array<int>").alias("clients")]
-    parts = [pairs.agg(*aggs).select(F.lit(0).alias("i"), "n", "lo", "hi", "n_clients", "clients")]
+             F.lit(None).cast("int").alias("client")]
+    parts = _stats_parts(pairs, windows)
     for i, d in enumerate([sku_side, *extra], start=1):
         parts.append(d.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n", *empty))
-    rows = {r["i"]: r for r in reduce(DataFrame.unionByName, parts).collect()}
+    got = reduce(DataFrame.unionByName, parts).collect()
+    rows = {r["i"]: r for r in got if r["i"] > 0}
+    n, bounds = _bounds(got)
     limit = max_broadcast_rows(pairs)
-    n = rows[0]["n"]
     sized = []
     for i, d in enumerate([sku_side, *extra], start=1):
         if rows[i]["n"] > limit:
@@ -142,5 +149,5 @@ def promo_scope(t: PromoTables, rules: PromoRules, windows: str = "both", pairs:
     if exceptions:
         keys, keys_small = sized[-1], rows[len(sized)]["n"] <= limit
         sized = sized[:-1]
-    return PromoScope(hint_if(pairs, n, limit), _bounds(rows[0]), sized[0], windows, n <= limit, sized[1:],
+    return PromoScope(hint_if(pairs, n, limit), bounds, sized[0], windows, n <= limit, sized[1:],
                       keys, keys_small)
