@@ -293,3 +293,19 @@ def test_report_columns_and_amounts(spark):
 def X_control_start(spark):
     df = spark.createDataFrame([(START, END)], "start_date date, end_date date")
     return df.select(X.control_start().alias("c")).first()["c"]
+
+
+def test_rules_are_data(spark):
+    from packlift.rules import REPORT_RULES
+
+    rows = Rows(promo=[(1, 0, 36, START, END, None), (2, 1, 28, START, END, None)],
+                lnk=[(1, 1, None), (2, 1, None)])
+    rows.sell(TIN_A, "2024-01-12", 3, client=36).sell(TIN_A, "2024-01-12", 4, client=28)
+    t = rows.tables(spark)
+    default = {r["id_promotion"]: r for r in R.report_pivot(t).collect()}
+    assert default[1]["sales_quantity_promo"] is None        # 3 is not a whole multiple of 2
+    assert default[2]["sales_quantity_promo"] == q(4)
+    variant = REPORT_RULES.with_(clients=(36,), whole_multiple_clients=())
+    got = {r["id_promotion"]: r for r in R.report_pivot(t, variant).collect()}
+    assert set(got) == {1}                                    # client 28 left the whitelist
+    assert got[1]["sales_quantity_promo"] == q(3)             # threshold rule: 3 >= 2
