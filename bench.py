@@ -29,6 +29,14 @@ HEADLINE = [
 ]
 
 
+def _sf_number(sf_dir: str):
+    name = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -63,7 +71,7 @@ def main() -> None:
         "value": total,
         "unit": "sec",
         "queries": times,
-        "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
+        "sf": _sf_number(sf_dir),
         "report_new_cold_sec": round(cold, 3),
         "derive_inputs_sec": round(derive_sec, 3),
         "rows": rows,
