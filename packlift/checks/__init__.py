@@ -1,0 +1 @@
+"""Oracle SQL for the correctness gate (DuckDB dialect)."""

@@ -1,0 +1 @@
+"""Column expressions of the promo domain (built-in functions only)."""

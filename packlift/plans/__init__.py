@@ -1,0 +1,2 @@
+"""The reports: promo report, legacy report, qualifying sales and
+reconciliation, presentation."""
