@@ -74,10 +74,6 @@ def control_start(start: str = "start_date", end: str = "end_date") -> Column:
     return F.expr(control_start_sql(start, end))
 
 
-def control_end(start="start_date") -> Column:
-    return F.date_sub(col(start), 1)
-
-
 def qualifies(rules: PromoRules, q: str = "quantity", m: str = "multiple", client: str = "id_client",
               type_col: str = "id_promotion_type") -> Column:
     return F.expr(qualifies_sql(rules, q, m, client, type_col))
@@ -103,16 +99,17 @@ def floor_packs(q, m) -> Column:
     return F.floor(col(q) / col(m))
 
 
-def times_ratio(q, m, b) -> Column:
-    """``q / m * b`` in decimals, unfloored, keeping 14 places in the quotient.
+def ratio_difference(a: tuple, b: tuple) -> Column:
+    """``qa * ba / ma - qb * bb / mb`` of two (quantity, bonus, multiple)
+    triples; an absent first term counts as 0, an absent second gives NULL.
 
-    Operands are narrowed first (quantity sums to ``decimal(20,3)``, bonus to
-    ``decimal(10,2)``) so Spark's result type needs no precision cut: the
-    product is ``decimal(35,16)`` and any rounding to the reported 6 places
-    happens once, at the end.
+    Everything is multiplied before the one division, in the widest decimals,
+    so thirds are rounded once and nothing is narrowed.
     """
-    quotient = (col(q).cast("decimal(20,3)") / col(m)).cast("decimal(24,14)")
-    return quotient * col(b).cast("decimal(10,2)")
+    (qa, ba, ma), (qb, bb, mb) = [[col(c) for c in t] for t in (a, b)]
+    first, second = qa * ba, qb * bb
+    both = (first * mb - second * ma) / (ma * mb)
+    return F.when(first.isNull() | ma.isNull(), -second / mb).otherwise(both)
 
 
 def promo_label(m) -> Column:

@@ -30,21 +30,18 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from packlift.operators.broadcast import sized_broadcast
 from packlift.operators.pairs import PAIR_KEYS
 
 EXC_KEYS = ["id_client", "tin_buyer", "id_common_sku"]
+NULL_TIN_SPREAD = 256    # keys over which rows without a TIN are spread per (client, common SKU)
 
 
-def exceptions_common_sku(exc: DataFrame, sku_side: DataFrame, clients: tuple[int, ...] | None = None) -> DataFrame:
+def exceptions_common_sku(exc: DataFrame, sku_side: DataFrame) -> DataFrame:
     """Exception rows with the common SKU of their SKU (inner join).
 
-    ``sku_side`` is (id_sku, id_common_sku), already sized; a report passes
-    only its pairs' SKUs, and ``clients`` its pairs' clients, since no other
-    exception can meet one of its sales.
+    ``sku_side`` is (id_sku, id_common_sku); a report passes only its pairs'
+    SKUs, since no other exception can meet one of its sales.
     """
-    if clients is not None:
-        exc = exc.where(F.col("id_client").isin(list(clients)))
     return exc.join(sku_side, "id_sku").select(
         "id_client", "id_sku", "tin_buyer", "start_date", "end_date", "id_common_sku")
 
@@ -77,25 +74,23 @@ def merged_intervals(exc_cs: DataFrame, lo: date | None = None, hi: date | None
         F.collect_list(F.when(F.col("s").isNotNull(), F.struct("s", "e"))).alias("intervals"))
 
 
-def exception_keys(exc_cs: DataFrame, lo: date | None = None, hi: date | None = None) -> tuple[DataFrame, bool]:
-    """``merged_intervals``, sized: ``(table, True)`` broadcast-hinted when
-    counted small, else ``(table, False)``."""
-    return sized_broadcast(merged_intervals(exc_cs, lo, hi))
-
-
 def add_flags(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """Add ``exc_on_date`` (an exception of the row's key covers its
-    ``operation_date``) and ``exc_any`` (its key has any exception) from an
-    ``exception_keys`` table (one row per key: an equi left join, no fan-out).
+    ``operation_date``) and ``exc_any`` (its key has any exception) from a
+    ``merged_intervals`` table (one row per key: an equi left join, no fan-out).
+
+    A row without a TIN matches no exception; such rows join under spread
+    keys of their own, so they do not meet in one task.
     """
     d = F.col("operation_date")
-    return (rows.join(keys, EXC_KEYS, "left")
+    spread = F.when(F.col("tin_buyer").isNull(), 1 + F.pmod(F.xxhash64(*[c for c in rows.columns if c != "tin_buyer"]),
+                                                            F.lit(NULL_TIN_SPREAD))).otherwise(0)
+    return (rows.withColumn("_spread", spread)
+            .join(keys.withColumn("_spread", F.lit(0).cast("bigint")), [*EXC_KEYS, "_spread"], "left")
             .withColumn("exc_on_date",
                         F.coalesce(F.exists("intervals", lambda iv: d.between(iv["s"], iv["e"])), F.lit(False)))
             .withColumn("exc_any", F.col("intervals").isNotNull())
-            .drop("intervals"))
-
-
+            .drop("intervals", "_spread"))
 
 
 def excluded_sql(policy: str) -> str:
@@ -118,8 +113,7 @@ def legacy_lists(exc_cs: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFr
     ``null_listed`` (the list holds a NULL TIN); ``listed``: distinct
     (pair, TIN) with a non-NULL TIN on the list. The list of a pair holds the
     TINs of exceptions of its client and common SKU whose interval covers the
-    promo start. ``pairs`` is the (distinct, sized) pair table; the exception
-    list streams past it.
+    promo start. ``pairs`` is the distinct pair table.
     """
     hit = (exc_cs.select("id_client", "id_common_sku", "tin_buyer",
                          F.col("start_date").alias("exc_start"), F.col("end_date").alias("exc_end"))

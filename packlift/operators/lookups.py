@@ -1,4 +1,4 @@
-"""Dimension lookups of the reports (left joins to small, counted tables)."""
+"""Dimension lookups of the reports (left joins)."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packlift.operators.broadcast import small
 from packlift.sources.tables import PromoTables, live
 
 
@@ -17,26 +16,27 @@ def client_names(t: PromoTables) -> DataFrame:
     return live(t.client).select("id_client", "client_name").distinct()
 
 
-def client_as_of(t: PromoTables, as_of: date) -> DataFrame:
-    """Live clients valid on ``as_of`` (``valid_from <= as_of <= valid_to``)."""
-    return (live(t.client).where(F.lit(as_of).between(F.col("valid_from"), F.col("valid_to")))
+def client_as_of(t: PromoTables, as_of: date | None = None) -> DataFrame:
+    """Live clients valid on ``as_of`` (``valid_from <= as_of <= valid_to``);
+    today when no date is given."""
+    day = F.current_date() if as_of is None else F.lit(as_of)
+    return (live(t.client).where(day.between(F.col("valid_from"), F.col("valid_to")))
             .select("id_client", "client_name"))
 
 
 def bonus_prices(t: PromoTables) -> DataFrame:
-    """Live bonus prices keyed by (client, common SKU, sale date).
+    """Live bonus prices by (client, common SKU, sale date).
 
     Two priced SKUs under one common SKU give two rows; a price whose SKU is
-    unknown has no common SKU and matches nothing. The price list is sized
-    and broadcast; the SKU dimension streams past it.
+    unknown keeps its row with a NULL common SKU, which no pair matches.
     """
-    price = small(live(t.price).select("id_client", "id_sku", "sale_date", "bonus"))
-    return (t.sku.select("id_sku", "id_common_sku").join(price, "id_sku")
+    price = live(t.price).select("id_client", "id_sku", "sale_date", "bonus")
+    return (price.join(t.sku.select("id_sku", "id_common_sku"), "id_sku", "left")
             .select("id_client", "id_common_sku", "sale_date", "bonus"))
 
 
 def name_tables(t: PromoTables, sku_side: DataFrame | None = None) -> list[DataFrame]:
-    """The report's four lookup tables (unsized): promotion types, client
+    """The report's four lookup tables: promotion types, client
     names, common SKU names, and bonus prices keyed by start date.
 
     ``sku_side`` (the SKUs of the report's pairs) restricts the price list to
@@ -70,7 +70,7 @@ def pair_names(t: PromoTables, pairs: DataFrame, sku_side: DataFrame | None = No
 
 
 def add_pair_names(df: DataFrame, names: DataFrame) -> DataFrame:
-    """Left-join a (sized) ``pair_names`` table on the pair columns."""
+    """Left-join a ``pair_names`` table on the pair columns."""
     from packlift.operators.pairs import PAIR_KEYS
 
     return df.join(names, PAIR_KEYS, "left")

@@ -3,25 +3,20 @@ and the scope they give a report: which clients, dates and SKUs can match."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import date
-from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from packlift.functions import expr as X
-from packlift.operators.broadcast import hint_if, max_broadcast_rows
 from packlift.rules import PromoRules
 from packlift.sources.tables import PromoTables, live
 
 PAIR_KEYS = ["id_promotion", "id_promotion_type", "id_common_sku", "id_client", "start_date", "end_date"]
 
-# Above this many distinct promo clients the client list is not pushed to the
-# fact scan as a literal IN list (the window join still restricts clients).
+# Above this many distinct promo clients the fact scan gets their range instead
+# of a literal IN list (the window join restricts clients either way).
 MAX_PUSHED_CLIENTS = 1000
 
 
@@ -39,11 +34,12 @@ def promo_pairs(t: PromoTables, rules: PromoRules | None = None) -> DataFrame:
 
 @dataclass(frozen=True)
 class PairBounds:
-    """What the fact scan may be restricted to, from the (small) pair table."""
+    """What the fact scan may be restricted to, from the pair table."""
 
     lo: date
     hi: date
     clients: tuple[int, ...] | None
+    client_range: tuple[int, int]
 
 
 def window_start(windows: str) -> F.Column:
@@ -54,100 +50,67 @@ def _ok() -> F.Column:
     return F.col("end_date") >= F.col("start_date")
 
 
-def _stats_parts(pairs: DataFrame, windows: str) -> list[DataFrame]:
-    """Two union parts: the pairs' stats row (``i = 0``: count, earliest
-    window start, latest end), and up to ``MAX_PUSHED_CLIENTS + 1`` of their
-    distinct clients (``i = -1``, one row each; a distributed distinct, then
-    a limit, so no task or driver ever holds more than that)."""
-    stats = pairs.agg(F.count(F.lit(1)).alias("n"),
-                      F.min(F.when(_ok(), window_start(windows))).alias("lo"),
-                      F.max(F.when(_ok(), F.col("end_date"))).alias("hi"))
-    stats = stats.select(F.lit(0).alias("i"), "n", "lo", "hi", F.lit(None).cast("int").alias("client"))
-    clients = (pairs.where(_ok()).select(F.col("id_client").alias("client")).distinct()
-               .limit(MAX_PUSHED_CLIENTS + 1)
-               .select(F.lit(-1).alias("i"), F.lit(None).cast("bigint").alias("n"),
-                       F.lit(None).cast("date").alias("lo"), F.lit(None).cast("date").alias("hi"), "client"))
-    return [stats, clients]
-
-
-def _bounds(rows) -> tuple[int, PairBounds | None]:
-    stats = next(r for r in rows if r["i"] == 0)
-    if stats["lo"] is None:
-        return stats["n"], None
-    got = sorted(r["client"] for r in rows if r["i"] == -1)
-    clients = tuple(got) if len(got) <= MAX_PUSHED_CLIENTS else None
-    return stats["n"], PairBounds(stats["lo"], stats["hi"], clients)
-
-
-def pair_stats(pairs: DataFrame, windows: str = "both") -> tuple[int, PairBounds | None]:
-    """Row count of the pairs and their bounds: earliest window start, latest
-    end and (when at most ``MAX_PUSHED_CLIENTS``) their clients. Bounds are
-    ``None`` when no pair has a non-empty window (then no sale can match)."""
-    return _bounds(reduce(DataFrame.unionByName, _stats_parts(pairs, windows)).collect())
-
+def pair_bounds(pairs: DataFrame, windows: str = "both") -> PairBounds | None:
+    """Earliest window start, latest end and clients of the pairs, in one small
+    job; ``None`` when no pair has a non-empty window (then no sale can match).
 
+    A distributed aggregate per client, cut at ``MAX_PUSHED_CLIENTS + 1`` rows,
+    beside the totals: neither a task nor the driver holds more than that.
+    """
+    per_client = pairs.where(_ok()).groupBy("id_client").agg(
+        F.min(window_start(windows)).alias("lo"), F.max("end_date").alias("hi"))
+    total = per_client.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+                           F.min("id_client").alias("first"), F.max("id_client").alias("last"))
+    rows = (total.withColumn("client", F.lit(None).cast("int"))
+            .unionByName(per_client.select(
+                F.lit(None).cast("date").alias("lo"), F.lit(None).cast("date").alias("hi"),
+                F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"),
+                F.col("id_client").cast("int").alias("client")).limit(MAX_PUSHED_CLIENTS + 1))).collect()
+    all_ = next(r for r in rows if r["client"] is None)
+    if all_["lo"] is None:
+        return None
+    clients = sorted(r["client"] for r in rows if r["client"] is not None)
+    return PairBounds(all_["lo"], all_["hi"], tuple(clients) if len(clients) <= MAX_PUSHED_CLIENTS else None,
+                      (all_["first"], all_["last"]))
 
 
 @dataclass
 class PromoScope:
     """The pairs of one report and what they allow the fact scan to skip.
 
-    pairs    the pair table, persisted; broadcast-hinted when counted small
+    pairs    the pair table
     bounds   date range and clients of the pairs' windows (``None``: no window)
-    sku      (id_sku, id_common_sku) of the pairs' common SKUs only, hinted
-             when counted small
+    sku      (id_sku, id_common_sku) of the pairs' common SKUs only
     windows  "both" (promo and control) or "promo"
-    also     further sized candidates (lookup tables and the like)
     exc_keys the exception list as one row per (client, TIN, common SKU) with
-             merged intervals, restricted to the pairs' clients and common
-             SKUs; broadcast-hinted when counted small (``exc_small``)
+             merged intervals inside the bounds, restricted to the pairs'
+             clients and common SKUs
+
+    Everything is lazy and nothing is kept between reports, so each report sees
+    its tables as they are when it runs; how the sides are joined is left to
+    Spark, which broadcasts by measured size and splits skewed shuffles.
     """
 
     pairs: DataFrame
     bounds: PairBounds | None
     sku: DataFrame
     windows: str
-    small_pairs: bool
-    also: list[DataFrame] = field(default_factory=list)
     exc_keys: DataFrame | None = None
-    exc_small: bool = False
 
 
 def promo_scope(t: PromoTables, rules: PromoRules, windows: str = "both", pairs: DataFrame | None = None,
-                also: Callable[[DataFrame, DataFrame], list[DataFrame]] | None = None,
                 exceptions: bool = False) -> PromoScope:
-    """Build the scope in one job: the pairs' stats, and the row counts of the
-    SKU side, of the exception key table (``exceptions=True``) and of any
-    further candidates ``also(pairs, sku_side)`` returns (for example the
-    report's lookup tables), which come back sized in ``scope.also``."""
+    """Build the scope; one small job finds the pairs' bounds."""
     from packlift.operators.exceptions import exceptions_common_sku, merged_intervals
 
-    pairs = (pairs if pairs is not None else promo_pairs(t, rules)).persist(StorageLevel.MEMORY_AND_DISK)
+    pairs = pairs if pairs is not None else promo_pairs(t, rules)
+    bounds = pair_bounds(pairs, windows)
     sku_side = (t.sku.select("id_sku", "id_common_sku")
-                .join(pairs.select("id_common_sku").distinct(), "id_common_sku", "left_semi")
-                .persist(StorageLevel.MEMORY_AND_DISK))
-    extra = list(also(pairs, sku_side)) if also else []
-    if exceptions:
-        exc = t.exc.join(pairs.select("id_client").distinct(), "id_client", "left_semi")
-        extra.append(merged_intervals(exceptions_common_sku(exc, sku_side)))
-    extra = [d.persist(StorageLevel.MEMORY_AND_DISK) for d in extra]
-    empty = [F.lit(None).cast(T.DateType()).alias("lo"), F.lit(None).cast(T.DateType()).alias("hi"),
-             F.lit(None).cast("int").alias("client")]
-    parts = _stats_parts(pairs, windows)
-    for i, d in enumerate([sku_side, *extra], start=1):
-        parts.append(d.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n", *empty))
-    got = reduce(DataFrame.unionByName, parts).collect()
-    rows = {r["i"]: r for r in got if r["i"] > 0}
-    n, bounds = _bounds(got)
-    limit = max_broadcast_rows(pairs)
-    sized = []
-    for i, d in enumerate([sku_side, *extra], start=1):
-        if rows[i]["n"] > limit:
-            d.unpersist()
-        sized.append(hint_if(d, rows[i]["n"], limit))
-    keys, keys_small = None, False
-    if exceptions:
-        keys, keys_small = sized[-1], rows[len(sized)]["n"] <= limit
-        sized = sized[:-1]
-    return PromoScope(hint_if(pairs, n, limit), bounds, sized[0], windows, n <= limit, sized[1:],
-                      keys, keys_small)
+                .join(pairs.select("id_common_sku").distinct(), "id_common_sku", "left_semi"))
+    keys = None
+    if exceptions and bounds is not None:
+        exc = t.exc.where(F.col("id_client").between(*bounds.client_range))
+        if bounds.clients is not None:
+            exc = exc.where(F.col("id_client").isin(list(bounds.clients)))
+        keys = merged_intervals(exceptions_common_sku(exc, sku_side), bounds.lo, bounds.hi)
+    return PromoScope(pairs, bounds, sku_side, windows, keys)

@@ -1,33 +1,55 @@
-"""Where results go: report tables, materialized results, views."""
+"""Where results go: report tables by name, materialized results, views.
+
+Tables live in the session's catalog; ``path`` names their data folder where
+the warehouse's own should not be used. Rows are matched to an existing table
+by column name, and a frame whose columns differ is refused.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def append_table(df: DataFrame, path: str) -> None:
-    """Append to a report table (re-running adds the rows again)."""
-    df.write.mode("append").parquet(path)
+def _matched(df: DataFrame, name: str) -> DataFrame:
+    columns = df.sparkSession.table(name).columns
+    if sorted(columns) != sorted(df.columns):
+        raise ValueError(f"columns of {name} are {columns}, not {df.columns}")
+    return df.select(*[f"`{c}`" for c in columns])
+
+
+def _create(df: DataFrame, name: str, path: str | None) -> None:
+    writer = df.write.format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+
+
+def append_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """Append to a report table, created on first use (re-running adds the rows again)."""
+    if df.sparkSession.catalog.tableExists(name):
+        _matched(df, name).write.insertInto(name)
+    else:
+        _create(df, name, path)
 
 
-def overwrite_table(df: DataFrame, path: str) -> None:
+def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> None:
     """Replace a report table's contents (truncate, then load)."""
-    df.write.mode("overwrite").parquet(path)
+    if df.sparkSession.catalog.tableExists(name):
+        _matched(df, name).write.insertInto(name, overwrite=True)
+    else:
+        _create(df, name, path)
 
 
-def materialize(df: DataFrame, path: str) -> DataFrame:
-    """Store a result and read it back: the stored copy serves later reads and
-    cuts the lineage (recovery after a lost executor restarts from the files,
-    not from the sales scan). ``path`` should lie in the shared folder the
-    cluster names in ``spark.checkpoint.dir``."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Store a result as a table and read it back: the stored copy serves later
+    reads and cuts the lineage (recovery after a lost executor restarts from the
+    files, not from the sales scan)."""
+    overwrite_table(df, name, path)
+    return df.sparkSession.table(name)
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
     """Create or replace a (session) view; readers see the query, re-run."""
     df.createOrReplaceTempView(name)
-    return df
+    return df.sparkSession.table(name)
 
 
 def read_view(spark: SparkSession, name: str) -> DataFrame:

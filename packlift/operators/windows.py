@@ -9,10 +9,9 @@ apart afterwards.
 Plan shape (checked in tests): the fact is scanned once, with the live, client,
 operation-type and ``[lo, hi]`` date filters pushed to Parquet (partition
 filters on the year layout); it meets the SKU dimension and the pair table in
-two hash joins. Both build sides are broadcast only after their rows are
-counted (``sized_broadcast``); the pair join carries the window test as a
-residual condition on the equi keys (common SKU, client), never a range-only
-(nested-loop) join.
+two equi joins, broadcast or shuffled as their measured sizes allow; the pair join
+carries the window test as a residual condition on the equi keys (common SKU,
+client), never a range-only (nested-loop) join.
 """
 
 from __future__ import annotations
@@ -44,7 +43,7 @@ def live_sales(t: PromoTables, rules: PromoRules, sale_only: bool = True) -> Dat
 
 def with_common_sku(sales: DataFrame, sku_side: DataFrame) -> DataFrame:
     """Add ``id_common_sku`` to each sale (inner join on ``id_sku``);
-    ``sku_side`` is (id_sku, id_common_sku), already sized."""
+    ``sku_side`` is (id_sku, id_common_sku)."""
     return sales.join(sku_side, "id_sku")
 
 
@@ -62,12 +61,11 @@ def tag_sales(t: PromoTables, scope: PromoScope, rules: PromoRules, *, sale_only
         sales = sales.where(F.lit(False))
     else:
         sales = sale_in_range(sales, bounds.lo, bounds.hi)
+        sales = sales.where(F.col("id_client").between(*bounds.client_range))
         if bounds.clients is not None:
             sales = sales.where(F.col("id_client").isin(list(bounds.clients)))
     sales = with_common_sku(sales.select(*SALE_COLS), scope.sku)
     p = scope.pairs.withColumn("window_start", window_start(scope.windows))
-    if scope.small_pairs:
-        p = F.broadcast(p)
     hit = (sales.join(p, ["id_common_sku", "id_client"])
            .where((F.col("operation_date") >= F.col("window_start"))
                   & (F.col("operation_date") <= F.col("end_date"))))

@@ -5,7 +5,7 @@ Its definition is a set of per-pair scalar subqueries over the sales fact
 
 1. pairs of promotions starting on or after the cut-off;
 2. the fact's sales tagged with every pair whose promo or control window
-   holds them (one scan, broadcast hash joins);
+   holds them (one scan);
 3. one aggregate per (pair, TIN) with conditional sums;
 4. the per-pair ``NOT IN`` exclusion list applied at (pair, TIN) level -- it
    depends on the promo's start, not on the sale date, so it can come after
@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packlift.operators import measures as M
-from packlift.operators.broadcast import small_many
 from packlift.operators.exceptions import exceptions_common_sku, legacy_keep, legacy_lists
 from packlift.operators.lookups import add_pair_names, pair_names
 from packlift.operators.pairs import PAIR_KEYS, PromoScope, promo_pairs, promo_scope
@@ -45,17 +44,19 @@ def legacy_buyers(t: PromoTables, rules: PromoRules = LEGACY_RULES, scope: Promo
     exclusion list."""
     scope = scope or legacy_scope(t, rules)
     s1 = M.legacy_stage1(tag_sales(t, scope, rules, sale_only=True), rules)
-    clients = scope.bounds.clients if scope.bounds else None
-    pair_flags, listed = legacy_lists(exceptions_common_sku(t.exc, scope.sku, clients), scope.pairs)
-    pair_flags, listed = small_many(pair_flags, listed)
+    exc = t.exc
+    if scope.bounds is not None:
+        exc = exc.where(F.col("id_client").between(*scope.bounds.client_range))
+        if scope.bounds.clients is not None:
+            exc = exc.where(F.col("id_client").isin(list(scope.bounds.clients)))
+    pair_flags, listed = legacy_lists(exceptions_common_sku(exc, scope.sku), scope.pairs)
     s1 = (s1.join(pair_flags, PAIR_KEYS, "left")
           .join(listed, PAIR_KEYS + ["tin_buyer"], "left"))
     return s1.select("*", legacy_keep().alias("keep")).drop("n_listed", "null_listed", "is_listed")
 
 
-def legacy_scope(t: PromoTables, rules: PromoRules = LEGACY_RULES, with_names: bool = False) -> PromoScope:
-    also = (lambda pairs, sku_side: [pair_names(t, pairs, sku_side)]) if with_names else None
-    return promo_scope(t, rules, "both", pairs=legacy_pairs(t, rules).distinct(), also=also)
+def legacy_scope(t: PromoTables, rules: PromoRules = LEGACY_RULES) -> PromoScope:
+    return promo_scope(t, rules, "both", pairs=legacy_pairs(t, rules).distinct())
 
 
 def legacy_participants(t: PromoTables, rules: PromoRules = LEGACY_RULES) -> DataFrame:
@@ -77,5 +78,5 @@ def legacy_pair_measures(t: PromoTables, rules: PromoRules = LEGACY_RULES,
 
 def report_legacy(t: PromoTables, rules: PromoRules = LEGACY_RULES) -> DataFrame:
     """The legacy report's 21 columns."""
-    scope = legacy_scope(t, rules, with_names=True)
-    return report_columns(add_pair_names(legacy_pair_measures(t, rules, scope), scope.also[0]))
+    scope = legacy_scope(t, rules)
+    return report_columns(add_pair_names(legacy_pair_measures(t, rules, scope), pair_names(t, scope.pairs, scope.sku)))

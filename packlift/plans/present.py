@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packlift.functions import expr as X
-from packlift.plans.reconcile import ReconScope, qty, recon_by_tin, recon_grouped, recon_scope
+from packlift.operators.pairs import promo_pairs
+from packlift.plans.reconcile import entity_names, product_names, recon_by_tin, recon_grouped
 from packlift.rules import CONDITION_RULES, DEFAULT_ENTITY_NAME, PromoRules
 from packlift.sources.tables import PromoTables
 
@@ -45,16 +46,19 @@ def _z(c: str) -> F.Column:
     return F.coalesce(F.col(c), F.lit(0))
 
 
-def _names(df: DataFrame, rs: ReconScope) -> DataFrame:
+def _names(t: PromoTables, df: DataFrame, pairs: DataFrame, as_of: date | None) -> DataFrame:
     """Live common SKU name and the client's name valid on ``as_of``; a
     deleted or missing row leaves the name NULL and keeps the row."""
-    return df.join(rs.names[0], ["id_common_sku", "id_client"], "left")
+    return df.join(product_names(t, pairs, as_of), ["id_common_sku", "id_client"], "left")
 
 
-def hot_by_tin(t: PromoTables, as_of: date, rules: PromoRules = CONDITION_RULES) -> DataFrame:
-    """Reconciliation by TIN for reading: 19 labelled columns."""
-    rs = recon_scope(t, rules, as_of, entity=True)
-    df = _names(recon_by_tin(t, rules=rules, rs=rs), rs).join(rs.names[1], "tin_buyer", "left")
+def hot_by_tin(t: PromoTables, as_of: date | None = None, rules: PromoRules = CONDITION_RULES,
+               recon: DataFrame | None = None) -> DataFrame:
+    """Reconciliation by TIN for reading: 19 labelled columns; names as of
+    today unless a date is given."""
+    recon = recon_by_tin(t, rules=rules) if recon is None else recon
+    df = _names(t, recon, promo_pairs(t, rules), as_of)
+    df = df.join(entity_names(t), "tin_buyer", "left")
     return df.select(
         F.col("common_sku_name").alias(PRODUCT),
         "id_common_sku",
@@ -78,13 +82,13 @@ def hot_by_tin(t: PromoTables, as_of: date, rules: PromoRules = CONDITION_RULES)
     )
 
 
-def hot_grouped(t: PromoTables, as_of: date, rules: PromoRules = CONDITION_RULES) -> DataFrame:
+def hot_grouped(t: PromoTables, as_of: date | None = None, rules: PromoRules = CONDITION_RULES,
+                recon: DataFrame | None = None) -> DataFrame:
     """Grouped reconciliation for reading: 17 labelled columns, with the
     declared bonus sum floored to whole packs and the unfloored correction."""
-    rs = recon_scope(t, rules, as_of)
-    df = _names(recon_grouped(t, rules=rules, rs=rs), rs)
-    qp, pm, pb = qty("quantity_promo"), F.col("promo_multiple"), F.col("promo_bonus")
-    qs, sm, sb = qty("quantity_sales"), F.col("sales_multiple"), F.col("sales_bonus")
+    recon = recon_grouped(t, rules=rules) if recon is None else recon
+    df = _names(t, recon, promo_pairs(t, rules), as_of)
+    pm, pb, sm, sb = F.col("promo_multiple"), F.col("promo_bonus"), F.col("sales_multiple"), F.col("sales_bonus")
     return df.select(
         F.col("common_sku_name").alias(PRODUCT),
         "id_common_sku",
@@ -101,6 +105,7 @@ def hot_grouped(t: PromoTables, as_of: date, rules: PromoRules = CONDITION_RULES
         (_z("quantity_promo") - _z("quantity_sales")).alias(QTY_DIFF),
         (_z("promo_bonus") - sb).alias(BONUS_DIFF),
         F.col("sales_sum_bonus").alias(SUM_OURS),
-        (F.floor(qp / pm) * pb).alias(SUM_DECLARED),
-        (F.coalesce(X.times_ratio(qp, pm, pb), F.lit(0)) - X.times_ratio(qs, sm, sb)).alias(CORRECTION),
+        (X.floor_packs("quantity_promo", "promo_multiple") * pb).alias(SUM_DECLARED),
+        X.ratio_difference(("quantity_promo", "promo_bonus", "promo_multiple"),
+                           ("quantity_sales", "sales_bonus", "sales_multiple")).alias(CORRECTION),
     )

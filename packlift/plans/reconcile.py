@@ -6,21 +6,18 @@
 ``recon_grouped``    the same without the TIN.
 
 Sold and declared sides are each aggregated first (partial aggregation before
-the shuffle); only the aggregates are joined. The small sides (pairs, their
-SKUs, live prices, live SKUs, and the presentation lookups) are counted in
-one job per query (``recon_scope``).
+the shuffle); only the aggregates are joined.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packlift.functions import expr as X
-from packlift.operators.broadcast import small
 from packlift.operators.exceptions import excluded
 from packlift.operators.lookups import client_as_of
 from packlift.operators.pairs import PromoScope, promo_scope
@@ -33,28 +30,18 @@ CONDITION_COLUMNS = ["id_client", "id_sku", "id_common_sku", "operation_date", "
 TIN_KEYS = ["id_common_sku", "id_client", "tin_buyer", "start_date", "end_date"]
 GROUP_KEYS = ["id_common_sku", "id_client", "start_date", "end_date"]
 
-# Declared results are divided by the multiple; the quotient keeps 16 decimal
-# places before it is summed, so sums of thirds stay exact to far below the
-# 6 places reports show.
-_QTY = "decimal(20,3)"
-_AMOUNT = "decimal(24,5)"
-
-
 @dataclass
 class ReconScope:
-    """Sized inputs of one reconciliation query.
+    """Inputs of one reconciliation query.
 
     scope     pairs and SKU side of the qualifying-sales view
     price     live prices of live SKUs: (id_common_sku, bonus, start_date, id_client)
     sku_live  live SKUs of the pairs' common SKUs: (id_sku, id_common_sku)
-    names     presentation lookups when asked for: names per (common SKU,
-              client) valid on ``as_of`` [, live legal entities by TIN]
     """
 
     scope: PromoScope
     price: DataFrame
     sku_live: DataFrame
-    names: list[DataFrame] = field(default_factory=list)
 
 
 def _price_side(t: PromoTables, sku_live: DataFrame) -> DataFrame:
@@ -62,36 +49,26 @@ def _price_side(t: PromoTables, sku_live: DataFrame) -> DataFrame:
             .select("id_common_sku", "bonus", F.col("sale_date").alias("start_date"), "id_client"))
 
 
-def presentation_tables(t: PromoTables, pairs: DataFrame, as_of: date, entity: bool) -> list[DataFrame]:
+def product_names(t: PromoTables, pairs: DataFrame, as_of: date | None) -> DataFrame:
     """The live common SKU name and the client name valid on ``as_of``,
-    resolved once per (common SKU, client) of the pairs (one small table, one
-    lookup join; a missing or deleted name stays NULL), and the live legal
-    entities keyed by TIN when asked for."""
-    names = (pairs.select("id_common_sku", "id_client").distinct()
-             .join(live(t.common_sku).select("id_common_sku", "common_sku_name"), "id_common_sku", "left")
-             .join(client_as_of(t, as_of), "id_client", "left"))
-    out = [names]
-    if entity:
-        out.append(live(t.entity).select(F.col("id_legal_entity").alias("tin_buyer"), "legal_entity_name"))
-    return out
-
-
-def recon_scope(t: PromoTables, rules: PromoRules = CONDITION_RULES, as_of: date | None = None,
-                entity: bool = False) -> ReconScope:
-    """Every small side of a reconciliation, counted in one job.
-
-    Prices and declared results only ever meet sold rows of the pairs' common
-    SKUs, so their SKU side is the pairs' live SKUs.
-    """
-    def also(pairs: DataFrame, sku_side: DataFrame) -> list[DataFrame]:
-        sku_live = live(t.sku).select("id_sku").join(sku_side, "id_sku")
-        extra = [_price_side(t, sku_live), sku_live]
-        if as_of is not None:
-            extra += presentation_tables(t, pairs, as_of, entity)
-        return extra
+    resolved once per (common SKU, client) of the pairs; a missing or deleted
+    name stays NULL."""
+    return (pairs.select("id_common_sku", "id_client").distinct()
+            .join(live(t.common_sku).select("id_common_sku", "common_sku_name"), "id_common_sku", "left")
+            .join(client_as_of(t, as_of), "id_client", "left"))
+
+
+def entity_names(t: PromoTables) -> DataFrame:
+    """Live legal entities by TIN."""
+    return live(t.entity).select(F.col("id_legal_entity").alias("tin_buyer"), "legal_entity_name")
 
-    s = promo_scope(t, rules, "promo", also=also, exceptions=True)
-    return ReconScope(s, s.also[0], s.also[1], s.also[2:])
+
+def recon_scope(t: PromoTables, rules: PromoRules = CONDITION_RULES) -> ReconScope:
+    """Prices and declared results only ever meet sold rows of the pairs'
+    common SKUs, so their SKU side is the pairs' live SKUs."""
+    s = promo_scope(t, rules, "promo", exceptions=True)
+    sku_live = live(t.sku).select("id_sku").join(s.sku, "id_sku")
+    return ReconScope(s, _price_side(t, sku_live), sku_live)
 
 
 def condition_candidates(t: PromoTables, rules: PromoRules = CONDITION_RULES,
@@ -109,61 +86,73 @@ def condition_sales(t: PromoTables, rules: PromoRules = CONDITION_RULES,
 
 
 def condition_sales_bonus(t: PromoTables, rules: PromoRules = CONDITION_RULES,
-                          rs: ReconScope | None = None) -> DataFrame:
+                          rs: ReconScope | None = None, rows: DataFrame | None = None) -> DataFrame:
     """Qualifying sales priced at the promo start's bonus (live prices of live
     SKUs; several prices per common SKU repeat the sale), with
-    ``sum_bonus = bonus * floor(sales_quantity / multiple)``."""
+    ``sum_bonus = bonus * floor(sales_quantity / multiple)``. ``rows`` are the
+    qualifying sales, if already at hand (a view)."""
     rs = rs or recon_scope(t, rules)
-    out = condition_sales(t, rules, rs.scope).join(rs.price, ["start_date", "id_client", "id_common_sku"])
+    rows = condition_sales(t, rules, rs.scope) if rows is None else rows
+    out = rows.join(rs.price, ["start_date", "id_client", "id_common_sku"])
     return out.withColumn("sum_bonus", F.col("bonus") * X.floor_packs("sales_quantity", "multiple"))
 
 
-def _sold(t: PromoTables, rules: PromoRules, rs: ReconScope | None, keys: list[str]) -> DataFrame:
-    return (condition_sales_bonus(t, rules, rs)
+def _sold(t: PromoTables, rules: PromoRules, rs: ReconScope | None, keys: list[str], rows: DataFrame | None) -> DataFrame:
+    return (condition_sales_bonus(t, rules, rs, rows)
             .groupBy(*keys, "bonus", "multiple")
             .agg(F.sum("sales_quantity").alias("quantity"), F.sum("sum_bonus").alias("sum_bonus")))
 
 
-def sold_by_tin(t: PromoTables, rules: PromoRules = CONDITION_RULES, rs: ReconScope | None = None) -> DataFrame:
-    return _sold(t, rules, rs, TIN_KEYS)
+def sold_by_tin(t: PromoTables, rules: PromoRules = CONDITION_RULES, rs: ReconScope | None = None,
+                rows: DataFrame | None = None) -> DataFrame:
+    return _sold(t, rules, rs, TIN_KEYS, rows)
 
 
-def sold_grouped(t: PromoTables, rules: PromoRules = CONDITION_RULES, rs: ReconScope | None = None) -> DataFrame:
-    return _sold(t, rules, rs, GROUP_KEYS)
+def sold_grouped(t: PromoTables, rules: PromoRules = CONDITION_RULES, rs: ReconScope | None = None,
+                 rows: DataFrame | None = None) -> DataFrame:
+    return _sold(t, rules, rs, GROUP_KEYS, rows)
 
 
-def _declared(t: PromoTables, sku_live: DataFrame | None) -> DataFrame:
-    """Declared results of live SKUs, keyed by common SKU."""
-    if sku_live is None:
-        sku_live = small(live(t.sku).select("id_sku", "id_common_sku"))
-    return t.result.join(sku_live, "id_sku")
+def _declared(t: PromoTables, rs: ReconScope | None) -> DataFrame:
+    """Declared results of live SKUs, keyed by common SKU; inside a
+    reconciliation only those its pairs' clients and dates can meet."""
+    if rs is None:
+        return t.result.join(live(t.sku).select("id_sku", "id_common_sku"), "id_sku")
+    rows, b = t.result, rs.scope.bounds
+    if b is not None:
+        rows = rows.where((F.col("start_date") <= F.lit(b.hi)) & (F.col("start_date") >= F.lit(b.lo))
+                          & F.col("id_client").between(*b.client_range))
+        if b.clients is not None:
+            rows = rows.where(F.col("id_client").isin(list(b.clients)))
+    return rows.join(rs.sku_live, "id_sku")
 
 
-def results_by_tin(t: PromoTables, sku_live: DataFrame | None = None) -> DataFrame:
+def results_by_tin(t: PromoTables, rs: ReconScope | None = None) -> DataFrame:
     """Declared per (TIN keys, multiple, bonus): quantity and the unfloored
-    ``bonus * quantity / multiple``."""
-    per_row = (F.col("bonus") * F.col("quantity")).cast(_AMOUNT) / F.col("multiple")
-    return (_declared(t, sku_live).groupBy(*TIN_KEYS, "multiple", "bonus")
-            .agg(F.sum("quantity").alias("quantity_promo"), F.sum(per_row).alias("sum_bonus")))
+    ``bonus * quantity / multiple``; as multiple and bonus are keys, the sum is
+    multiplied first and divided once."""
+    return (_declared(t, rs).groupBy(*TIN_KEYS, "multiple", "bonus")
+            .agg(F.sum("quantity").alias("quantity_promo"))
+            .withColumn("sum_bonus", F.col("quantity_promo") * F.col("bonus") / F.col("multiple")))
 
 
-def results_grouped(t: PromoTables, sku_live: DataFrame | None = None) -> DataFrame:
+def results_grouped(t: PromoTables, rs: ReconScope | None = None) -> DataFrame:
     """Declared per (group keys, multiple, bonus): quantity and
     ``sum(quantity) * bonus``."""
-    return (_declared(t, sku_live).groupBy(*GROUP_KEYS, "multiple", "bonus")
+    return (_declared(t, rs).groupBy(*GROUP_KEYS, "multiple", "bonus")
             .agg(F.sum("quantity").alias("quantity_promo"))
             .withColumn("sum_bonus", F.col("quantity_promo") * F.col("bonus")))
 
 
 def recon_by_tin(t: PromoTables, matched_only: bool = False, rules: PromoRules = CONDITION_RULES,
-                 rs: ReconScope | None = None) -> DataFrame:
+                 rs: ReconScope | None = None, rows: DataFrame | None = None) -> DataFrame:
     """Sold left-joined to declared on the five TIN keys (multiple and bonus
     are not keys, so several versions of either side pair up)."""
     rs = rs or recon_scope(t, rules)
-    sold = sold_by_tin(t, rules, rs).select(
+    sold = sold_by_tin(t, rules, rs, rows).select(
         *TIN_KEYS, F.col("multiple").alias("sales_multiple"), F.col("bonus").alias("sales_bonus"),
         F.col("quantity").alias("quantity_sales"), F.col("sum_bonus").alias("sales_sum_bonus"))
-    declared = results_by_tin(t, rs.sku_live).select(
+    declared = results_by_tin(t, rs).select(
         *TIN_KEYS, F.col("multiple").alias("promo_multiple"), F.col("bonus").alias("promo_bonus"),
         "quantity_promo", F.col("sum_bonus").alias("promo_sum_bonus"))
     return sold.join(declared, TIN_KEYS, "inner" if matched_only else "left").select(
@@ -172,20 +161,15 @@ def recon_by_tin(t: PromoTables, matched_only: bool = False, rules: PromoRules =
 
 
 def recon_grouped(t: PromoTables, matched_only: bool = False, rules: PromoRules = CONDITION_RULES,
-                  rs: ReconScope | None = None) -> DataFrame:
+                  rs: ReconScope | None = None, rows: DataFrame | None = None) -> DataFrame:
     """Sold left-joined to declared on the four group keys."""
     rs = rs or recon_scope(t, rules)
-    sold = sold_grouped(t, rules, rs).select(
+    sold = sold_grouped(t, rules, rs, rows).select(
         *GROUP_KEYS, F.col("multiple").alias("sales_multiple"), F.col("bonus").alias("sales_bonus"),
         F.col("quantity").alias("quantity_sales"), F.col("sum_bonus").alias("sales_sum_bonus"))
-    declared = results_grouped(t, rs.sku_live).select(
+    declared = results_grouped(t, rs).select(
         *GROUP_KEYS, "quantity_promo", F.col("multiple").alias("promo_multiple"),
         F.col("bonus").alias("promo_bonus"))
     return sold.join(declared, GROUP_KEYS, "inner" if matched_only else "left").select(
         *GROUP_KEYS, "sales_multiple", "sales_bonus", "quantity_sales", "quantity_promo",
         "promo_multiple", "promo_bonus", "sales_sum_bonus")
-
-
-def qty(c) -> F.Column:
-    return F.col(c).cast(_QTY)
-

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from packlift.functions import expr as X
 from packlift.operators import measures as M
-from packlift.operators.exceptions import add_flags, exception_keys, excluded, exceptions_common_sku
+from packlift.operators.exceptions import add_flags, excluded
 from packlift.operators.lookups import add_pair_names, pair_names
 from packlift.operators.pairs import PAIR_KEYS, PromoScope, promo_scope
 from packlift.operators.windows import tag_sales, window_label
@@ -42,20 +42,15 @@ AMOUNTS = {
 }
 
 
-def scope_exception_keys(t: PromoTables, scope: PromoScope) -> tuple[DataFrame, bool]:
-    """The scope's sized exception key table (built here if the scope has none)."""
-    if scope.exc_keys is not None:
-        return scope.exc_keys, scope.exc_small
-    b = scope.bounds
-    return exception_keys(exceptions_common_sku(t.exc, scope.sku, b.clients), b.lo, b.hi)
-
-
 def flag_scope(t: PromoTables, scope: PromoScope, rules: PromoRules, sale_only: bool) -> DataFrame:
     """Tagged sales of a scope with the exception flags."""
-    tagged = tag_sales(t, scope, rules, sale_only=sale_only)
-    if scope.bounds is None:
-        return tagged.withColumn("exc_on_date", F.lit(False)).withColumn("exc_any", F.lit(False))
-    return add_flags(tagged, scope_exception_keys(t, scope)[0])
+    return _flags(tag_sales(t, scope, rules, sale_only=sale_only), scope)
+
+
+def _flags(rows: DataFrame, scope: PromoScope) -> DataFrame:
+    if scope.exc_keys is None:
+        return rows.withColumn("exc_on_date", F.lit(False)).withColumn("exc_any", F.lit(False))
+    return add_flags(rows, scope.exc_keys)
 
 
 def flagged_sales(t: PromoTables, rules: PromoRules = REPORT_RULES, scope: PromoScope | None = None) -> DataFrame:
@@ -97,20 +92,13 @@ def sales_packs(combined: DataFrame, rules: PromoRules = REPORT_RULES) -> DataFr
 def report_pivot(t: PromoTables, rules: PromoRules = REPORT_RULES, scope: PromoScope | None = None) -> DataFrame:
     """Pair keys and the 12 measures (``n_<type>`` row counts kept).
 
-    When the exception key table is counted small it is broadcast and each
-    sale row is flagged in place (no shuffle). Otherwise the rows are first
-    pre-aggregated to (pair, TIN, sale date), the grain the exception outcome
-    is constant on, so the shuffle for the exception join carries groups, not
-    rows, and a hot buyer is bounded by its pairs x days.
+    The rows are first pre-aggregated to (pair, TIN, sale date), the grain the
+    exception outcome is constant on, so a shuffle for the exception join
+    carries groups, not rows, and a hot buyer is bounded by its pairs x days.
     """
     scope = scope or promo_scope(t, rules, "both", exceptions=True)
-    parts = M.parts(tag_sales(t, scope, rules, sale_only=False), rules)
-    if scope.bounds is None:
-        flagged = parts.withColumn("exc_on_date", F.lit(False)).withColumn("exc_any", F.lit(False))
-    else:
-        keys, keys_small = scope_exception_keys(t, scope)
-        flagged = add_flags(parts if keys_small else M.combine_parts(parts), keys)
-    return M.stage2(M.stage1(flagged, rules))
+    parts = M.combine_parts(M.parts(tag_sales(t, scope, rules, sale_only=False), rules))
+    return M.stage2(M.stage1(_flags(parts, scope), rules))
 
 
 def sales_type_agg(t: PromoTables, rules: PromoRules = REPORT_RULES) -> DataFrame:
@@ -126,7 +114,6 @@ def report_columns(df: DataFrame) -> DataFrame:
 
 def report_new(t: PromoTables, rules: PromoRules = REPORT_RULES) -> DataFrame:
     """The report: 21 columns (``id_promotion`` is a key but not shown)."""
-    scope = promo_scope(t, rules, "both", exceptions=True,
-                        also=lambda pairs, sku_side: [pair_names(t, pairs, sku_side)])
+    scope = promo_scope(t, rules, "both", exceptions=True)
     pivot = report_pivot(t, rules, scope).select(*PAIR_KEYS, *[c for n in M.PIVOT_NAMES.values() for c in n])
-    return report_columns(add_pair_names(pivot, scope.also[0]))
+    return report_columns(add_pair_names(pivot, pair_names(t, scope.pairs, scope.sku)))

@@ -9,6 +9,7 @@ longer), counts and packs are bigints, keys and dates stay as they are.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -20,14 +21,16 @@ from packlift.functions import expr as X
 from packlift.operators import measures as M
 from packlift.operators.exceptions import exceptions_common_sku
 from packlift.operators.lookups import bonus_prices, client_as_of, client_names
-from packlift.operators.broadcast import small
 from packlift.operators.pairs import PAIR_KEYS, promo_pairs, promo_scope
+from packlift.operators.sinks import append_table, materialize, overwrite_table
 from packlift.operators.windows import SALE_COLS, live_sales, tag_sales, window_label, with_common_sku
 from packlift.plans import legacy as L
 from packlift.plans import present as P
 from packlift.plans import reconcile as C
 from packlift.plans import report as R
+from packlift.plans.views import VIEWS, create_views
 from packlift.rules import LEGACY_RULES, REPORT_RULES
+from packlift.session import ensure_checkpoint_dir
 from packlift.sources.tables import PromoTables
 from packlift.sources.tpch import load_tpch
 
@@ -83,12 +86,12 @@ def _promo_base_legacy(t):
 @register("sales_sku")
 def _sales_sku(t):
     return with_common_sku(live_sales(t, REPORT_RULES, sale_only=False).select(*SALE_COLS),
-                           small(t.sku.select("id_sku", "id_common_sku")))
+                           t.sku.select("id_sku", "id_common_sku"))
 
 
 @register("exceptions_common_sku")
 def _exceptions_common_sku(t):
-    return exceptions_common_sku(t.exc, small(t.sku.select("id_sku", "id_common_sku")))
+    return exceptions_common_sku(t.exc, t.sku.select("id_sku", "id_common_sku"))
 
 
 @register("bonus_prices")
@@ -263,3 +266,46 @@ def _hot_by_tin(t):
 @register("hot_grouped")
 def _hot_grouped(t):
     return P.hot_grouped(t, AS_OF)
+
+
+# --- sinks and views ------------------------------------------------------------
+
+def _table(df: DataFrame) -> tuple[str, str]:
+    """A table name of its own and a data folder in the shared checkpoint folder."""
+    name = f"packlift_{uuid.uuid4().hex}"
+    return name, f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/packlift-tables/{name}"
+
+
+@register("table_appended_twice")
+def _table_appended_twice(t):
+    df = promo_pairs(t, REPORT_RULES)
+    name, path = _table(df)
+    append_table(df, name, path)
+    append_table(df.select(*reversed(df.columns)), name)
+    return df.sparkSession.table(name)
+
+
+@register("table_overwritten")
+def _table_overwritten(t):
+    df = C.results_grouped(t)
+    name, path = _table(df)
+    append_table(df, name, path)
+    append_table(df, name)
+    overwrite_table(df, name)
+    return df.sparkSession.table(name)
+
+
+@register("table_materialized")
+def _table_materialized(t):
+    df = R.report_new(t)
+    return materialize(df, *_table(df))
+
+
+def _through_views(name):
+    def fn(t):
+        return create_views(t, AS_OF, prefix="packlift_")[name]
+    return fn
+
+
+for _key in VIEWS:
+    register(f"view_{_key}")(_through_views(_key))

@@ -7,6 +7,8 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Settings every job wants: AQE with skew-join splitting, UTC, no UI server.
+# Broadcasts are Spark's own choice: by file size when planning, by the measured
+# bytes of a finished stage at run time (spark.sql.autoBroadcastJoinThreshold).
 SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -14,10 +16,6 @@ SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # Broadcasts are decided by sized_broadcast() from counted rows, not by
-    # the optimizer's size guesses on derived relations.
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
 }
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,11 +41,6 @@ class PromoTables:
     promo_type: DataFrame
     entity: DataFrame
 
-    def views(self, prefix: str = "") -> None:
-        """Register every table as a temp view (``<prefix><name>``)."""
-        for f in fields(self):
-            getattr(self, f.name).createOrReplaceTempView(prefix + f.name)
-
 
 def live(df: DataFrame, style: str = "null", sentinel: date | None = None) -> DataFrame:
     """Keep live rows: ``delete_date IS NULL`` ("null") or ``= sentinel`` ("sentinel")."""
@@ -72,30 +67,25 @@ def sale_in_range(sale: DataFrame, lo: date, hi: date) -> DataFrame:
 def write_sales_layout(sale: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write the sales fact partitioned by year, clustered by (client, date).
 
-    Range partitioning on (year, client, date) samples the keys, so a client
-    holding a large share of the rows is split over many tasks by date rather
-    than landing in one; sorting inside each file keeps the Parquet min/max
-    statistics tight, so client and date filters skip row groups.
+    Range partitioning on (year, client, date) and a salt from the row's other
+    columns samples the keys, so neither a client nor a single (client, day)
+    that holds a large share of the rows lands in one task; sorting inside each
+    file keeps the Parquet min/max statistics tight, so client and date filters
+    skip row groups. Columns are brought to the declared types first.
     """
-    (sale.withColumn("op_year", F.year("operation_date"))
-     .repartitionByRange("op_year", "id_client", "operation_date")
-     .sortWithinPartitions("id_client", "operation_date")
+    typed = sale.select(*[F.col(f.name).cast(f.dataType) for f in schemas.SALE.fields])
+    salt = F.xxhash64("id_sku", "tin_buyer", "quantity", "id_operation_type", "delete_date")
+    (typed.withColumn("op_year", F.year("operation_date")).withColumn("_salt", salt)
+     .repartitionByRange("op_year", "id_client", "operation_date", "_salt")
+     .sortWithinPartitions("id_client", "operation_date").drop("_salt")
      .write.mode(mode).partitionBy("op_year").parquet(path))
 
 
 def load_warehouse(spark: SparkSession, root: str) -> PromoTables:
     """Read the tables from ``root/<name>`` with their declared schemas.
 
-    ``sale`` may be the year-partitioned layout of ``write_sales_layout``; its
-    ``operation_date`` is normalised to a date either way.
+    ``sale`` may be the year-partitioned layout of ``write_sales_layout``, whose
+    partition column ``op_year`` is found beside the declared ones.
     """
-    out = {}
-    for name, schema in schemas.TABLES.items():
-        path = f"{root}/{name}"
-        if name == "sale":
-            df = spark.read.parquet(path)
-            df = df.withColumn("operation_date", F.to_date("operation_date"))
-        else:
-            df = spark.read.schema(schema).parquet(path)
-        out[name] = df
-    return PromoTables(**out)
+    return PromoTables(**{name: spark.read.schema(schema).parquet(f"{root}/{name}")
+                          for name, schema in schemas.TABLES.items()})

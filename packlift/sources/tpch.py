@@ -10,6 +10,8 @@ DataFrame work and scales with the source tables: the sales fact grows with
 from __future__ import annotations
 
 import hashlib
+import inspect
+import sys
 import threading
 from dataclasses import fields
 from datetime import date
@@ -31,7 +33,7 @@ DELETED = date(2024, 1, 1)          # delete_date of soft-deleted dimension rows
 SALE_DELETED = date(2024, 2, 2)     # delete_date of deleted sales
 LIVE_SALE = date(2000, 1, 1)        # live sentinel of the sales fact
 TIN_BASE = 7_700_000_000            # tax ids are TIN_BASE + custkey
-PROMO_PARTS = 60                    # promotions come from part keys below this
+SKUS_PER_COMMON = 10                # parts 10k .. 10k+9 share common SKU k
 # ---------------------------------------------------------------------------
 
 
@@ -62,7 +64,7 @@ def derive_sale(lineitem: DataFrame, orders: DataFrame, keep_keys: bool = False)
     cols = [
         F.col("l_partkey").cast("bigint").alias("id_sku"),
         _client(F.col("l_suppkey")).alias("id_client"),
-        F.when(ok % 41 == 0, F.lit(None)).otherwise(F.lit(TIN_BASE) + F.col("o_custkey") % 100)
+        F.when(ok % 41 == 0, F.lit(None)).otherwise(F.lit(TIN_BASE) + F.col("o_custkey"))
         .cast("bigint").alias("tin_buyer"),
         _day(SALE_DAY0, (ok * 13 + ln * 29) % 360).alias("operation_date"),
         qty.cast("decimal(18,3)").alias("quantity"),
@@ -74,33 +76,33 @@ def derive_sale(lineitem: DataFrame, orders: DataFrame, keep_keys: bool = False)
     return li.join(od, "l_orderkey").select(*cols)
 
 
+def _common(pk):
+    return F.floor(pk / SKUS_PER_COMMON).cast("int")
+
+
 def derive_sku(part: DataFrame) -> DataFrame:
     pk = F.col("p_partkey")
     return part.select(
         pk.cast("bigint").alias("id_sku"),
-        (pk % 10).cast("int").alias("id_common_sku"),
+        _common(pk).alias("id_common_sku"),
         F.when(pk % 43 == 42, F.lit(DELETED)).cast("date").alias("delete_date"),
     )
 
 
 def derive_common_sku(part: DataFrame) -> DataFrame:
-    c = part.select((F.col("p_partkey") % 10).cast("int").alias("id_common_sku")).distinct()
+    c = part.select(_common(F.col("p_partkey")).alias("id_common_sku")).distinct()
     return c.select(
         "id_common_sku",
         F.concat(F.lit("Common "), F.col("id_common_sku").cast("string")).alias("common_sku_name"),
-        F.when(F.col("id_common_sku") == 9, F.lit(DELETED)).cast("date").alias("delete_date"),
+        F.when(F.col("id_common_sku") % 10 == 9, F.lit(DELETED)).cast("date").alias("delete_date"),
     )
 
 
-def _promo_parts(part: DataFrame) -> DataFrame:
-    return part.where(F.col("p_partkey") < PROMO_PARTS)
-
-
 def derive_promo(part: DataFrame) -> DataFrame:
     pk = F.col("p_partkey")
     start_off = (pk * 37) % 300
-    length = F.when(pk % 20 == 5, F.lit(0)).otherwise(F.col("p_size") % 28)
-    return _promo_parts(part).select(
+    length = F.when(pk % 20 == 5, F.lit(0)).when(pk % 50 == 7, F.lit(-2)).otherwise(F.col("p_size") % 28)
+    return part.select(
         pk.cast("int").alias("id_promotion"),
         (pk % 4).cast("int").alias("id_promotion_type"),
         _client(pk).alias("id_client"),
@@ -112,20 +114,20 @@ def derive_promo(part: DataFrame) -> DataFrame:
 
 def derive_lnk(part: DataFrame) -> DataFrame:
     pk = F.col("p_partkey")
-    p = _promo_parts(part)
-    first = p.select(pk.cast("int").alias("id_promotion"), (pk % 10).cast("int").alias("id_common_sku"),
-                     F.lit(None).cast("date").alias("delete_date"))
-    second = p.select(pk.cast("int").alias("id_promotion"), ((pk + 3) % 10).cast("int").alias("id_common_sku"),
-                      F.when(pk % 13 == 12, F.lit(DELETED)).cast("date").alias("delete_date"))
-    return first.unionByName(second)
+    first = part.select(pk.cast("int").alias("id_promotion"), _common(pk).alias("id_common_sku"),
+                        F.lit(None).cast("date").alias("delete_date"))
+    second = part.select(pk.cast("int").alias("id_promotion"), (_common(pk) + 3).alias("id_common_sku"),
+                         F.when(pk % 13 == 12, F.lit(DELETED)).cast("date").alias("delete_date"))
+    again = first.where(F.col("id_promotion") % 29 == 3)
+    return first.unionByName(second).unionByName(again)
 
 
 def derive_exc(sale_with_keys: DataFrame) -> DataFrame:
-    s = sale_with_keys.where(F.col("tin_buyer").isNotNull()
-                             & ((F.col("l_orderkey") * 7 + F.col("l_linenumber") * 3) % 9 == 0))
-    return s.select("id_client", "id_sku", "tin_buyer",
-                    F.date_sub("operation_date", 5).alias("start_date"),
-                    F.date_add("operation_date", 20).alias("end_date"))
+    s = sale_with_keys.where((F.col("l_orderkey") * 7 + F.col("l_linenumber") * 3) % 9 == 0)
+    length = F.when(F.col("l_orderkey") % 23 == 0, F.lit(-1)).otherwise(F.lit(25))
+    start = F.date_sub("operation_date", 5)
+    return s.select("id_client", "id_sku", "tin_buyer", start.alias("start_date"),
+                    F.date_add(start, length).alias("end_date"))
 
 
 def derive_pairs(promo: DataFrame, lnk: DataFrame) -> DataFrame:
@@ -137,17 +139,21 @@ def derive_pairs(promo: DataFrame, lnk: DataFrame) -> DataFrame:
 
 def derive_price(pairs: DataFrame) -> DataFrame:
     pid = F.col("id_promotion")
-    base = [F.col("id_client"), F.col("id_common_sku").cast("bigint").alias("id_sku"),
-            F.col("start_date").alias("sale_date")]
+    first_sku = F.col("id_common_sku").cast("bigint") * SKUS_PER_COMMON
+    base = [F.col("id_client"), first_sku.alias("id_sku"), F.col("start_date").alias("sale_date")]
     live_price = pairs.where(pid % 8 != 7).select(
         *base, (10 + pid % 7).cast("decimal(18,2)").alias("bonus"), F.lit(None).cast("date").alias("delete_date"))
     deleted = pairs.where(pid % 9 == 0).select(
         *base, F.lit(99).cast("decimal(18,2)").alias("bonus"), F.lit(DELETED).alias("delete_date"))
     fan_out = pairs.where(pid % 17 == 0).select(
-        F.col("id_client"), (F.col("id_common_sku").cast("bigint") + 10).alias("id_sku"),
+        F.col("id_client"), (first_sku + 1).alias("id_sku"),
         F.col("start_date").alias("sale_date"), F.lit(12.5).cast("decimal(18,2)").alias("bonus"),
         F.lit(None).cast("date").alias("delete_date"))
-    return live_price.unionByName(deleted).unionByName(fan_out)
+    unknown_sku = pairs.where(pid % 23 == 0).select(
+        F.col("id_client"), (-1 - first_sku).alias("id_sku"),
+        F.col("start_date").alias("sale_date"), F.lit(7).cast("decimal(18,2)").alias("bonus"),
+        F.lit(None).cast("date").alias("delete_date"))
+    return live_price.unionByName(deleted).unionByName(fan_out).unionByName(unknown_sku)
 
 
 def derive_result(sale: DataFrame, sku: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -158,7 +164,7 @@ def derive_result(sale: DataFrame, sku: DataFrame, pairs: DataFrame) -> DataFram
          .where(F.col("operation_date").between(F.col("start_date"), F.col("end_date"))))
     pid, tin = F.col("id_promotion"), F.col("tin_buyer")
     return j.select(
-        F.col("id_common_sku").cast("bigint").alias("id_sku"),
+        (F.col("id_common_sku").cast("bigint") * SKUS_PER_COMMON).alias("id_sku"),
         "id_client", "tin_buyer", "start_date", "end_date",
         (F.col("id_promotion_type") + F.when(pid % 6 == 5, 3).otherwise(2)).cast("int").alias("multiple"),
         (10 + pid % 7).cast("decimal(18,2)").alias("bonus"),
@@ -169,7 +175,7 @@ def derive_result(sale: DataFrame, sku: DataFrame, pairs: DataFrame) -> DataFram
 def derive_client(nation: DataFrame) -> DataFrame:
     nk = F.col("n_nationkey")
     current = nk < 7
-    return nation.where(nk < 10).select(
+    return nation.select(
         _client(nk).alias("id_client"),
         F.col("n_name").alias("client_name"),
         F.when(nk == 9, F.lit(DELETED)).cast("date").alias("delete_date"),
@@ -187,7 +193,7 @@ def derive_promo_type(region: DataFrame) -> DataFrame:
 
 def derive_entity(customer: DataFrame) -> DataFrame:
     ck = F.col("c_custkey")
-    return customer.where(ck < 60).select(
+    return customer.select(
         (F.lit(TIN_BASE) + ck).cast("bigint").alias("id_legal_entity"),
         F.col("c_name").alias("legal_entity_name"),
         F.when(ck % 10 == 9, F.lit(DELETED)).cast("date").alias("delete_date"),
@@ -221,7 +227,6 @@ def derive_tpch(spark: SparkSession, sf_dir: str) -> PromoTables:
 
 
 SOURCES = ("lineitem", "orders", "part", "nation", "region", "customer")
-_STORED: dict[tuple[str, str], str] = {}
 _STORE_LOCK = threading.Lock()
 
 
@@ -232,8 +237,8 @@ def _fs(spark: SparkSession, path: str):
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
-    """Name of the stored copy: the source paths with their sizes and times."""
-    h = hashlib.sha1(sf_dir.encode())
+    """Name of the stored copy: this derivation, the source paths, their sizes and times."""
+    h = hashlib.sha1(sf_dir.encode() + inspect.getsource(sys.modules[__name__]).encode())
     for name in SOURCES:
         fs, p = _fs(spark, f"{sf_dir}/{name}.parquet")
         st = fs.getContentSummary(p)
@@ -267,13 +272,9 @@ def load_tpch(spark: SparkSession, sf_dir: str, stored: bool = True) -> PromoTab
     if not stored:
         return derive_tpch(spark, sf_dir)
     ckpt = ensure_checkpoint_dir(spark)
-    key = (ckpt, sf_dir)
     with _STORE_LOCK:
-        root = _STORED.get(key)
-        if root is None:
-            root = f"{ckpt.rstrip('/')}/packlift-inputs/{_fingerprint(spark, sf_dir)}"
-            fs, marker = _fs(spark, f"{root}/_COMPLETE")
-            if not fs.exists(marker):
-                store_tpch(spark, sf_dir, root)
-            _STORED[key] = root
+        root = f"{ckpt.rstrip('/')}/packlift-inputs/{_fingerprint(spark, sf_dir)}"
+        fs, marker = _fs(spark, f"{root}/_COMPLETE")
+        if not fs.exists(marker):
+            store_tpch(spark, sf_dir, root)
     return load_warehouse(spark, root)

@@ -1,6 +1,6 @@
-"""The shuffle paths: with every broadcast refused (row limit 0), the reports
-still match the oracle, and the exception join of the promo report runs on
-groups pre-aggregated to (pair, TIN, sale date)."""
+"""The shuffle paths: with every broadcast refused, every query still matches
+the oracle, and the exception join of the promo report runs on groups
+pre-aggregated to (pair, TIN, sale date)."""
 
 from __future__ import annotations
 
@@ -13,18 +13,23 @@ from tools.oracle_check import duck, rows_of
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
 
-NAMES = ["report_new", "report_legacy", "legacy_exceptions", "exceptions_anti", "condition_sales",
-         "recon_by_tin", "hot_grouped"]
+def _names():
+    from packlift import registry
+
+    return sorted(registry.queries())
 
 
 @pytest.fixture()
 def no_broadcast(spark):
-    spark.conf.set("packlift.broadcast.maxRows", "0")
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for s in settings:
+        spark.conf.set(s, "-1")
     yield spark
-    spark.conf.unset("packlift.broadcast.maxRows")
+    for s in settings:
+        spark.conf.unset(s)
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", _names())
 def test_shuffle_path_matches_oracle(no_broadcast, name):
     import __spark_entry__ as E
 

@@ -19,15 +19,15 @@ def con():
 
 
 def _names():
-    import __spark_entry__ as E
+    from packlift import registry
 
-    return sorted(E.queries())
+    return sorted(registry.queries())
 
 
 def test_every_query_has_oracle_sql():
-    import __spark_entry__ as E
+    from packlift.checks import oracle
 
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(_names()) == set(oracle.oracle_sql())
 
 
 @pytest.mark.parametrize("name", _names())

@@ -1,45 +1,61 @@
-"""Sinks: append (re-running duplicates rows), overwrite (truncate + load),
-materialize (stored copy that later reads use), view (re-runs the query)."""
+"""Sinks by table name: append (re-running duplicates rows), overwrite (truncate
+and load), materialize (stored copy that later reads use), views (re-run the query)."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
+
+import pytest
 
 from packlift.operators import sinks
+from packlift.plans import present as P
 from packlift.plans import report as R
-from tests.fixtures import TIN_A, Rows
+from packlift.plans.views import VIEWS, create_views
+from tests.fixtures import AS_OF, START, END, TIN_A, Rows, m, q
+
+
+def _target():
+    return f"t_{uuid.uuid4().hex}", f"{tempfile.mkdtemp(prefix='packlift-sink-', dir='/tmp')}/data"
+
+
+@pytest.fixture()
+def report(spark):
+    return R.report_new(Rows().sell(TIN_A, "2024-01-12", 3).tables(spark))
 
 
-def _scratch():
-    return tempfile.mkdtemp(prefix="packlift-sink-", dir="/tmp")
+def test_append_twice_duplicates(spark, report):
+    name, path = _target()
+    sinks.append_table(report, name, path)
+    sinks.append_table(report.select(*reversed(report.columns)), name)
+    got = spark.table(name)
+    assert got.count() == 2 * report.count() and got.distinct().count() == report.distinct().count()
 
 
-def test_append_twice_duplicates(spark):
-    out = f"{_scratch()}/report"
-    df = R.report_new(Rows().sell(TIN_A, "2024-01-12", 3).tables(spark))
-    sinks.append_table(df, out)
-    sinks.append_table(df, out)
-    assert spark.read.parquet(out).count() == 2 * df.count()
+def test_append_refuses_other_columns(spark, report):
+    name, path = _target()
+    sinks.append_table(report, name, path)
+    with pytest.raises(ValueError):
+        sinks.append_table(report.drop("bonus"), name)
 
 
-def test_overwrite_replaces(spark):
-    out = f"{_scratch()}/report"
-    df = R.report_new(Rows().sell(TIN_A, "2024-01-12", 3).tables(spark))
-    sinks.append_table(df, out)
-    sinks.append_table(df, out)
-    sinks.overwrite_table(df, out)
-    assert spark.read.parquet(out).count() == df.count()
+def test_overwrite_replaces(spark, report):
+    name, path = _target()
+    sinks.append_table(report, name, path)
+    sinks.append_table(report, name)
+    sinks.overwrite_table(report, name)
+    assert spark.table(name).count() == report.count()
 
 
-def test_materialize_reads_back_the_same_rows(spark):
-    out = f"{_scratch()}/mv"
-    df = R.report_new(Rows().sell(TIN_A, "2024-01-12", 3).tables(spark))
-    stored = sinks.materialize(df, out)
-    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, df.collect()))
+def test_materialize_reads_back_the_same_rows(spark, report):
+    stored = sinks.materialize(report, *_target())
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, report.collect()))
     assert "FileScan parquet" in stored._jdf.queryExecution().executedPlan().toString()
 
 
-def test_view_reruns_the_query(spark):
-    df = R.report_new(Rows().sell(TIN_A, "2024-01-12", 3).tables(spark))
-    sinks.as_view(df, "promo_report_v")
-    assert sinks.read_view(spark, "promo_report_v").count() == df.count()
+def test_views_stack(spark):
+    rows = Rows(result=[(10, 16, TIN_A, START, END, 3, m(5), q(6))]).sell(TIN_A, "2024-01-12", 3)
+    t = rows.tables(spark)
+    create_views(t, AS_OF, prefix="vs_")
+    assert all(sinks.read_view(spark, f"vs_{v}").count() == 1 for v in VIEWS)
+    assert spark.table("vs_hot_by_tin").collect() == P.hot_by_tin(t, AS_OF).collect()
