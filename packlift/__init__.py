@@ -7,10 +7,10 @@ Layout
 ``functions``  column expressions: multiple, windows, quantity rules, packs.
 ``operators``  reusable DataFrame operators: promo pairs, the one-pass window
                tagging join, exception policies, two-stage aggregates, lookups,
-               sinks and the size-checked broadcast.
+               sinks.
 ``plans``      the reports built from the operators: the promo report, the
-               legacy report, qualifying sales, reconciliation, presentation.
-``streaming``  nothing streams in this domain; see its docstring.
+               legacy report, qualifying sales, reconciliation, presentation,
+               and the view stack.
 ``checks``     the DuckDB oracle SQL used by the correctness gate.
 """
 

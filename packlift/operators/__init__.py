@@ -1,2 +1 @@
-"""Reusable DataFrame operators: size-checked broadcast, promo pairs and
-scope, the window join, exception policies, measures, lookups, sinks."""
+"""Reusable DataFrame operators: promo pairs and scope, the window join, exception policies, measures, lookups, sinks."""
