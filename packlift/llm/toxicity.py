@@ -58,7 +58,8 @@ LANDMARKS = 256
 TRAIN_ROWS = 2000     # labelled rows of each class used to fit
 TRAIN_CHARS = 20_000  # longest text used to fit
 ROUNDS = 4            # witness rounds
-CLEAN_WEIGHT, TOXIC_WEIGHT = 2000.0, 500.0  # total loss weights of clean tokens and of witnesses; the ridge is 0.1
+CLEAN_WEIGHT, TOXIC_WEIGHT = 30_000.0, 500.0  # total loss weights of clean tokens and of witnesses; the ridge is 0.1
+CLEAN_TOKENS, HARD_TOKENS = 40_000, 3_000     # clean tokens to fit on, and misjudged ones added after a round
 QUOTED = 8.0          # times more frequent in toxic documents: such a token may be a witness though a clean one has it
 CACHE = 400_000       # distinct tokens whose scores a task remembers
 
@@ -111,7 +112,7 @@ def encode(tokens: list[str]) -> np.ndarray:
     """Character classes, a row for each token piece, between its two end marks."""
     n = len(tokens)
     lengths = np.fromiter(map(len, tokens), dtype=np.int64, count=n)
-    out = np.zeros((n, int(lengths.max(initial=0)) + 2 + SPAN), dtype=np.int32)
+    out = np.zeros((n, int(lengths.max(initial=0)) + 2 + SPAN), dtype=np.uint8)
     flat = np.frombuffer("".join(tokens).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     rows = np.repeat(np.arange(n), lengths)
     cols = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -136,6 +137,9 @@ def occurrences(codes: np.ndarray):
         yield np.where(present, ids, 0), w
 
 
+ROWS_AT_ONCE = 4096
+
+
 def scale_of(codes: np.ndarray) -> np.ndarray:
     total = np.zeros(len(codes), dtype=np.float64)
     for ids, w in occurrences(codes):
@@ -146,11 +150,14 @@ def scale_of(codes: np.ndarray) -> np.ndarray:
 def linear_scores(codes: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Inner product of each token's scaled subsequence map with ``table``."""
     out = np.zeros(len(codes), dtype=np.float64)
-    square = np.zeros(len(codes), dtype=np.float64)
-    for ids, w in occurrences(codes):
-        out += w * table[ids].sum(axis=1, dtype=np.float64)
-        square += w * w * np.count_nonzero(ids, axis=1)
-    return out / np.sqrt(np.maximum(square, 1.0))
+    for lo in range(0, len(codes), ROWS_AT_ONCE):
+        part = codes[lo:lo + ROWS_AT_ONCE]
+        score, square = np.zeros(len(part)), np.zeros(len(part))
+        for ids, w in occurrences(part):
+            score += w * table[ids].sum(axis=1, dtype=np.float64)
+            square += w * w * np.count_nonzero(ids, axis=1)
+        out[lo:lo + ROWS_AT_ONCE] = score / np.sqrt(np.maximum(square, 1.0))
+    return out
 
 
 def kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -166,8 +173,8 @@ def kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     maps[0] = 0
     maps /= scale_of(b)[None, :].astype(np.float32)
     out = np.zeros((len(a), len(b)), dtype=np.float32)
-    for lo in range(0, len(a), 4096):
-        part = a[lo:lo + 4096]
+    for lo in range(0, len(a), ROWS_AT_ONCE):
+        part = a[lo:lo + ROWS_AT_ONCE]
         acc = np.zeros((len(part), len(b)), dtype=np.float32)
         for ids, w in occurrences(part):
             at = place[ids]
@@ -175,20 +182,25 @@ def kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
                 hit = np.flatnonzero(at[:, col])
                 if len(hit):
                     acc[hit] += np.float32(w) * maps[at[hit, col]]
-        out[lo:lo + 4096] = acc / scale_of(part)[:, None].astype(np.float32)
+        out[lo:lo + ROWS_AT_ONCE] = acc / scale_of(part)[:, None].astype(np.float32)
     return out
 
 
 def fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, reg: float = 0.1) -> tuple[np.ndarray, float]:
     """Squared-hinge linear SVM by Newton steps on its support vectors."""
-    x = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)]).astype(np.float64)
-    w = np.zeros(x.shape[1])
-    ridge = np.full(x.shape[1], reg)
+    n = x.shape[1]
+    w = np.zeros(n + 1)
+    ridge = np.full(n + 1, reg)
     ridge[-1] = 1e-3
     for _ in range(30):
-        active = y * (x @ w) < 1
-        xa, wa = x[active], weight[active]
-        new = np.linalg.solve(np.diag(ridge) + (xa * wa[:, None]).T @ xa, (xa * (wa * y[active])[:, None]).sum(axis=0))
+        active = np.flatnonzero(y * (x @ w[:-1].astype(x.dtype) + w[-1]) < 1)
+        left, right = np.diag(ridge), np.zeros(n + 1)
+        for lo in range(0, len(active), ROWS_AT_ONCE):
+            at = active[lo:lo + ROWS_AT_ONCE]
+            xa = np.hstack([x[at].astype(np.float64), np.ones((len(at), 1))])
+            left += (xa * weight[at][:, None]).T @ xa
+            right += xa.T @ (weight[at] * y[at])
+        new = np.linalg.solve(left, right)
         done = np.abs(new - w).max() < 1e-6
         w = 0.5 * (w + new) if _ > 15 else new
         if done:
@@ -294,35 +306,48 @@ def fit(rows: list[tuple[int, str]], landmarks: int = LANDMARKS) -> ToxicityMode
     anchor = codes[marks]
     values, vectors = np.linalg.eigh(kernel(anchor, anchor).astype(np.float64))
     root = vectors * np.where(values > 1e-6, 1 / np.sqrt(np.maximum(values, 1e-6)), 0)[None, :]
-    clean_tokens = np.flatnonzero(clean_like)
-    x = (kernel(codes[used], anchor).astype(np.float64) @ root).astype(np.float32)
-    row_of = np.full(len(tokens), -1)
-    row_of[used] = np.arange(len(used))
+    scale = scale_of(anchor)
+
+    def features(rows: np.ndarray) -> np.ndarray:
+        return (kernel(codes[rows], anchor) @ root.astype(np.float32)).astype(np.float32)
+
+    def folded(w: np.ndarray) -> np.ndarray:
+        """The SVM as a weight per subsequence."""
+        alpha, table = root @ w, np.zeros(TABLE)
+        for ids, wt in occurrences(anchor):
+            np.add.at(table, ids, (wt * alpha / scale)[:, None] * np.ones(ids.shape))
+        table[0] = 0
+        return table
+
+    # Clean tokens to learn from: the most common ones and an even spread of the rest; later the hardest ones too.
+    clean_all = np.flatnonzero(clean_like)
+    clean_all = clean_all[np.argsort(-in_clean[clean_all], kind="stable")]
+    clean = clean_all[:CLEAN_TOKENS // 2]
+    if len(clean_all) > len(clean):
+        clean = np.union1d(clean, clean_all[np.linspace(len(clean), len(clean_all) - 1, CLEAN_TOKENS // 2).astype(int)])
+    clean_x = features(clean)
     toxic_bags = [b[~clean_like[b]] for b, y, out in zip(bags, label, fold) if y and not out]
     toxic_bags = [b for b in toxic_bags if len(b)]
     standing = lift * np.log1p(in_toxic)
     witness = Counter(int(b[np.argmax(standing[b])]) for b in toxic_bags)
-    w, b0 = np.zeros(x.shape[1]), 0.0
+    table, b0 = np.zeros(TABLE), 0.0
     for _ in range(ROUNDS):
         positive = np.array(sorted(witness), dtype=np.int64)
         votes = np.array([witness[t] for t in positive], dtype=np.float64)
-        index = np.concatenate([row_of[clean_tokens], row_of[positive]])
-        y = np.concatenate([-np.ones(len(clean_tokens)), np.ones(len(positive))])
-        share = np.concatenate([np.full(len(clean_tokens), CLEAN_WEIGHT / max(len(clean_tokens), 1)),
+        x = np.vstack([clean_x, features(positive)])
+        y = np.concatenate([-np.ones(len(clean)), np.ones(len(positive))])
+        share = np.concatenate([np.full(len(clean), CLEAN_WEIGHT / max(len(clean), 1)),
                                 TOXIC_WEIGHT * votes / max(votes.sum(), 1)])
-        w, b0 = fit_svm(x[index], y, share)
-        f = x @ w + b0
-        chosen = Counter(int(b[np.argmax(f[row_of[b]])]) for b in toxic_bags)
-        if chosen == witness:
+        w, b0 = fit_svm(x, y, share)
+        table = folded(w)
+        f = linear_scores(codes, table) + b0
+        hard = np.setdiff1d(clean_all[np.argsort(-f[clean_all], kind="stable")[:HARD_TOKENS]], clean)
+        hard = hard[f[hard] > -0.5]
+        chosen = Counter(int(b[np.argmax(f[b])]) for b in toxic_bags)
+        if chosen == witness and not len(hard):
             break
         witness = chosen
-    # Fold the SVM into a weight per subsequence.
-    alpha = root @ w
-    table = np.zeros(TABLE, dtype=np.float64)
-    scale = scale_of(anchor)
-    for ids, wt in occurrences(anchor):
-        np.add.at(table, ids, (wt * alpha / scale)[:, None] * np.ones(ids.shape))
-    table[0] = 0
+        clean, clean_x = np.concatenate([clean, hard]), np.vstack([clean_x, features(hard)])
     model = ToxicityModel(table.astype(np.float32), b0, np.array([1.0, 0.0, 0.0]))
     scores = model.token_scores(tokens)
     held = fold if fold.any() else np.ones(len(rows), dtype=bool)
