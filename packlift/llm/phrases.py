@@ -25,13 +25,15 @@ empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packlift.llm.common import SLICE_CHARS, hex_digest, stored, text_of
+from packlift.llm.common import SLICE_CHARS, stored, text_of
 
 KEEP = (8, 32, 32)                # names kept of level 1, 2, 3
 LEVELS = len(KEEP)
@@ -154,9 +156,10 @@ def _least(names: np.ndarray, keep: int) -> np.ndarray:
     return np.unique(names)[:keep]
 
 
-def fingerprint(sketch: tuple[np.ndarray, ...]) -> str:
-    """Levels joined by dots, a name as six hex digits."""
-    return ".".join(b"".join(n.to_bytes(3, "big") for n in part.tolist()).hex() for part in sketch)
+def fingerprint(sketch: tuple[np.ndarray, ...]) -> bytes:
+    """The number of names of each level, then the names, three bytes each."""
+    names = [n.to_bytes(3, "big") for part in sketch for n in part.tolist()]
+    return bytes(len(part) for part in sketch) + b"".join(names)
 
 
 def likeness(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> float:
@@ -179,20 +182,24 @@ def edited(text: str, following: str) -> str:
     return text[:n - n // 3] + following[:n // 3]
 
 
-REPORT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+REPORT = ("doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, "
           "near_edited double, near_next double, pid int, edge string, text string")
 
 
+def _digest(text: str) -> bytes:
+    return hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()
+
+
 def _compare(ids: list, texts: list[str]) -> list[tuple]:
     """Result rows of all texts but the last, each against the one after it."""
     own = sketches(texts)
     changed_texts = [edited(t, f) for t, f in zip(texts, texts[1:])]
     changed = sketches(changed_texts)
-    return [(i, len(t), hex_digest(c), fingerprint(o), fingerprint(e), likeness(o, e), likeness(o, n))
+    return [(i, len(t), _digest(c), fingerprint(o), fingerprint(e), likeness(o, e), likeness(o, n))
             for i, t, c, o, e, n in zip(ids, texts, changed_texts, own, changed, own[1:])]
 
 
-_TYPES = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(),
+_TYPES = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64(),
           pa.int32(), pa.string(), pa.string()]
 _NAMES = [part.split()[0] for part in REPORT.split(", ")]
 
@@ -233,7 +240,10 @@ def _join_edges(batches):
             yield _batch(out)
 
 
-RESULT = _NAMES[:7]
+def _result(rows: DataFrame) -> DataFrame:
+    """Digests and fingerprints travel as bytes and are shown in hex."""
+    return rows.select(*[F.lower(F.hex(c)).alias(c) if kind == "binary" else F.col(c)
+                         for c, kind in rows.dtypes if c in _NAMES[:7]])
 
 
 def phrase_fingerprints(docs: DataFrame) -> DataFrame:
@@ -250,10 +260,10 @@ def phrase_fingerprints(docs: DataFrame) -> DataFrame:
     # One number per range that has rows.
     pids = sorted(r["pid"] for r in edges.where(F.col("edge") == "first").select("pid").collect())
     if not pids:
-        return done.select(*RESULT)
+        return _result(done)
     following = done.sparkSession.createDataFrame(list(zip(pids, pids[1:] + pids[:1])), "p int, q int")
     last = edges.where(F.col("edge") == "last").select(F.col("pid").alias("p"), "doc_id", "text")
     first = edges.where(F.col("edge") == "first").select(F.col("pid").alias("q"), F.col("text").alias("following"))
     ends = (last.join(following, "p").join(first, "q").select("doc_id", "text", "following")
             .mapInArrow(_join_edges, REPORT))
-    return done.where(F.col("edge").isNull()).select(*RESULT).unionByName(ends.select(*RESULT))
+    return _result(done.where(F.col("edge").isNull())).unionByName(_result(ends))
