@@ -5,7 +5,7 @@
 The report inputs are derived from the test tables once (``derive_sec``) and
 stored in the warehouse layout in the checkpoint folder, as the reports read
 stored warehouse tables; each query is then timed end to end (plan build,
-size checks, execution, collect), best of ``BENCH_REPEAT`` warm runs, plus the
+bounds, execution, collect; nothing is cached between runs), best of ``BENCH_REPEAT`` warm runs, plus the
 first (cold) run of the flagship report.
 """
 
