@@ -230,7 +230,8 @@ def _bin_at(binned: DataFrame, share: float) -> DataFrame:
 
 def _concentrate(tagged: DataFrame, params: DataFrame) -> DataFrame:
     binned = _with_bins(tagged, params)
-    near = binned.join(_bin_at(binned, SUPPORT), "key").where(F.col("bin") <= F.col("last"))
+    # Stored, the cut's size is known, and the rows need no shuffle on a hot group's key.
+    near = binned.join(stored(_bin_at(binned, SUPPORT), "quality-cut"), "key").where(F.col("bin") <= F.col("last"))
     sums = [f"sum({f})" for f in FEATURES]
     products = [f"sum({FEATURES[i]} * {FEATURES[j]})" for i in range(P) for j in range(i, P)]
     packed = near.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.expr(f"array({', '.join(sums)})").alias("sums"),
