@@ -9,7 +9,7 @@ word of n symbols costs O(n log n).
 
 Short words are merged many at a time, each with its own tree in a row of one
 numpy array; words over ``WIDE`` symbols use ``SegmentTree`` one by one. A task
-remembers the ids of chunks between blanks (``REMEMBERED`` at most, then anew),
+remembers the ids of chunks between blanks (a bounded number, see ``Known``),
 as nothing merges across blanks.
 
 Before that a text is split at special tokens, brought to NFC, its blanks
@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from packlift.llm.common import rows_udf, text_of
 
 WIDE = 64                # symbols; longer words are merged one by one
-REMEMBERED = 1_000_000   # chunks, and words, whose ids a Python worker keeps (about 200 bytes each)
+REMEMBERED = 400_000     # chunks and words in a generation of a Python worker's memory (about 200 bytes each)
 END = "</w>"
 NONE = np.int64(1 << 62)
 
@@ -273,32 +273,50 @@ def vocabulary_json(path: str) -> str:
         return f.read()
 
 
-_VOCABULARIES: dict[int, tuple[Vocabulary, dict[str, bytes], dict[str, bytes]]] = {}
+class Known:
+    """Ids of chunks and words seen lately, in two generations: a full one ages,
+    and what is asked for again moves on to the next."""
+
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def missing(self, wanted: set[str]) -> list[str]:
+        """What neither generation has; the rest is young afterwards."""
+        new = wanted - self.young.keys()
+        if len(self.young) + len(new) > REMEMBERED:
+            self.old, self.young = self.young, {}
+            new = wanted
+        found = new & self.old.keys()
+        self.young.update(zip(found, map(self.old.__getitem__, found)))
+        return list(new - found)
+
+
+_VOCABULARIES: dict[int, tuple[Vocabulary, Known]] = {}
 _MARK = b"\xff\xff\xff\xff"   # not an id, and its bytes occur in no two ids
 
 
-def vocabulary(json_text: str) -> tuple[Vocabulary, dict[str, bytes], dict[str, bytes]]:
+def vocabulary(json_text: str) -> tuple[Vocabulary, Known]:
     """The vocabulary, and the chunks and words known to this Python worker."""
     name = zlib.crc32(json_text.encode())
     if name not in _VOCABULARIES:
         _VOCABULARIES.clear()
-        _VOCABULARIES[name] = (Vocabulary(json_text), {}, {})
+        _VOCABULARIES[name] = (Vocabulary(json_text), Known())
     return _VOCABULARIES[name]
 
 
 def encoder(json_text: str):
     """A function from texts to their ids as little-endian 32-bit numbers."""
-    vocab, known, ids = vocabulary(json_text)
+    vocab, known = vocabulary(json_text)
 
-    def learn_words(words: set[str]) -> None:
-        new = sorted(words - ids.keys(), key=len)
-        if len(ids) + len(new) > REMEMBERED:
-            ids.clear()
-            new = sorted(words, key=len)
+    def word_ids(words: set[str]) -> dict[str, bytes]:
+        """Ids of all the words; a word is also a chunk of its own."""
+        new = sorted(words - known.young.keys() - known.old.keys(), key=len)
+        ids = {w: known.young.get(w) or known.old.get(w) for w in words}
         for lo in range(0, len(new), 16384):
             part = new[lo:lo + 16384]
             ids.update(zip(part, vocab.encode_words(part)))
-        ids["\n"] = _MARK
+        return ids
 
     def learn(new: list[str]) -> None:
         odd = {c for c in new if "<|" in c or not c.isascii() and _ODD_NUMBER.search(c)}
@@ -306,23 +324,21 @@ def encoder(json_text: str):
         if plain:
             # All chunks at once, a line each: nothing matches or composes across lines.
             words = vocab.words_of("\n".join(plain))
-            learn_words(set(words))
-            known.update(zip(plain, b"".join(map(ids.__getitem__, words)).split(_MARK)))
+            ids = word_ids(set(words) - {"\n"})
+            known.young.update(ids)
+            ids["\n"] = _MARK
+            known.young.update(zip(plain, b"".join(map(ids.__getitem__, words)).split(_MARK)))
         for c in odd:
             parts = vocab.parts_of(c)
-            learn_words({p for p in parts if isinstance(p, str)})
-            known[c] = b"".join([ids[p] if isinstance(p, str) else p.to_bytes(4, "little") for p in parts])
+            ids = word_ids({p for p in parts if isinstance(p, str)})
+            known.young[c] = b"".join([ids[p] if isinstance(p, str) else p.to_bytes(4, "little") for p in parts])
 
     def encode(texts: list[str]) -> list[bytes]:
         split = [chunks(t) for t in texts]
-        distinct = set().union(*split)
-        new = list(distinct - known.keys())
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list(distinct)
+        new = known.missing(set().union(*split))
         if new:
             learn(new)
-        return [b"".join(map(known.__getitem__, s)) for s in split]
+        return [b"".join(map(known.young.__getitem__, s)) for s in split]
 
     return encode
 
@@ -334,7 +350,7 @@ def bpe(docs: DataFrame, json_text: str) -> DataFrame:
     """Token counts and digests of the ids and of the decoded text of every row."""
     def make():
         encode = encoder(json_text)
-        vocab, _, _ = vocabulary(json_text)
+        vocab, _ = vocabulary(json_text)
 
         def work(texts: list[str]) -> list[tuple]:
             out = []
