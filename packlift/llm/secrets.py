@@ -18,14 +18,15 @@ and the file's features (whether it names secrets, has code marks, how many
 unusual tokens it holds).
 
 **Training** maximises the regularised likelihood by forward-backward over a
-bounded sample (``TRAIN_DOCS`` texts of at most ``TRAIN_CHARS`` characters, in hash
-order, and ``TRAIN_RUNS`` runs of each kind), labelled by the base rules' values and
+bounded sample of each class (``TRAIN_DOCS`` texts with a base span and as many
+without, ``TRAIN_CHARS`` characters of each, in hash order over the whole table, and
+``TRAIN_RUNS`` runs of each kind), labelled by the base rules' values and
 widened by rewritten assignments (``variants``). **Decoding** is Viterbi;
 a run of B and I of ``SHORTEST`` or more characters becomes a span. Every text is scanned whole.
 
 Defined cases: a null or empty text has no spans; repeated rows are each
 reported; an empty table gives an empty result; without base spans in the
-sample nothing is added; other columns are ignored.
+table nothing is added; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,11 +39,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packlift.llm.common import hex_digest, rows_udf, text_of
+from packlift.llm.common import hex_digest, rows_udf, stored, text_of
 
 BASE_KINDS = ("assign", "access", "hex")
-TRAIN_DOCS = 4000
-TRAIN_CHARS = 20_000
+TRAIN_DOCS = 4000       # texts of each class, with a base span and without
+TRAIN_CHARS = 20_000    # characters of a text to fit on
 TRAIN_RUNS = 1500       # runs of each kind to fit on, at least (at most twice as many)
 SHORT = 8               # shorter tokens look plain
 SHORTEST = 8            # characters of an added span, as of a base rule's value
@@ -520,13 +521,28 @@ def fit(texts: list[str]) -> Field | None:
     return Field(weights[:N_FEATURES], moves)
 
 
+def _excerpt(text: str) -> tuple[bool, int]:
+    """Whether a text has a base span, and where its ``TRAIN_CHARS`` characters to train on start."""
+    spans = base_spans(text)
+    far = bool(spans) and len(text) > TRAIN_CHARS
+    return bool(spans), max(0, spans[0][1] - TRAIN_CHARS // 2) if far else 0
+
+
 def training_texts(docs: DataFrame, rows: int = TRAIN_DOCS) -> list[str]:
-    """The bounded sample: at most ``rows`` texts in hash order."""
-    body = docs.select(text_of().alias("text")).where(F.char_length("text").between(1, TRAIN_CHARS))
-    keyed = body.select(F.xxhash64("text").alias("h"), "text")
-    chosen = keyed.select("h").distinct().orderBy("h").limit(rows)
-    found = keyed.join(F.broadcast(chosen), "h").groupBy("h").agg(F.min("text").alias("text"))
-    return [r["text"] for r in found.orderBy("h").collect()]
+    """The bounded sample: of the texts with a base span, wherever they lie in
+    the table, and of those without, at most ``rows`` each in hash order. Of a
+    longer text ``TRAIN_CHARS`` characters are taken, around its first base span."""
+    excerpt = rows_udf(lambda: lambda texts: list(map(_excerpt, texts)), "found boolean, start int")
+    body = docs.select(text_of().alias("text")).where(F.length("text") > 0).withColumn("h", F.xxhash64("text"))
+    seen = stored(body.select("h", excerpt("text").alias("x")).groupBy("h")
+                  .agg(F.max("x.found").alias("found"), F.min("x.start").alias("start")), "secrets-found")
+    chosen = None
+    for found in (True, False):
+        part = seen.where(F.col("found") == found).orderBy("h").limit(rows)
+        chosen = part if chosen is None else chosen.unionByName(part)
+    cut = F.col("text").substr(F.col("start") + 1, F.lit(TRAIN_CHARS))
+    picked = body.join(F.broadcast(chosen), "h").groupBy("h").agg(F.min(cut).alias("text"))
+    return [r["text"] for r in picked.orderBy("h").collect()]
 
 
 def fit_field(docs: DataFrame) -> Field | None:

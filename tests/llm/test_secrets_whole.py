@@ -53,3 +53,12 @@ def test_texts_read_together_score_like_one_by_one(field):
         scores, ends = field.scores([text], [secrets._TOKEN.findall(text)])
         want = [field.weights[run.features.astype(int)].sum(axis=1) for run in secrets.runs_of(text, secrets.Words())]
         assert np.allclose(scores[~ends], np.concatenate(want))
+
+
+def test_training_takes_rare_secrets_of_the_whole_table(spark):
+    rare = "x" * (2 * secrets.TRAIN_CHARS) + " password = abcdefgh1 " + "y" * secrets.TRAIN_CHARS
+    rows = [(k, f"plain text number {k}") for k in range(400)] + [(-1, "token: 0123456789"), (-2, rare), (-3, None), (-1, "token: 0123456789")]
+    got = secrets.training_texts(spark.createDataFrame(rows, "doc_id long, text string"), rows=3)
+    with_span = [t for t in got if secrets.base_spans(t)]
+    assert len(got) == 5 and len(with_span) == 2 and "token: 0123456789" in with_span
+    assert max(map(len, got)) == secrets.TRAIN_CHARS
