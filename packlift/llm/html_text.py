@@ -3,8 +3,10 @@
 The page is read into a tree (unclosed and misnested tags are closed as
 browsers do for the common cases). Subtrees that are never main text are set
 aside: by element (navigation, footers, asides, forms, scripts, styles and the
-like), by the words of their class, id and role (adverts, menus, notices,
-comments, sidebars), or as hidden.
+like), by their role, or as hidden. The words of a class or id (adverts, menus,
+notices, comments, sidebars) count against a subtree's points, and set it aside only if
+it has no good word, holds no article or main, and holds less than ``ASIDE_SHARE`` of
+the page's unlinked paragraph text.
 
 Every paragraph then earns points for itself, its commas and its length, and
 passes them to its nearest ``ANCESTORS`` ancestors: all to its parent, half to
@@ -48,6 +50,7 @@ disqus respond reply replies discussion sidebar aside widget nav navbar navigati
 pagination pager footer masthead topbar toolbar share sharing social related recommended recommendations
 outbrain taboola skip hidden alert""".split())
 GOOD_WORDS = frozenset("article body content entry main page post story text blog hentry".split())
+COMMENT_WORDS = frozenset("comment comments disqus respond reply replies discussion".split())
 BAD_ROLES = frozenset("navigation banner complementary contentinfo search dialog alert menu menubar toolbar form".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
              "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tfoot", "tr", "td", "th"}}
@@ -56,6 +59,7 @@ SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}
 CONTAINERS = frozenset("article main section div body td table ul ol dl blockquote figure form header footer aside".split())
 # ---------------------------------------------------------------------------------
 ANCESTORS = 5
+ASIDE_SHARE = 0.4     # a subtree with bad words is set aside if it holds less of the page's unlinked paragraph text
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/"']|$)""", re.I)
@@ -64,12 +68,14 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "hints", "dropped", "points", "chars", "commas", "linked")
+    __slots__ = ("tag", "parent", "items", "hints", "bad", "good", "comments", "dropped", "points", "chars", "commas", "linked")
 
     def __init__(self, tag: str, parent: "Node | None"):
         self.tag, self.parent = tag, parent
         self.items: list = []          # child nodes and strings, in page order
         self.hints = 0                 # good words minus bad words
+        self.bad = self.good = False   # class or id has such a word
+        self.comments = False          # class or id has only words for comments
         self.dropped = False
         self.points = 0.0
         self.chars = 0                 # of text below
@@ -85,7 +91,9 @@ def _read_attributes(node: Node, text: str) -> None:
             words = _HINT.findall(value.lower())
             bad = sum(w in BAD_WORDS for w in words)
             node.hints += sum(w in GOOD_WORDS for w in words) - bad
-            node.dropped |= bool(bad) and not in_article
+            node.bad |= bool(bad) and not in_article
+            node.comments |= bool(words) and COMMENT_WORDS.issuperset(words)
+            node.good |= any(w in GOOD_WORDS for w in words)
         elif name == "role":
             node.dropped |= value.lower() in BAD_ROLES
         elif name == "style":
@@ -199,6 +207,35 @@ def _walk(root: Node):
         stack += [c for c in reversed(node.items) if isinstance(c, Node) and not c.dropped]
 
 
+def set_aside(root: Node) -> None:
+    """Set subtrees aside by their hint words: those with a bad word and no good
+    one that hold no article or main and less than ``ASIDE_SHARE`` of the page's
+    unlinked paragraph text; comments, which may outgrow their article, if they
+    hold less than all of it. Others keep their words as a penalty."""
+    order = list(_walk(root))
+    linked, within = {id(root): False}, {id(root): False}
+    for node in order:
+        if node.parent is not None:
+            linked[id(node)] = linked[id(node.parent)] or node.tag == "a"
+            within[id(node)] = within[id(node.parent)] or node.tag in PARAGRAPH
+    text: dict[int, int] = {}
+    holds: set[int] = set()
+    for node in reversed(order):
+        own = 0
+        if not linked[id(node)] and (within[id(node)] or node.tag in ("div", "section", "article", "main", "body")):
+            own = sum(len(s.strip()) for s in node.items if isinstance(s, str))
+        text[id(node)] = text.get(id(node), 0) + own
+        if node.parent is not None:
+            up = id(node.parent)
+            text[up] = text.get(up, 0) + text[id(node)]
+            if node.tag in ("article", "main") or id(node) in holds:
+                holds.add(up)
+    for node in order:
+        share = 1 if node.comments else ASIDE_SHARE
+        if node.bad and not node.good and id(node) not in holds and text[id(node)] < share * max(text[id(root)], 1):
+            node.dropped = True
+
+
 def score_tree(root: Node) -> list[Node]:
     """Pass the paragraphs' points up; the nodes that got any, in page order."""
     order = list(_walk(root))
@@ -240,6 +277,7 @@ def score_tree(root: Node) -> list[Node]:
 
 
 def chosen_nodes(root: Node) -> list[Node]:
+    set_aside(root)
     found = [n for n in score_tree(root) if n.tag in CONTAINERS]
     if not found:
         return [root]
