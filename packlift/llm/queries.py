@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from packlift.llm import bpe, chat, chat_sql, html_text, packing, phrases, pii, quality, secrets, simhash, toxicity
+from packlift.llm import (bpe, centroids, centroids_sql, chat, chat_sql, html_text, packing, phrases, pii, quality, secrets,
+                          simhash, toxicity)
 from packlift.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -69,6 +70,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(docs, toxicity.fit_model(docs, labels))
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.centroid_clusters(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
@@ -77,4 +82,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_chat": chat_sql.CHAT}
+    return {"op9_chat": chat_sql.CHAT, "op13_centroids": centroids_sql.clusters_sql()}
