@@ -62,12 +62,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def slices(texts: list) -> Iterator[list[str]]:
+def slices(texts: list, most: int = SLICE_CHARS) -> Iterator[list[str]]:
     """``texts`` in consecutive lists of bounded size, null as the empty text."""
     part, size = [], 0
     for t in texts:
         t = t or ""
-        if part and size + len(t) > SLICE_CHARS:
+        if part and size + len(t) > most:
             yield part
             part, size = [], 0
         part.append(t)

@@ -10,11 +10,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from packlift.llm import (bpe, centroids, centroids_sql, chat, chat_sql, html_text, packing, phrases, pii, quality, secrets,
+from packlift.llm import (align, bpe, centroids, centroids_sql, chat, chat_sql, html_text, packing, phrases, pii, quality, secrets,
                           simhash, toxicity)
 from packlift.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
+ALIGNED_A, ALIGNED_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def tokenizer_text(name: str = TOKENIZER) -> str:
@@ -24,6 +25,14 @@ def tokenizer_text(name: str = TOKENIZER) -> str:
     return bpe.vocabulary_json(public_tokenizers.path(name))
 
 
+def tokenizer_bytes(name: str) -> bytes:
+    """A vocabulary file as it is, read on the driver and shipped with the job."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_text())
 
@@ -70,6 +79,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(docs, toxicity.fit_model(docs, labels))
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align_documents(table(spark, sf_dir, "documents"), tokenizer_bytes(ALIGNED_A).decode(),
+                                 tokenizer_bytes(ALIGNED_B))
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.centroid_clusters(table(spark, sf_dir, "embeddings"))
 
