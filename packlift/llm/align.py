@@ -25,6 +25,9 @@ are encoded whole; strings of special tokens are ordinary text.
 from __future__ import annotations
 
 import hashlib
+import json
+import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,25 +52,57 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+# How a byte-level vocabulary cuts a text before merging (fixed value).
+BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# The rank encoder's pattern engine overflows on white space of some hundred thousand characters.
+LONG_BLANK = re.compile(r"\s{10000}")
+
+
 class ByteLevel:
-    """Tokenizer A: a byte-level BPE file of the tokenizers library, given as its text."""
+    """Tokenizer A: a byte-level BPE file of the tokenizers library, given as its text.
+
+    Where ids follow the order of merges, the ids are also ranks, and the rank
+    encoder gives the library's ids in a quarter of its time (tests compare
+    them on every code point). Other files, and texts with very long white
+    space, go through the library itself.
+    """
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
 
-        self._encoder = Tokenizer.from_str(spec)
-        self._encoder.encode_special_tokens = True
-        self._encoder.no_truncation()
-        self._encoder.no_padding()
+        # The tasks are the parallelism; the library's own threads would fight over their cores.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self._library = Tokenizer.from_str(spec)
+        self._library.encode_special_tokens = True
+        self._library.no_truncation()
+        self._library.no_padding()
         letters = byte_letters()
-        size = self._encoder.get_vocab_size(with_added_tokens=True)
-        self.pieces = [b""] * size
-        for piece, i in self._encoder.get_vocab(with_added_tokens=True).items():
+        self.pieces = [b""] * self._library.get_vocab_size(with_added_tokens=True)
+        for piece, i in self._library.get_vocab(with_added_tokens=True).items():
             known = all(c in letters for c in piece)
             self.pieces[i] = bytes(letters[c] for c in piece) if known else piece.encode()
+        self._ranks = self._rank_encoder(json.loads(spec))
+
+    def _rank_encoder(self, spec: dict):
+        import tiktoken
+
+        model, cut = spec["model"], spec["pre_tokenizer"]
+        vocab = model["vocab"]
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        plain = (spec["normalizer"] is None and cut["type"] == "ByteLevel" and not cut["add_prefix_space"]
+                 and cut.get("use_regex", True) and model["type"] == "BPE" and not model.get("ignore_merges")
+                 and len(vocab) == 256 + len(merges)
+                 and all(vocab[a + b] == 256 + i for i, (a, b) in enumerate(merges)))
+        return tiktoken.Encoding("ids", pat_str=BYTE_LEVEL_PATTERN, special_tokens={},
+                                 mergeable_ranks={self.pieces[i]: i for i in vocab.values()}) if plain else None
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [self._one(" " + t) for t in texts]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self._encoder.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    def _one(self, text: str) -> np.ndarray:
+        if self._ranks is None or LONG_BLANK.search(text):
+            return np.array(self._library.encode(text, add_special_tokens=False).ids, dtype=np.int64)
+        return self._ranks.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
 
 
 class Piece:
@@ -86,8 +121,8 @@ class Piece:
             return bytes([int(piece[3:-1], 16)])
         return piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self._encoder.encode(texts, num_threads=1)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(ids, dtype=np.int64) for ids in self._encoder.encode(texts, num_threads=1)]
 
 
 # --- one text ----------------------------------------------------------------------
@@ -106,41 +141,68 @@ def run_length(a: list[int], b: list[int], i: int, j: int) -> int:
     return min(n, most)
 
 
-def align(a: list[int], b: list[int]) -> tuple[list[tuple[int, int]], list[int], list[int]]:
-    """Groups and links of two rising lists of end offsets with equal last entries.
+def align(a: list[int], b: list[int]) -> tuple[list[tuple[int, int, int, int, int]], list[int], list[int]]:
+    """The walk over two rising lists of end offsets with equal last entries.
 
-    Groups are (end index in a, end index in b), exclusive; link k joins token
-    ``left[k]`` of a and ``right[k]`` of b, in byte order.
+    Each step ``(i, j, run, p, q)`` is ``run`` one-to-one groups from tokens
+    (i, j) on, then one irregular group up to (p, q), exclusive; the last step
+    may lack the latter. The other two lists hold the links of the irregular
+    groups, as places in a and in b.
     """
-    groups, left, right = [], [], []
+    steps, left, right = [], [], []
     i = j = 0
     n = len(a)
     while i < n:
         run = run_length(a, b, i, j)
-        if run:
-            groups.extend(zip(range(i + 1, i + run + 1), range(j + 1, j + run + 1)))
-            left.extend(range(i, i + run))
-            right.extend(range(j, j + run))
-            i += run
-            j += run
-            if i == n:
-                break
-        x, y = a[i], b[j]
-        while x != y:
-            left.append(i)
-            right.append(j)
-            if x < y:
-                i += 1
-                x = a[i]
-            else:
-                j += 1
-                y = b[j]
-        left.append(i)
-        right.append(j)
-        i += 1
-        j += 1
-        groups.append((i, j))
-    return groups, left, right
+        p, q = i + run, j + run
+        if p < n:
+            x, y = a[p], b[q]
+            while x != y:
+                left.append(p)
+                right.append(q)
+                if x < y:
+                    p += 1
+                    x = a[p]
+                else:
+                    q += 1
+                    y = b[q]
+            left.append(p)
+            right.append(q)
+            p += 1
+            q += 1
+        steps.append((i, j, run, p, q))
+        i, j = p, q
+    return steps, left, right
+
+
+def _expanded(starts: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    """``start, start + 1, ...`` of each run, one after the other."""
+    before = np.cumsum(runs) - runs
+    return np.repeat(starts - before, runs) + np.arange(int(runs.sum()))
+
+
+def group_ends(steps: list) -> tuple[np.ndarray, np.ndarray]:
+    """Per group the number of a's and of b's tokens up to its end."""
+    if not steps:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    i, j, run, p, q = np.array(steps, dtype=np.int64).T
+    knot = p > i + run
+    ends = []
+    for start, end in ((i, p), (j, q)):
+        # A run's ends, then its irregular group's: one more place per step that has one.
+        flat = _expanded(start + 1, run + knot)
+        flat[np.cumsum(run + knot)[knot] - 1] = end[knot]
+        ends.append(flat)
+    return ends[0], ends[1]
+
+
+def links(steps: list, left: list[int], right: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Every link's place in a and in b: one per one-to-one group, then those of the irregular groups."""
+    if not steps:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    i, j, run, _, _ = np.array(steps, dtype=np.int64).T
+    return (np.concatenate((_expanded(i, run), np.array(left, dtype=np.int64))),
+            np.concatenate((_expanded(j, run), np.array(right, dtype=np.int64))))
 
 
 class Aligner:
@@ -149,41 +211,43 @@ class Aligner:
     def __init__(self, spec_a: str, model_b: bytes):
         self.a, self.b = ByteLevel(spec_a), Piece(model_b)
         self._lengths = [np.array([len(p) for p in v.pieces], dtype=np.int64) for v in (self.a, self.b)]
-        self._names = [list(map(str, range(len(v.pieces)))) for v in (self.a, self.b)]
+        # An id as the digest's text has it: followed by what separates it from the next of its own
+        # group (first half of a table), or by what ends its side of the group (second half).
+        self._names = [np.array([f"{i}{mark}" for mark in marks for i in range(len(v.pieces))], dtype=object)
+                       for v, marks in ((self.a, ",|"), (self.b, ",;"))]
         self.width = len(self.b.pieces)
 
-    def texts(self, texts: list[str]) -> Iterator[tuple[list, list, list, list, list]]:
-        """Per text: ids under A, ids under B, groups, links' places in A and in B; all empty without tokens."""
+    def texts(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, list, list, list]]:
+        """Per text: ids under A, ids under B, and what ``align`` returns; all empty without tokens."""
         got_a, got_b = self.a.encode(texts), self.b.encode(texts)
+        none = np.empty(0, dtype=np.int64)
         for k, text in enumerate(texts):
-            ids_a, ids_b = got_a[k], got_b[k]
+            ids = (got_a[k], got_b[k])
             got_a[k] = got_b[k] = None
             want = b" " + text.encode()
-            if (not text or b"".join(map(self.a.pieces.__getitem__, ids_a)) != want
-                    or b"".join(map(self.b.pieces.__getitem__, ids_b)) != want):
-                yield [], [], [], [], []
+            if not text or any(b"".join(map(v.pieces.__getitem__, i.tolist())) != want
+                               for v, i in zip((self.a, self.b), ids)):
+                yield none, none, [], [], []
                 continue
-            ends = [self._lengths[s][ids].cumsum().tolist() for s, ids in ((0, ids_a), (1, ids_b))]
-            yield ids_a, ids_b, *align(*ends)
+            yield *ids, *align(*(self._lengths[s][ids[s]].cumsum().tolist() for s in (0, 1)))
 
-    def pairs(self, ids_a: list, ids_b: list, left: list, right: list) -> tuple[np.ndarray, np.ndarray]:
+    def pairs(self, ids_a: np.ndarray, ids_b: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The distinct linked id pairs (A's id times B's vocabulary size plus B's id) and their numbers of links."""
-        code = (np.array(ids_a, dtype=np.int64)[np.array(left, dtype=np.int64)] * self.width
-                + np.array(ids_b, dtype=np.int64)[np.array(right, dtype=np.int64)])
-        return np.unique(code, return_counts=True)
+        return np.unique(ids_a[left] * self.width + ids_b[right], return_counts=True)
 
-    def text_of_groups(self, ids_a: list, ids_b: list, groups: list) -> str:
+    def text_of_groups(self, ids_a: np.ndarray, ids_b: np.ndarray, steps: list) -> str:
         """``a1,a2|b1;a3|b2,b3``: decimal ids in order."""
-        names_a = list(map(self._names[0].__getitem__, ids_a))
-        names_b = list(map(self._names[1].__getitem__, ids_b))
-        out, i, j = [], 0, 0
-        for p, q in groups:
-            if p - i == 1 and q - j == 1:
-                out.append(names_a[i] + "|" + names_b[j])
-            else:
-                out.append(",".join(names_a[i:p]) + "|" + ",".join(names_b[j:q]))
-            i, j = p, q
-        return ";".join(out)
+        ends = group_ends(steps)
+        sizes = [np.diff(e, prepend=0) for e in ends]
+        out = np.empty(len(ids_a) + len(ids_b), dtype=object)
+        # A token stands behind what its own side and the other side have had: for A the
+        # B tokens of the groups before, for B also the A tokens of its own group.
+        before = (np.concatenate(([0], ends[1][:-1])), ends[0])
+        for side, ids in ((0, ids_a), (1, ids_b)):
+            last = np.zeros(len(ids), dtype=np.int64)
+            last[ends[side] - 1] = len(self._names[side]) // 2
+            out[np.arange(len(ids)) + np.repeat(before[side], sizes[side])] = self._names[side][ids + last]
+        return "".join(out.tolist())[:-1]
 
 
 # --- all texts ---------------------------------------------------------------------
@@ -212,8 +276,7 @@ def alignments(docs: DataFrame, spec_a: str, model_b: bytes) -> DataFrame:
     def run(batches):
         aligner = Aligner(spec_a, model_b)
         for ids, texts in _batches(batches):
-            rows = [(a, b, [g[0] for g in groups], [g[1] for g in groups])
-                    for a, b, groups, _, _ in aligner.texts(texts)]
+            rows = [(a, b, *group_ends(steps)) for a, b, steps, _, _ in aligner.texts(texts)]
             yield pa.RecordBatch.from_arrays([ids, *(_lists([r[c] for r in rows]) for c in range(4))],
                                              names=["doc_id", "a_ids", "b_ids", "a_ends", "b_ends"])
 
@@ -231,19 +294,20 @@ def linked_pairs(docs: DataFrame, spec_a: str, model_b: bytes) -> DataFrame:
         aligner = Aligner(spec_a, model_b)
         for ids, texts in _batches(batches):
             sizes, digests, codes, numbers = [], [], [], []
-            for a, b, groups, left, right in aligner.texts(texts):
-                sizes.append((len(a), len(b), len(groups), len(left)))
-                digests.append(hashlib.sha256(aligner.text_of_groups(a, b, groups).encode()).hexdigest() if a else "")
+            for a, b, steps, left, right in aligner.texts(texts):
+                left, right = links(steps, left, right)
+                sizes.append((len(a), len(b), len(a) + len(b) - len(left), len(left)))
+                digests.append(hashlib.sha256(aligner.text_of_groups(a, b, steps).encode()).hexdigest() if steps else "")
                 code, n = aligner.pairs(a, b, left, right)
                 codes.append(code)
                 numbers.append(n)
             offsets = pa.array(np.concatenate(([0], np.cumsum([len(c) for c in codes]))).astype(np.int32))
-            links = pa.StructArray.from_arrays([pa.array(np.concatenate(codes), pa.int64()),
+            found = pa.StructArray.from_arrays([pa.array(np.concatenate(codes), pa.int64()),
                                                 pa.array(np.concatenate(numbers).astype(np.int32), pa.int32())],
                                                names=["code", "n"])
             yield pa.RecordBatch.from_arrays(
                 [ids, *(pa.array([s[c] for s in sizes], pa.int64()) for c in range(4)), pa.array(digests, pa.string()),
-                 pa.ListArray.from_arrays(offsets, links)],
+                 pa.ListArray.from_arrays(offsets, found)],
                 names=["doc_id", *COUNTS, "groups_sha256", "links"])
 
     sizes = ", ".join(f"{c} bigint" for c in COUNTS)
@@ -251,11 +315,10 @@ def linked_pairs(docs: DataFrame, spec_a: str, model_b: bytes) -> DataFrame:
         run, f"doc_id {_id_type(docs)}, {sizes}, groups_sha256 string, links array<struct<code: bigint, n: int>>")
 
 
-def pair_counts(links: DataFrame, width: int) -> DataFrame:
+def pair_counts(linked: DataFrame, width: int) -> DataFrame:
     """``code, n, best``: each linked id pair's number of links in all texts, and
     whether it is the highest of its B id (ties included)."""
-    spark = links.sparkSession
-    counts = stored(links.groupBy("code").agg(F.sum("n").alias("n")), "pair-counts")
+    counts = stored(linked.groupBy("code").agg(F.sum("n").alias("n")), "pair-counts")
     b_id = F.col("code") % F.lit(width)
     top = counts.groupBy(b_id.alias("b")).agg(F.max("n").alias("top"))
     # One row per id of B's vocabulary, a bound set by the vocabulary file.
@@ -268,8 +331,8 @@ def align_documents(docs: DataFrame, spec_a: str, model_b: bytes, heavy_pairs: i
     pair has its B id's highest count) and ``count_sum`` (counts summed over links)."""
     width = len(Piece(model_b).pieces)
     texts = stored(linked_pairs(docs, spec_a, model_b).withColumn("row", F.monotonically_increasing_id()), "links")
-    links = texts.select("row", F.explode("links").alias("l")).select("row", "l.code", F.col("l.n").alias("times"))
-    counts = stored(pair_counts(links.withColumnRenamed("times", "n"), width), "pair-scores")
+    linked = texts.select("row", F.explode("links").alias("l")).select("row", "l.code", F.col("l.n").alias("times"))
+    counts = stored(pair_counts(linked.withColumnRenamed("times", "n"), width), "pair-scores")
     total = counts.agg(F.sum("n")).first()[0] or 0
     heavy = F.col("n").cast("decimal(38,0)") * heavy_pairs >= F.lit(total).cast("decimal(38,0)")
     common, rare = F.broadcast(counts.where(heavy)), counts.where(~heavy)    # common: at most heavy_pairs rows
@@ -278,8 +341,8 @@ def align_documents(docs: DataFrame, spec_a: str, model_b: bytes, heavy_pairs: i
         return rows.groupBy("row").agg(F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"),
                                        F.sum(F.col("times") * F.col("n")).alias("count_sum"))
 
-    both = (scores(links.join(common, "code"))
-            .unionByName(scores(links.join(common.select("code"), "code", "left_anti").join(rare, "code")))
+    both = (scores(linked.join(common, "code"))
+            .unionByName(scores(linked.join(common.select("code"), "code", "left_anti").join(rare, "code")))
             .groupBy("row").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum")))
     zero = F.lit(0).cast("bigint")
     return (texts.drop("links").join(both, "row", "left")

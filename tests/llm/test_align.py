@@ -24,7 +24,7 @@ def brute(texts):
     rows, counts = [], Counter()
     for text in texts:
         text = text or ""
-        ids = [v.encode([text])[0] for v in (a, b)] if text else [[], []]
+        ids = [v.encode([text])[0].tolist() for v in (a, b)] if text else [[], []]
         if any(b"".join(v.pieces[i] for i in t) != b" " + text.encode() for v, t in zip((a, b), ids)):
             ids = [[], []]
         spans = []
@@ -81,13 +81,15 @@ def test_run_skipping_equals_common_ends(seed):
     ends = [sorted({n, *rng.sample(range(1, n + 1), rng.randint(1, n))}) for _ in range(2)]
     if seed % 3 == 0:
         ends[1] = sorted(set(ends[0]) - set(ends[0][5:7]) | {n})
-    groups, left, right = align.align(*ends)
-    assert [ends[0][p - 1] for p, _ in groups] == sorted(set(ends[0]) & set(ends[1]))
+    steps, *knots = align.align(*ends)
+    left, right = align.links(steps, *knots)
+    ends_a, ends_b = align.group_ends(steps)
+    assert [ends[0][p - 1] for p in ends_a] == [ends[1][p - 1] for p in ends_b] == sorted(set(ends[0]) & set(ends[1]))
     starts = [[0, *e[:-1]] for e in ends]
     want = [(i, j) for i in range(len(ends[0])) for j in range(len(ends[1]))
             if starts[0][i] < ends[1][j] and starts[1][j] < ends[0][i]] if n <= 60 else None
-    assert want is None or list(zip(left, right)) == want
-    assert len(left) == len(ends[0]) + len(ends[1]) - len(groups)
+    assert want is None or sorted(zip(left.tolist(), right.tolist())) == want
+    assert len(left) == len(ends[0]) + len(ends[1]) - len(ends_a)
 
 
 def test_probing_is_logarithmic_on_long_runs():
@@ -105,3 +107,24 @@ def test_probing_is_logarithmic_on_long_runs():
 
 def test_empty_table(spark):
     assert align.align_documents(table(spark, ["a"]).limit(0), SPEC, MODEL).count() == 0
+
+
+def test_rank_encoder_equals_the_library_on_every_code_point():
+    import os
+
+    a = align.ByteLevel(SPEC)
+    os.environ["TOKENIZERS_PARALLELISM"] = "true"
+    points = [c for c in range(1, 0x110000) if not 0xD800 <= c <= 0xDFFF]
+    for at in range(0, len(points), 100_000):
+        texts = [f" a{c}{c}1 {c} {c}b  {c}!'s{c}'{c}. {c}{c}{c}x" for c in map(chr, points[at:at + 100_000])]
+        want = a._library.encode_batch(texts, add_special_tokens=False)
+        assert all(x.ids == a._one(t).tolist() for x, t in zip(want, texts))
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+
+
+def test_rank_encoder_equals_the_library_on_documents(spark):
+    a = align.ByteLevel(SPEC)
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()
+    texts = [r["text"] or "" for r in rows] + ["a" + " " * 30_000 + "b", "\n" * 300_000, "x" * 50_000]
+    for t in texts:
+        assert a._one(" " + t).tolist() == a._library.encode(" " + t, add_special_tokens=False).ids
