@@ -39,7 +39,7 @@ from packlift.llm.common import slices, stored, text_of
 
 HEAVY_PAIRS = 1 << 18       # pairs with at least this share of all links are broadcast: at most so many
 SLICE = 500_000             # characters encoded at a time, unless one text alone has more
-LONGEST_PROBE = 1 << 16
+LONGEST_PROBE = 1 << 18     # bytes compared at a time
 
 
 # --- vocabularies ------------------------------------------------------------------
@@ -127,22 +127,30 @@ class Piece:
 
 # --- one text ----------------------------------------------------------------------
 
-def run_length(a: list[int], b: list[int], i: int, j: int) -> int:
-    """How far ``a[i + n] == b[j + n]`` holds: probes of doubled length, halved at a difference."""
-    most = min(len(a) - i, len(b) - j)
-    n, width = 0, 1
-    while n < most and a[i + n:i + n + width] == b[j + n:j + n + width]:
-        n += min(width, most - n)
-        width = min(2 * width, LONGEST_PROBE)
-    while width > 1 and n < most:
-        width //= 2
-        if a[i + n:i + n + width] == b[j + n:j + n + width]:
+WORD = 4     # bytes of an end offset in the buffers that are probed
+
+
+def run_length(a: bytes, b: bytes, i: int, j: int) -> int:
+    """How far the offsets of ``a`` from place i on equal those of ``b`` from place j on.
+
+    Probes of doubled length are compared whole, then halved at a difference.
+    """
+    x, y = WORD * i, WORD * j
+    most = min(len(a) - x, len(b) - y)
+    n, width = 0, 2 * WORD
+    while n < most and a[x + n:x + n + width] == b[y + n:y + n + width]:
+        n += width
+        if width < LONGEST_PROBE:
+            width += width
+    while width > WORD and n < most:
+        width >>= 1
+        if a[x + n:x + n + width] == b[y + n:y + n + width]:
             n += width
-    return min(n, most)
+    return (n if n < most else most) // WORD
 
 
-def align(a: list[int], b: list[int]) -> tuple[list[tuple[int, int, int, int, int]], list[int], list[int]]:
-    """The walk over two rising lists of end offsets with equal last entries.
+def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[list[tuple[int, int, int, int, int]], list[int], list[int]]:
+    """The walk over two rising arrays of end offsets with equal last entries.
 
     Each step ``(i, j, run, p, q)`` is ``run`` one-to-one groups from tokens
     (i, j) on, then one irregular group up to (p, q), exclusive; the last step
@@ -150,10 +158,12 @@ def align(a: list[int], b: list[int]) -> tuple[list[tuple[int, int, int, int, in
     groups, as places in a and in b.
     """
     steps, left, right = [], [], []
+    a, b = ends_a.tolist(), ends_b.tolist()
+    probe_a, probe_b = (e.astype(f"u{WORD}").tobytes() for e in (ends_a, ends_b))
     i = j = 0
     n = len(a)
     while i < n:
-        run = run_length(a, b, i, j)
+        run = run_length(probe_a, probe_b, i, j)
         p, q = i + run, j + run
         if p < n:
             x, y = a[p], b[q]
@@ -229,7 +239,7 @@ class Aligner:
                                for v, i in zip((self.a, self.b), ids)):
                 yield none, none, [], [], []
                 continue
-            yield *ids, *align(*(self._lengths[s][ids[s]].cumsum().tolist() for s in (0, 1)))
+            yield *ids, *align(*(self._lengths[s][ids[s]].cumsum() for s in (0, 1)))
 
     def pairs(self, ids_a: np.ndarray, ids_b: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The distinct linked id pairs (A's id times B's vocabulary size plus B's id) and their numbers of links."""
