@@ -10,8 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from packlift.llm import (align, bpe, centroids, centroids_sql, chat, chat_sql, html_text, packing, phrases, pii, quality, secrets,
-                          simhash, toxicity)
+from packlift.llm import (align, bpe, centroids, centroids_sql, chat, chat_sql, html_text, packing, phrases, pii, quality, repeats,
+                          secrets, simhash, toxicity)
 from packlift.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -84,6 +84,10 @@ def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  tokenizer_bytes(ALIGNED_B))
 
 
+def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_digests(table(spark, sf_dir, "documents"))
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.centroid_clusters(table(spark, sf_dir, "embeddings"))
 
