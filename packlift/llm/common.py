@@ -25,6 +25,7 @@ from pyspark.sql.types import StructType
 from packlift.session import ensure_checkpoint_dir
 
 SLICE_CHARS = 4_000_000   # characters of text handed to a task function at a time, unless one text alone has more
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -50,18 +51,32 @@ def fresh(df: DataFrame, *stems: str) -> list[str]:
     return out
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, batch_rows: int | None = None, codec: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
     Cuts the lineage like ``checkpoint()``; as Parquet it is compact, and Spark
-    knows its size when it plans a join.
+    knows its size when it plans a join. ``batch_rows`` bounds the Arrow batches
+    of this one job, for task functions over rows that hold whole texts; ``codec``
+    names another Parquet compression than the session's.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/packlift-llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(ARROW_ROWS)
+    if batch_rows:
+        spark.conf.set(ARROW_ROWS, str(min(batch_rows, int(before)) if int(before) > 0 else batch_rows))
+    try:
+        df.write.parquet(path, compression=codec)
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now: it does so when the
+    driver's collector finds their owners gone, which a quiet driver may not do for half an hour."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def slices(texts: list, most: int = SLICE_CHARS) -> Iterator[list[str]]:
     """``texts`` in consecutive lists of bounded size, null as the empty text."""
     part, size = [], 0

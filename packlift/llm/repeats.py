@@ -12,9 +12,9 @@ segment. Every window lies in exactly one segment, and equal windows lie in
 segments of equal key (the anchor's hash). Then:
 
 1. keys found once are dropped (their windows cannot repeat);
-2. segments are counted by (key, 128-bit digest) with map-side combining, so a
-   group of copies is one row whatever its size; windows of a segment found
-   twice are repeated;
+2. segments are counted by key and their own hash (128 bits together) with
+   map-side combining, so a group of copies is one row whatever its size;
+   windows of a segment found twice are repeated;
 3. the different segments of a key go to one task, which builds the suffix
    array of their concatenation (``suffix_array``); windows that are neighbours
    there and agree in ``length`` bytes are repeated;
@@ -25,7 +25,8 @@ segments of equal key (the anchor's hash). Then:
 
 Defined cases: null text counts as empty; null ids and repeated rows are rows of
 their own (a repeated row's text repeats); a text shorter than ``length`` loses
-nothing. Hash collisions only bring more segments together.
+nothing. Collisions of the anchors' hashes
+only bring more segments together.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packlift.llm.common import stored, text_of
+from packlift.llm.common import release, stored, text_of
 from packlift.llm.suffix_array import suffix_array
 
 LENGTH = 200        # bytes of a repeated string
@@ -49,7 +50,7 @@ RUNS = (8, 1)       # windows of a unit after the first and the second split of
 CHUNK = 1 << 20     # windows of a text looked at together
 BATCH_BYTES = 4_000_000    # bytes handed back to Spark at a time, unless one text alone has more
 _PLACE_BITS = 24
-_REMEMBERED = 100_000
+_ROWS = 1000               # texts of an Arrow batch
 
 
 def _filled(rows: Iterator[tuple[tuple, int]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -85,23 +86,28 @@ class Anchors:
             np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(chunk + length, b, dtype=np.uint64))), dtype=np.uint64)
             for b in (base, pow(base, -1, 1 << 64)))
 
-    def hashes(self, text: bytes, gram: int) -> np.ndarray:
-        """The hash of every gram of ``text``: differences of a prefix polynomial, mixed."""
+    def _sums(self, text: bytes) -> np.ndarray:
+        """The prefix sums of a polynomial in the text's bytes."""
         symbols = np.frombuffer(text, dtype=np.uint8).astype(np.uint64) + np.uint64(1)
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(symbols * self._powers[:len(text)], dtype=np.uint64)))
-        return _mixed((sums[gram:] - sums[:-gram]) * self._inverse[:len(text) - gram + 1])
+        return np.concatenate((np.zeros(1, np.uint64), np.cumsum(symbols * self._powers[:len(text)], dtype=np.uint64)))
+
+    def _hashes(self, sums: np.ndarray, gram: int) -> np.ndarray:
+        """The hash of every gram: differences of the sums, moved to a common power, mixed."""
+        return _mixed((sums[gram:] - sums[:-gram]) * self._inverse[:len(sums) - gram])
 
     def of(self, text: bytes) -> np.ndarray:
-        """Rows ``key, place, first, n``: an anchor, where it stands, and its windows [first, first + n)."""
-        parts = [np.empty((0, 4), dtype=np.int64)]
+        """Rows ``key, sid, first, n, ahead``: an anchor's hash, its segment's hash, its
+        windows [first, first + n), and how far the anchor is ahead of the first."""
+        parts = [np.empty((0, 5), dtype=np.int64)]
         for start in range(0, len(text) - self.length + 1, self.chunk):
             part = self._chunk(text[start:start + self.chunk + self.length - 1])
-            part[:, 1:3] += start
+            part[:, 2] += start
             parts.append(part)
         return np.concatenate(parts)
 
     def _chunk(self, text: bytes) -> np.ndarray:
-        h = self.hashes(text, self.gram)
+        sums = self._sums(text)
+        h = self._hashes(sums, self.gram)
         grams, places = self.length - self.gram + 1, np.uint64((1 << _PLACE_BITS) - 1)
         # The place in the lowest bits makes the minimum its own argmin, leftmost on ties.
         least, width = (h & ~places) | np.arange(len(h), dtype=np.uint64), 1
@@ -114,7 +120,9 @@ class Anchors:
         first = np.concatenate(([0], np.flatnonzero(np.diff(place)) + 1))
         n = np.diff(np.append(first, len(place)))
         at = place[first]
-        return np.stack((h[at].view(np.int64), at, first, n), axis=1)
+        sid = _mixed(_mixed((sums[first + n + self.length - 1] - sums[first]) * self._inverse[first])
+                     + n.astype(np.uint64))
+        return np.stack((h[at].view(np.int64), sid.view(np.int64), first, n, at - first), axis=1)
 
 
 # --- judging the segments of one key ----------------------------------------------------
@@ -154,7 +162,7 @@ def runs_of(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
 
 
-_VERDICT = pa.schema([("key", pa.int64()), ("sid", pa.binary()), ("lo", pa.int32()), ("hi", pa.int32())])
+_VERDICT = pa.schema([("key", pa.int64()), ("sid", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())])
 
 
 def _judge(units: DataFrame, length: int) -> DataFrame:
@@ -182,18 +190,20 @@ def _judge(units: DataFrame, length: int) -> DataFrame:
         yield from _filled(verdicts(batches), _VERDICT)
 
     return (units.select("key", "sid", "seg", "times").repartition("key").sortWithinPartitions("key", "sid")
-            .mapInArrow(run, "key bigint, sid binary, lo int, hi int"))
+            .mapInArrow(run, "key bigint, sid bigint, lo int, hi int"))
 
 
-def _digest(segment: bytes) -> bytes:
-    return hashlib.blake2b(segment, digest_size=16).digest()
+def _code(data: bytes) -> int:
+    """A digest as a signed 64-bit integer."""
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
 
 
-_PART = pa.schema([("key", pa.int64()), ("sid", pa.binary()), ("seg", pa.binary()), ("times", pa.int64()),
-                   ("ahead", pa.int32()), ("parent_key", pa.int64()), ("parent_sid", pa.binary()), ("shift", pa.int32())])
+_UNIT = pa.schema([("key", pa.int64()), ("sid", pa.int64()), ("seg", pa.binary()), ("times", pa.int64()),
+                   ("ahead", pa.int32())])
+_PART = pa.schema([*_UNIT, ("parent_key", pa.int64()), ("parent_sid", pa.int64()), ("shift", pa.int32())])
 
 
-def split_unit(seg: bytes, ahead: int, windows: int, length: int) -> Iterator[tuple[bytes, bytes, int]]:
+def split_unit(seg: bytes, ahead: int, windows: int, length: int) -> Iterator[tuple[int, bytes, int]]:
     """``key, bytes, place`` of the shorter units of a unit whose anchor is ``ahead`` of its first window.
 
     Windows whose distance to the anchor has the same quotient by ``windows``
@@ -205,10 +215,13 @@ def split_unit(seg: bytes, ahead: int, windows: int, length: int) -> Iterator[tu
         slot = (ahead - at) // windows
         last = ahead - slot * windows
         end = min(n, last + 1)
-        yield _digest(b"%d " % slot + seg[last:last - windows + 1 + length]), seg[at:end + length - 1], at
+        yield _code(b"%d " % slot + seg[last:last - windows + 1 + length]), seg[at:end + length - 1], at
         at = end
 
 
+UNIT = "key bigint, sid bigint, seg binary, times bigint, ahead int"
+
+
 def _split(units: DataFrame, windows: int, length: int) -> DataFrame:
     """Units of at most ``windows`` windows in place of larger ones: ``key, sid`` are the
     shorter unit's, ``parent_*`` the larger one's, ``shift`` its place there."""
@@ -217,14 +230,13 @@ def _split(units: DataFrame, windows: int, length: int) -> DataFrame:
             for key, sid, seg, times, ahead in zip(*(batch.column(c).to_pylist()
                                                      for c in ("key", "sid", "seg", "times", "ahead"))):
                 for code, part, at in split_unit(seg, ahead, windows, length):
-                    yield (int.from_bytes(code[:8], "little", signed=True), _digest(part), part, times, ahead - at,
-                           key, sid, at), len(part)
+                    yield (code, _code(part), part, times, ahead - at, key, sid, at), len(part)
 
     def run(batches):
         yield from _filled(parts(batches), _PART)
 
     return units.select("key", "sid", "seg", "times", "ahead").mapInArrow(
-        run, "key bigint, sid binary, seg binary, times bigint, ahead int, parent_key bigint, parent_sid binary, shift int")
+        run, UNIT + ", parent_key bigint, parent_sid bigint, shift int")
 
 
 def _different(units: DataFrame) -> DataFrame:
@@ -238,7 +250,7 @@ def repeated_runs(units: DataFrame, length: int, crowded: int, runs: tuple[int,
     many = stored(units.groupBy("key").count().where(F.col("count") > crowded).select("key"), "crowded")
     if not runs or many.isEmpty():
         return _judge(units, length)
-    parts = stored(_split(units.join(many, "key", "left_semi"), runs[0], length), "split")
+    parts = stored(_split(units.join(many, "key", "left_semi"), runs[0], length), "split", _ROWS)
     found = repeated_runs(stored(_different(parts), "units"), length, crowded, runs[1:])
     back = (parts.select("key", "sid", "parent_key", "parent_sid", "shift").join(found, ["key", "sid"])
             .select(F.col("parent_key").alias("key"), F.col("parent_sid").alias("sid"),
@@ -252,7 +264,8 @@ def _id_type(docs: DataFrame) -> str:
     return docs.schema["doc_id"].dataType.simpleString()
 
 
-_ANCHOR = pa.struct([("key", pa.int64()), ("place", pa.int32()), ("first", pa.int32()), ("n", pa.int32())])
+_ANCHOR = pa.struct([("key", pa.int64()), ("sid", pa.int64()), ("first", pa.int32()), ("n", pa.int32()),
+                     ("ahead", pa.int32())])
 
 
 def _anchored(docs: DataFrame, length: int, gram: int) -> DataFrame:
@@ -272,7 +285,7 @@ def _anchored(docs: DataFrame, length: int, gram: int) -> DataFrame:
             texts = part.column("text").to_pylist()
             found = [anchors.of(t) for t in texts]
             offsets = pa.array(np.cumsum([0] + [len(f) for f in found]).astype(np.int32))
-            flat = np.concatenate([np.empty((0, 4), dtype=np.int64), *found])
+            flat = np.concatenate([np.empty((0, 5), dtype=np.int64), *found])
             rows = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(flat[:, c]).astype(f.type.to_pandas_dtype()))
                                                for c, f in enumerate(_ANCHOR)], fields=list(_ANCHOR))
             yield pa.RecordBatch.from_arrays(
@@ -284,38 +297,22 @@ def _anchored(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_of().cast("binary").alias("text"))
     return rows.mapInArrow(run, f"row bigint, doc_id {_id_type(docs)}, text binary, n_bytes bigint, sha256 string, "
-                                "anchors array<struct<key: bigint, place: int, first: int, n: int>>")
-
+                                "anchors array<struct<key: bigint, sid: bigint, first: int, n: int, ahead: int>>")
 
-_SEGMENT = pa.schema([("row", pa.int64()), ("first", pa.int32()), ("key", pa.int64()), ("sid", pa.binary()),
-                      ("ahead", pa.int32()), ("seg", pa.binary()), ("times", pa.int64())])
 
-
-def _segments(texts: DataFrame, length: int) -> DataFrame:
-    """``row, first, key, sid, ahead, seg, times`` of every anchor listed in ``hits``; a task hands
-    over the bytes of a segment when it first meets it, and again when it may have forgotten."""
+def _units(texts: DataFrame, length: int) -> DataFrame:
+    """The bytes of the segments listed in ``wanted``."""
     def parts(batches):
-        known: set[bytes] = set()
         for batch in batches:
-            anchors = batch.column("anchors")
-            key, place, first, n = (anchors.values.field(c).to_numpy(zero_copy_only=False) for c in range(4))
-            starts = anchors.offsets.to_numpy()
-            for i, (row, text, hits) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("row", "text", "hits")))):
-                at = starts[i] + np.array(hits)
-                for k, p, f, m in zip(key[at].tolist(), place[at].tolist(), first[at].tolist(), n[at].tolist()):
-                    seg = text[f:f + m + length - 1]
-                    sid = _digest(seg)
-                    new = sid not in known
-                    if len(known) > _REMEMBERED:
-                        known.clear()
-                    known.add(sid)
-                    yield (row, f, k, sid, p - f, seg if new else None, 1), len(seg) if new else 50
+            for text, wanted in zip(*(batch.column(c).to_pylist() for c in ("text", "wanted"))):
+                for w in wanted:
+                    seg = text[w["first"]:w["first"] + w["n"] + length - 1]
+                    yield (w["key"], w["sid"], seg, w["times"], w["ahead"]), len(seg)
 
     def run(batches):
-        yield from _filled(parts(batches), _SEGMENT)
+        yield from _filled(parts(batches), _UNIT)
 
-    return texts.select("row", "text", "anchors", "hits").mapInArrow(
-        run, "row bigint, first int, key bigint, sid binary, ahead int, seg binary, times bigint")
+    return texts.select("text", "wanted").mapInArrow(run, UNIT)
 
 
 def covered(windows: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
@@ -355,18 +352,31 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int | None = Non
                    runs: tuple[int, ...] = RUNS) -> tuple[DataFrame, DataFrame]:
     """All texts (``row, doc_id, text, n_bytes, sha256``), and ``row, spans, kept`` of those that lose bytes."""
     gram = gram or min(GRAM, max(length // 3, 1))
-    texts = stored(_anchored(docs, length, gram), "anchored")
-    keys = texts.select(F.explode("anchors.key").alias("key")).groupBy("key").count().where("count > 1").select("key")
-    hits = (texts.select("row", F.posexplode("anchors.key").alias("pos", "key")).join(keys, "key")
-            .groupBy("row").agg(F.collect_list("pos").alias("hits")))
-    # Only texts with a key found twice go on, with their anchors.
-    some = stored(texts.select("row", "text", "anchors").join(hits, "row"), "hit-texts")
-    segments = stored(_segments(some, length), "segments")
-    found = repeated_runs(stored(_different(segments), "units"), length, crowded, runs)
-    windows = (segments.select("row", "first", "key", "sid").join(found, ["key", "sid"])
-               .groupBy("row").agg(F.collect_list(F.struct((F.col("first") + F.col("lo")).alias("lo"),
-                                                           (F.col("first") + F.col("hi")).alias("hi"))).alias("windows")))
-    return texts.drop("anchors"), _removed(some.select("row", "text").join(windows, "row"), length)
+    spark = docs.sparkSession
+
+    def kept(df, name, rows=None):
+        out = stored(df, name, rows, "zstd")
+        release(spark)
+        return out
+
+    texts = kept(_anchored(docs, length, gram), "anchored", _ROWS)
+    anchors = texts.select("row", F.inline("anchors"))
+    # Keys found twice, and whether all their segments are one.
+    keys = kept(anchors.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("sid").alias("a"), F.max("sid").alias("b"))
+                .where("c > 1").select("key", (F.col("a") != F.col("b")).alias("mixed")), "keys")
+    found = kept(anchors.join(keys, "key"), "found")
+    mixed, alike = found.where("mixed"), found.where(~F.col("mixed"))
+    # One occurrence of every different segment hands over its bytes.
+    wanted = (mixed.groupBy("key", "sid").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("row", "first", "n", "ahead")).alias("at"))
+              .groupBy("at.row").agg(F.collect_list(F.struct("at.first", "at.n", "at.ahead", "key", "sid", "times")).alias("wanted")))
+    units = kept(_units(texts.select("row", "text").join(wanted, "row"), length), "units", _ROWS)
+    judged = kept(repeated_runs(units, length, crowded, runs), "judged")
+    windows = (mixed.join(judged, ["key", "sid"])
+               .select("row", (F.col("first") + F.col("lo")).alias("lo"), (F.col("first") + F.col("hi")).alias("hi"))
+               .unionByName(alike.select("row", F.col("first").alias("lo"), (F.col("first") + F.col("n")).alias("hi")))
+               .groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("windows")))
+    removed = kept(_removed(texts.select("row", "text").join(windows, "row"), length), "kept", _ROWS)
+    return texts.drop("anchors"), removed
 
 
 def repeat_digests(docs: DataFrame, **options) -> DataFrame:

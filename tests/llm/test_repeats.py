@@ -79,7 +79,7 @@ def test_long_texts_are_looked_at_in_chunks():
     rng = random.Random(6)
     text = bytes(rng.choice(b"abcd ") for _ in range(5000))
     whole, parts = repeats.Anchors(50, 16), repeats.Anchors(50, 16, chunk=700)
-    windows = [{f + i: (k, p) for k, p, f, n in a.of(text).tolist() for i in range(n)} for a in (whole, parts)]
+    windows = [{f + i: (k, f + p) for k, _, f, n, p in a.of(text).tolist() for i in range(n)} for a in (whole, parts)]
     assert windows[0] == windows[1] and sorted(windows[0]) == list(range(len(text) - 49))
 
 
@@ -90,21 +90,30 @@ def test_anchors_depend_on_the_window_alone():
     found = []
     for before in (b"", b"xyz" * 30):
         text = before + same + b"tail" * 20
-        found.append({f + i - len(before): (k, p - len(before)) for k, p, f, n in anchors.of(text).tolist()
+        found.append({f + i - len(before): (k, f + p - len(before)) for k, _, f, n, p in anchors.of(text).tolist()
                       for i in range(n) if 0 <= f + i - len(before) <= 360})
     assert found[0] == found[1]
 
 
+def test_segment_hashes_tell_segments_apart():
+    rng = random.Random(10)
+    text = bytes(rng.choice(b"ab") for _ in range(30_000)) + b"a" * 3000 + b"ab" * 2000
+    anchors, seen = repeats.Anchors(40, 8, chunk=5000), {}
+    for _, sid, first, n, _ in anchors.of(text).tolist():
+        assert seen.setdefault(sid, text[first:first + n + 39]) == text[first:first + n + 39]
+    assert len(seen) == len(set(seen.values())) > 100
+
+
 @pytest.mark.parametrize("windows", [1, 3, 8])
 def test_split_units_hold_every_window_once_with_keys_of_its_own_bytes(windows):
     rng = random.Random(8)
     text = bytes(rng.choice(b"abcdefg") for _ in range(600))
     keys = {}
     for cut in (0, 37):        # the same bytes from another start: other runs, same keys
-        for key, place, first, n in repeats.Anchors(60, 20).of(text[cut:]).tolist():
+        for key, _, first, n, ahead in repeats.Anchors(60, 20).of(text[cut:]).tolist():
             seg = text[cut + first:cut + first + n + 59]
             seen = []
-            for code, part, at in repeats.split_unit(seg, place - first, windows, 60):
+            for code, part, at in repeats.split_unit(seg, ahead, windows, 60):
                 count = len(part) - 59
                 assert 1 <= count <= windows and seg[at:at + len(part)] == part
                 seen += range(at, at + count)
