@@ -20,18 +20,16 @@ Scale: the exception list may be large. For the date policies it is reduced to
 one row per (client, TIN, common SKU) holding that key's *merged* intervals,
 clipped to the report's date range; merged intervals are disjoint, so a key
 holds at most (days in range)/2 + 1 of them whatever the input size, and one
-equi left join (no fan-out) flags each sale.
+equi left join (no fan-out) flags each sale. The third policy reads the same
+merged intervals: each meets the sorted start dates of its (client, common SKU)
+once, so no exception is paired with every promotion of its key.
 """
 
 from __future__ import annotations
 
-from datetime import date
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from packlift.operators.pairs import PAIR_KEYS
-
 EXC_KEYS = ["id_client", "tin_buyer", "id_common_sku"]
 NULL_TIN_SPREAD = 256    # keys over which rows without a TIN are spread per (client, common SKU)
 
@@ -46,31 +44,41 @@ def exceptions_common_sku(exc: DataFrame, sku_side: DataFrame) -> DataFrame:
         "id_client", "id_sku", "tin_buyer", "start_date", "end_date", "id_common_sku")
 
 
-def merged_intervals(exc_cs: DataFrame, lo: date | None = None, hi: date | None = None) -> DataFrame:
-    """One row per (client, TIN, common SKU) with ``intervals``: the union of
-    its exception intervals (clipped to ``[lo, hi]`` when given), as disjoint
-    ``struct(s, e)`` (possibly empty when none is a valid range).
+def _islands(exc_cs: DataFrame, lo: Column | None, hi: Column | None, keep_null_tin: bool) -> DataFrame:
+    """``EXC_KEYS, s, e``: per key the disjoint union of its exception intervals
+    (clipped to ``[lo, hi]`` when given); one row with NULL ends for a key none
+    of whose intervals is a valid range.
 
-    Merged intervals are disjoint and at least a day apart, so a key holds at
-    most (days spanned)/2 + 1 of them, a bound set by the calendar, not by the
-    size of the list. Duplicate intervals are dropped first (an aggregate with
-    map-side combine, so a hot key costs no more than its distinct intervals);
-    the union is then found by a running max of ``e`` in ``s`` order per key.
+    Duplicate intervals are dropped first (an aggregate with map-side combine,
+    so a hot key costs no more than its distinct intervals); the union is then
+    found by a running max of ``e`` in ``s`` order per key.
     """
-    valid_s = F.col("start_date") if lo is None else F.greatest(F.col("start_date"), F.lit(lo))
-    valid_e = F.col("end_date") if hi is None else F.least(F.col("end_date"), F.lit(hi))
-    iv = (exc_cs.where(F.col("tin_buyer").isNotNull())
-          .select(*EXC_KEYS, valid_s.alias("s"), valid_e.alias("e"))
-          .distinct())
+    valid_s = F.col("start_date") if lo is None else F.greatest(F.col("start_date"), lo)
+    valid_e = F.col("end_date") if hi is None else F.least(F.col("end_date"), hi)
+    if not keep_null_tin:
+        exc_cs = exc_cs.where(F.col("tin_buyer").isNotNull())
+    iv = exc_cs.select(*EXC_KEYS, valid_s.alias("s"), valid_e.alias("e")).distinct()
     ok = F.col("s") <= F.col("e")
     w = Window.partitionBy(*EXC_KEYS).orderBy("s", "e")
     prev_end = F.max(F.when(ok, F.col("e"))).over(w.rowsBetween(Window.unboundedPreceding, -1))
     starts = ok & (prev_end.isNull() | (F.col("s") > F.date_add(prev_end, 1)))
-    islands = (iv.withColumn("island", F.sum(starts.cast("int")).over(
+    return (iv.withColumn("island", F.sum(F.coalesce(starts, F.lit(False)).cast("int")).over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         .groupBy(*EXC_KEYS, "island")
-        .agg(F.min(F.when(ok, F.col("s"))).alias("s"), F.max(F.when(ok, F.col("e"))).alias("e")))
-    return islands.groupBy(*EXC_KEYS).agg(
+        .agg(F.min(F.when(ok, F.col("s"))).alias("s"), F.max(F.when(ok, F.col("e"))).alias("e"))
+        .drop("island"))
+
+
+def merged_intervals(exc_cs: DataFrame, lo: Column | None = None, hi: Column | None = None) -> DataFrame:
+    """One row per (client, TIN, common SKU) with ``intervals``: the union of
+    its exception intervals (clipped to ``[lo, hi]`` when given), as disjoint
+    ``struct(s, e)`` (possibly empty when none is a valid range).
+
+    Merged intervals are disjoint and at least a day apart, so a key holds at
+    most (days spanned)/2 + 1 of them, a bound set by the calendar, not by the
+    size of the list.
+    """
+    return _islands(exc_cs, lo, hi, False).groupBy(*EXC_KEYS).agg(
         F.collect_list(F.when(F.col("s").isNotNull(), F.struct("s", "e"))).alias("intervals"))
 
 
@@ -106,25 +114,42 @@ def excluded(policy: str) -> F.Column:
     return F.expr(excluded_sql(policy))
 
 
+START_KEYS = ["id_client", "id_common_sku", "start_date"]
+
+
+def stabbed_starts(exc_cs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``START_KEYS, tin_buyer``: for each promo start date of a (client, common
+    SKU), the TINs (NULL too) that have an exception on that day, each once.
+
+    A merge of two sorted sides in place of a join of intervals with
+    promotions. The starts of a (client, common SKU) are one sorted array of
+    distinct days; every merged interval meets that row once and takes the
+    slice of days inside it. Merged intervals of a TIN are disjoint, so a
+    (TIN, start) comes out once: rows grow with merged intervals and with the
+    result, whatever the numbers of promotions or of raw exceptions of a key.
+    """
+    starts = (pairs.select(*START_KEYS).distinct().groupBy("id_client", "id_common_sku")
+              .agg(F.sort_array(F.collect_list("start_date")).alias("starts")))
+    inside = F.filter("starts", lambda d: d.between(F.col("s"), F.col("e")))
+    return (_islands(exc_cs, None, None, True).where(F.col("s").isNotNull())
+            .join(starts, ["id_client", "id_common_sku"])
+            .select("id_client", "id_common_sku", "tin_buyer", F.explode(inside).alias("start_date")))
+
+
 def legacy_lists(exc_cs: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The ``promo_start`` policy's per-pair exclusion list, in two parts.
+    """The ``promo_start`` policy's exclusion lists, in two parts.
 
-    ``pair_flags``: per pair, ``n_listed`` (rows in its list) and
-    ``null_listed`` (the list holds a NULL TIN); ``listed``: distinct
-    (pair, TIN) with a non-NULL TIN on the list. The list of a pair holds the
-    TINs of exceptions of its client and common SKU whose interval covers the
-    promo start. ``pairs`` is the distinct pair table.
+    A pair's list depends on its client, common SKU and start only, so it is
+    made once per (client, common SKU, start): ``flags`` holds ``n_listed``
+    (TINs on the list) and ``null_listed`` (a NULL TIN among them); ``listed``
+    the non-NULL TINs.
     """
-    hit = (exc_cs.select("id_client", "id_common_sku", "tin_buyer",
-                         F.col("start_date").alias("exc_start"), F.col("end_date").alias("exc_end"))
-           .join(pairs.select(*PAIR_KEYS), ["id_client", "id_common_sku"])
-           .where(F.col("start_date").between(F.col("exc_start"), F.col("exc_end"))))
-    pair_flags = hit.groupBy(*PAIR_KEYS).agg(
+    stabbed = stabbed_starts(exc_cs, pairs)
+    flags = stabbed.groupBy(*START_KEYS).agg(
         F.count(F.lit(1)).alias("n_listed"),
         F.max(F.col("tin_buyer").isNull()).alias("null_listed"))
-    listed = (hit.where(F.col("tin_buyer").isNotNull()).select(*PAIR_KEYS, "tin_buyer").distinct()
-              .withColumn("is_listed", F.lit(True)))
-    return pair_flags, listed
+    listed = stabbed.where(F.col("tin_buyer").isNotNull()).withColumn("is_listed", F.lit(True))
+    return flags, listed
 
 
 def legacy_keep(n_listed="n_listed", null_listed="null_listed", is_listed="is_listed") -> F.Column:

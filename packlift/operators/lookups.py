@@ -35,9 +35,10 @@ def bonus_prices(t: PromoTables) -> DataFrame:
             .select("id_client", "id_common_sku", "sale_date", "bonus"))
 
 
-def name_tables(t: PromoTables, sku_side: DataFrame | None = None) -> list[DataFrame]:
-    """The report's four lookup tables: promotion types, client
-    names, common SKU names, and bonus prices keyed by start date.
+def add_names(df: DataFrame, t: PromoTables, sku_side: DataFrame | None = None) -> DataFrame:
+    """Add promotion type, client and common SKU names and the bonus at the
+    promo start to rows keyed by pair (left joins: a renamed client or a second
+    priced SKU gives a pair a second row).
 
     ``sku_side`` (the SKUs of the report's pairs) restricts the price list to
     prices that can match.
@@ -47,31 +48,7 @@ def name_tables(t: PromoTables, sku_side: DataFrame | None = None) -> list[DataF
     else:
         price = (live(t.price).join(sku_side, "id_sku")
                  .select("id_client", "id_common_sku", "sale_date", "bonus"))
-    return [t.promo_type, client_names(t), t.common_sku.select("id_common_sku", "common_sku_name"),
-            price.withColumnRenamed("sale_date", "start_date")]
-
-
-NAME_COLUMNS = ["promotion_type_name", "client_name", "common_sku_name", "bonus"]
-
-
-def pair_names(t: PromoTables, pairs: DataFrame, sku_side: DataFrame | None = None) -> DataFrame:
-    """The four lookups resolved once per pair: one small table keyed by the
-    pair columns (a renamed client or a second priced SKU gives the pair a
-    second row), so a report needs a single lookup join."""
-    from packlift.operators.pairs import PAIR_KEYS
-
-    types, clients, common, price = name_tables(t, sku_side)
-    return (pairs.select(*PAIR_KEYS).distinct()
-            .join(types, "id_promotion_type", "left")
-            .join(clients, "id_client", "left")
-            .join(common, "id_common_sku", "left")
-            .join(price, ["id_client", "id_common_sku", "start_date"], "left")
-            .select(*PAIR_KEYS, *NAME_COLUMNS))
-
-
-def add_pair_names(df: DataFrame, names: DataFrame) -> DataFrame:
-    """Left-join a ``pair_names`` table on the pair columns."""
-    from packlift.operators.pairs import PAIR_KEYS
-
-    return df.join(names, PAIR_KEYS, "left")
-
+    return (df.join(t.promo_type.select("id_promotion_type", "promotion_type_name"), "id_promotion_type", "left")
+            .join(client_names(t), "id_client", "left")
+            .join(t.common_sku.select("id_common_sku", "common_sku_name"), "id_common_sku", "left")
+            .join(price.withColumnRenamed("sale_date", "start_date"), ["id_client", "id_common_sku", "start_date"], "left"))

@@ -4,20 +4,20 @@ and the scope they give a report: which clients, dates and SKUs can match."""
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packlift.functions import expr as X
 from packlift.rules import PromoRules
+from packlift.session import shared_table
 from packlift.sources.tables import PromoTables, live
 
 PAIR_KEYS = ["id_promotion", "id_promotion_type", "id_common_sku", "id_client", "start_date", "end_date"]
 
-# Above this many distinct promo clients the fact scan gets their range instead
-# of a literal IN list (the window join restricts clients either way).
-MAX_PUSHED_CLIENTS = 1000
+# Sales and windows meet in buckets of 2^4 = 16 days. A window unfolds to (its days) / 16 + 2 buckets at most; a
+# sale meets the windows that touch its bucket, of which those that do not hold its day are the join's residual.
+BUCKET_BITS = 4
 
 
 def promo_pairs(t: PromoTables, rules: PromoRules | None = None) -> DataFrame:
@@ -32,85 +32,85 @@ def promo_pairs(t: PromoTables, rules: PromoRules | None = None) -> DataFrame:
     return lnk.join(promo, "id_promotion").select(*PAIR_KEYS)
 
 
-@dataclass(frozen=True)
-class PairBounds:
-    """What the fact scan may be restricted to, from the pair table."""
-
-    lo: date
-    hi: date
-    clients: tuple[int, ...] | None
-    client_range: tuple[int, int]
-
-
 def window_start(windows: str) -> F.Column:
     return X.control_start() if windows == "both" else F.col("start_date")
 
 
-def _ok() -> F.Column:
-    return F.col("end_date") >= F.col("start_date")
-
-
-def pair_bounds(pairs: DataFrame, windows: str = "both") -> PairBounds | None:
-    """Earliest window start, latest end and clients of the pairs, in one small
-    job; ``None`` when no pair has a non-empty window (then no sale can match).
-
-    A distributed aggregate per client, cut at ``MAX_PUSHED_CLIENTS + 1`` rows,
-    beside the totals: neither a task nor the driver holds more than that.
-    """
-    per_client = pairs.where(_ok()).groupBy("id_client").agg(
-        F.min(window_start(windows)).alias("lo"), F.max("end_date").alias("hi"))
-    total = per_client.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"),
-                           F.min("id_client").alias("first"), F.max("id_client").alias("last"))
-    rows = (total.withColumn("client", F.lit(None).cast("int"))
-            .unionByName(per_client.select(
-                F.lit(None).cast("date").alias("lo"), F.lit(None).cast("date").alias("hi"),
-                F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"),
-                F.col("id_client").cast("int").alias("client")).limit(MAX_PUSHED_CLIENTS + 1))).collect()
-    all_ = next(r for r in rows if r["client"] is None)
-    if all_["lo"] is None:
-        return None
-    clients = sorted(r["client"] for r in rows if r["client"] is not None)
-    return PairBounds(all_["lo"], all_["hi"], tuple(clients) if len(clients) <= MAX_PUSHED_CLIENTS else None,
-                      (all_["first"], all_["last"]))
+def day_bucket(day) -> F.Column:
+    return F.shiftright(F.unix_date(X.col(day)), BUCKET_BITS)
 
 
 @dataclass
 class PromoScope:
-    """The pairs of one report and what they allow the fact scan to skip.
+    """The pairs of one report and what they allow its other inputs to skip.
 
-    pairs    the pair table
-    bounds   date range and clients of the pairs' windows (``None``: no window)
-    sku      (id_sku, id_common_sku) of the pairs' common SKUs only
+    pairs    the pair table (duplicate links kept)
+    sku      (id_sku, id_common_sku, sku_live) of the pairs' common SKUs
     windows  "both" (promo and control) or "promo"
+    distinct whether a sale counts once per distinct pair (the legacy report) or once per link
     exc_keys the exception list as one row per (client, TIN, common SKU) with
              merged intervals inside the bounds, restricted to the pairs'
              clients and common SKUs
 
-    Everything is lazy and nothing is kept between reports, so each report sees
-    its tables as they are when it runs; how the sides are joined is left to
-    Spark, which broadcasts by measured size and splits skewed shuffles.
+    ``pairs`` and ``sku`` are stored once when the scope is built, so promotions,
+    links and SKUs are scanned once however often a report needs them. All else
+    is lazy: nothing is collected, counted or kept between reports; how the
+    sides are joined is left to Spark, which broadcasts by measured size and
+    splits skewed shuffles.
     """
 
     pairs: DataFrame
-    bounds: PairBounds | None
     sku: DataFrame
     windows: str
+    distinct: bool = False
     exc_keys: DataFrame | None = None
 
-
-def promo_scope(t: PromoTables, rules: PromoRules, windows: str = "both", pairs: DataFrame | None = None,
-                exceptions: bool = False) -> PromoScope:
-    """Build the scope; one small job finds the pairs' bounds."""
+    def valid(self) -> DataFrame:
+        """Pairs whose window is not empty, each once if the scope is distinct, with ``window_start``."""
+        pairs = self.pairs.distinct() if self.distinct else self.pairs
+        return (pairs.where(F.col("end_date") >= F.col("start_date"))
+                .withColumn("window_start", window_start(self.windows)))
+
+    def bound(self, which: str) -> F.Column:
+        """The earliest window start ("lo") or latest end ("hi") as a scalar
+        subquery: found when the report runs, before the scans it filters.
+        NULL, so that no row passes, when no pair has a window.
+
+        The two are written differently on purpose: Spark merges alike
+        subqueries into one struct, whose fields do not reach the Parquet reader.
+        """
+        valid = self.pairs.where(F.col("end_date") >= F.col("start_date"))
+        if which == "lo":
+            return valid.agg(F.min(window_start(self.windows))).scalar()
+        return valid.select("end_date").orderBy(F.col("end_date").desc()).limit(1).scalar()
+
+    def unfolded(self) -> DataFrame:
+        """``valid`` pairs, once per (year, day bucket) that their window touches."""
+        width = 1 << BUCKET_BITS
+        first_day = F.greatest("window_start", F.date_from_unix_date((F.col("bucket") * width).cast("int")))
+        last_day = F.least("end_date", F.date_from_unix_date((F.col("bucket") * width + (width - 1)).cast("int")))
+        return (self.valid()
+                .select("*", F.explode(F.sequence(day_bucket("window_start"), day_bucket("end_date"))).alias("bucket"))
+                .select("*", F.explode(F.sequence(F.year(first_day), F.year(last_day))).alias("op_year")))
+
+    def restrict(self, df: DataFrame, *keys: str) -> DataFrame:
+        """Rows of ``df`` whose ``keys`` occur in the pairs."""
+        return df.join(self.pairs.select(*keys), list(keys), "left_semi")
+
+
+def promo_scope(t: PromoTables, rules: PromoRules, windows: str = "both", exceptions: bool = False,
+                distinct: bool = False) -> PromoScope:
+    """Store the report's pairs and their SKUs, and build the scope on them."""
     from packlift.operators.exceptions import exceptions_common_sku, merged_intervals
 
-    pairs = pairs if pairs is not None else promo_pairs(t, rules)
-    bounds = pair_bounds(pairs, windows)
-    sku_side = (t.sku.select("id_sku", "id_common_sku")
-                .join(pairs.select("id_common_sku").distinct(), "id_common_sku", "left_semi"))
-    keys = None
-    if exceptions and bounds is not None:
-        exc = t.exc.where(F.col("id_client").between(*bounds.client_range))
-        if bounds.clients is not None:
-            exc = exc.where(F.col("id_client").isin(list(bounds.clients)))
-        keys = merged_intervals(exceptions_common_sku(exc, sku_side), bounds.lo, bounds.hi)
-    return PromoScope(pairs, bounds, sku_side, windows, keys)
+    pairs = promo_pairs(t, rules)
+    if rules.clients is not None:      # no other client's sale is read
+        pairs = pairs.where(F.col("id_client").isin(list(rules.clients)))
+    pairs = shared_table(pairs, "pairs")
+    sku = shared_table(t.sku.select("id_sku", "id_common_sku", F.col("delete_date").isNull().alias("sku_live"))
+                       .join(pairs.select("id_common_sku"), "id_common_sku", "left_semi"), "sku")
+    scope = PromoScope(pairs, sku, windows, distinct)
+    if exceptions:
+        exc = scope.restrict(exceptions_common_sku(t.exc, sku), "id_client", "id_common_sku")
+        scope.exc_keys = merged_intervals(exc, scope.bound("lo"), scope.bound("hi"))
+    return scope

@@ -6,12 +6,15 @@ two windows touch, so one range ``[control_start, end]`` covers both and a
 single pass over the fact serves every measure; ``in_promo`` tells the windows
 apart afterwards.
 
-Plan shape (checked in tests): the fact is scanned once, with the live, client,
-operation-type and ``[lo, hi]`` date filters pushed to Parquet (partition
-filters on the year layout); it meets the SKU dimension and the pair table in
-two equi joins, broadcast or shuffled as their measured sizes allow; the pair join
-carries the window test as a residual condition on the equi keys (common SKU,
-client), never a range-only (nested-loop) join.
+Plan shape (checked in tests): the fact is scanned once, with the live, client
+and operation-type filters pushed to Parquet and the date range of the windows
+as scalar subqueries, so that the range is found when the report runs and then
+reaches Parquet too. The join with the pairs is an equi join on (common SKU,
+client, year, bucket of days): pairs are unfolded to the few buckets their
+window touches, so a sale meets the windows near its day and not all
+promotions its key ever had; the exact window is the residual. The year is the
+layout's partition column, so dynamic partition pruning skips years without a
+window.
 """
 
 from __future__ import annotations
@@ -20,9 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packlift.functions import expr as X
-from packlift.operators.pairs import PAIR_KEYS, PromoScope, window_start
+from packlift.operators.pairs import PAIR_KEYS, PromoScope, day_bucket
 from packlift.rules import PromoRules
-from packlift.sources.tables import PromoTables, live, sale_in_range
+from packlift.sources.tables import PromoTables, live
 
 SALE_COLS = ["id_sku", "id_client", "tin_buyer", "operation_date", "quantity", "id_operation_type"]
 TAGGED_COLS = PAIR_KEYS + ["id_sku", "tin_buyer", "operation_date", "quantity", "id_operation_type",
@@ -55,18 +58,12 @@ def tag_sales(t: PromoTables, scope: PromoScope, rules: PromoRules, *, sale_only
     per pair, as the reports count it in each promotion. Columns:
     ``TAGGED_COLS``.
     """
-    bounds = scope.bounds
     sales = live_sales(t, rules, sale_only)
-    if bounds is None:
-        sales = sales.where(F.lit(False))
-    else:
-        sales = sale_in_range(sales, bounds.lo, bounds.hi)
-        sales = sales.where(F.col("id_client").between(*bounds.client_range))
-        if bounds.clients is not None:
-            sales = sales.where(F.col("id_client").isin(list(bounds.clients)))
-    sales = with_common_sku(sales.select(*SALE_COLS), scope.sku)
-    p = scope.pairs.withColumn("window_start", window_start(scope.windows))
-    hit = (sales.join(p, ["id_common_sku", "id_client"])
+    sales = sales.where(F.col("operation_date").between(scope.bound("lo"), scope.bound("hi")))
+    year = F.col("op_year") if "op_year" in sales.columns else F.year("operation_date").alias("op_year")
+    sales = with_common_sku(sales.select(*SALE_COLS, year, day_bucket("operation_date").alias("bucket")),
+                            scope.sku.drop("sku_live"))
+    hit = (sales.join(scope.unfolded(), ["id_common_sku", "id_client", "op_year", "bucket"])
            .where((F.col("operation_date") >= F.col("window_start"))
                   & (F.col("operation_date") <= F.col("end_date"))))
     return hit.select(

@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packlift.operators import measures as M
-from packlift.operators.exceptions import exceptions_common_sku, legacy_keep, legacy_lists
-from packlift.operators.lookups import add_pair_names, pair_names
+from packlift.operators.exceptions import START_KEYS, exceptions_common_sku, legacy_keep, legacy_lists
+from packlift.operators.lookups import add_names
 from packlift.operators.pairs import PAIR_KEYS, PromoScope, promo_pairs, promo_scope
 from packlift.operators.windows import tag_sales
 from packlift.plans.report import report_columns
@@ -44,19 +44,15 @@ def legacy_buyers(t: PromoTables, rules: PromoRules = LEGACY_RULES, scope: Promo
     exclusion list."""
     scope = scope or legacy_scope(t, rules)
     s1 = M.legacy_stage1(tag_sales(t, scope, rules, sale_only=True), rules)
-    exc = t.exc
-    if scope.bounds is not None:
-        exc = exc.where(F.col("id_client").between(*scope.bounds.client_range))
-        if scope.bounds.clients is not None:
-            exc = exc.where(F.col("id_client").isin(list(scope.bounds.clients)))
-    pair_flags, listed = legacy_lists(exceptions_common_sku(exc, scope.sku), scope.pairs)
-    s1 = (s1.join(pair_flags, PAIR_KEYS, "left")
-          .join(listed, PAIR_KEYS + ["tin_buyer"], "left"))
+    exc = scope.restrict(exceptions_common_sku(t.exc, scope.sku), "id_client", "id_common_sku")
+    flags, listed = legacy_lists(exc, scope.pairs)
+    s1 = (s1.join(flags, START_KEYS, "left")
+          .join(listed, [*START_KEYS, "tin_buyer"], "left"))
     return s1.select("*", legacy_keep().alias("keep")).drop("n_listed", "null_listed", "is_listed")
 
 
 def legacy_scope(t: PromoTables, rules: PromoRules = LEGACY_RULES) -> PromoScope:
-    return promo_scope(t, rules, "both", pairs=legacy_pairs(t, rules).distinct())
+    return promo_scope(t, rules, "both", distinct=True)
 
 
 def legacy_participants(t: PromoTables, rules: PromoRules = LEGACY_RULES) -> DataFrame:
@@ -70,8 +66,9 @@ def legacy_pair_measures(t: PromoTables, rules: PromoRules = LEGACY_RULES,
                          scope: PromoScope | None = None) -> DataFrame:
     """Every pair row (duplicates kept) with the seven measures; a pair without
     matching sales has NULL sums and zero counts."""
+    scope = scope or legacy_scope(t, rules)
     per_pair = M.legacy_stage2(legacy_buyers(t, rules, scope))
-    out = legacy_pairs(t, rules).join(per_pair, PAIR_KEYS, "left")
+    out = scope.pairs.join(per_pair, PAIR_KEYS, "left")
     return out.select(*PAIR_KEYS, *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) if c in COUNT_MEASURES
                                      else F.col(c) for c in LEGACY_MEASURES])
 
@@ -79,4 +76,4 @@ def legacy_pair_measures(t: PromoTables, rules: PromoRules = LEGACY_RULES,
 def report_legacy(t: PromoTables, rules: PromoRules = LEGACY_RULES) -> DataFrame:
     """The legacy report's 21 columns."""
     scope = legacy_scope(t, rules)
-    return report_columns(add_pair_names(legacy_pair_measures(t, rules, scope), pair_names(t, scope.pairs, scope.sku)))
+    return report_columns(add_names(legacy_pair_measures(t, rules, scope), t, scope.sku))

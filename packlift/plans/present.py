@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packlift.functions import expr as X
-from packlift.operators.pairs import promo_pairs
-from packlift.plans.reconcile import entity_names, product_names, recon_by_tin, recon_grouped
+from packlift.plans.reconcile import add_product_names, entity_names, recon_by_tin, recon_grouped
 from packlift.rules import CONDITION_RULES, DEFAULT_ENTITY_NAME, PromoRules
 from packlift.sources.tables import PromoTables
 
@@ -46,18 +45,12 @@ def _z(c: str) -> F.Column:
     return F.coalesce(F.col(c), F.lit(0))
 
 
-def _names(t: PromoTables, df: DataFrame, pairs: DataFrame, as_of: date | None) -> DataFrame:
-    """Live common SKU name and the client's name valid on ``as_of``; a
-    deleted or missing row leaves the name NULL and keeps the row."""
-    return df.join(product_names(t, pairs, as_of), ["id_common_sku", "id_client"], "left")
-
-
 def hot_by_tin(t: PromoTables, as_of: date | None = None, rules: PromoRules = CONDITION_RULES,
                recon: DataFrame | None = None) -> DataFrame:
     """Reconciliation by TIN for reading: 19 labelled columns; names as of
     today unless a date is given."""
     recon = recon_by_tin(t, rules=rules) if recon is None else recon
-    df = _names(t, recon, promo_pairs(t, rules), as_of)
+    df = add_product_names(recon, t, as_of)
     df = df.join(entity_names(t), "tin_buyer", "left")
     return df.select(
         F.col("common_sku_name").alias(PRODUCT),
@@ -87,7 +80,7 @@ def hot_grouped(t: PromoTables, as_of: date | None = None, rules: PromoRules = C
     """Grouped reconciliation for reading: 17 labelled columns, with the
     declared bonus sum floored to whole packs and the unfloored correction."""
     recon = recon_grouped(t, rules=rules) if recon is None else recon
-    df = _names(t, recon, promo_pairs(t, rules), as_of)
+    df = add_product_names(recon, t, as_of)
     pm, pb, sm, sb = F.col("promo_multiple"), F.col("promo_bonus"), F.col("sales_multiple"), F.col("sales_bonus")
     return df.select(
         F.col("common_sku_name").alias(PRODUCT),

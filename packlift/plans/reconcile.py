@@ -49,12 +49,10 @@ def _price_side(t: PromoTables, sku_live: DataFrame) -> DataFrame:
             .select("id_common_sku", "bonus", F.col("sale_date").alias("start_date"), "id_client"))
 
 
-def product_names(t: PromoTables, pairs: DataFrame, as_of: date | None) -> DataFrame:
-    """The live common SKU name and the client name valid on ``as_of``,
-    resolved once per (common SKU, client) of the pairs; a missing or deleted
-    name stays NULL."""
-    return (pairs.select("id_common_sku", "id_client").distinct()
-            .join(live(t.common_sku).select("id_common_sku", "common_sku_name"), "id_common_sku", "left")
+def add_product_names(df: DataFrame, t: PromoTables, as_of: date | None) -> DataFrame:
+    """Add the live common SKU name and the client name valid on ``as_of``; a
+    missing or deleted name stays NULL and the row is kept."""
+    return (df.join(live(t.common_sku).select("id_common_sku", "common_sku_name"), "id_common_sku", "left")
             .join(client_as_of(t, as_of), "id_client", "left"))
 
 
@@ -67,7 +65,7 @@ def recon_scope(t: PromoTables, rules: PromoRules = CONDITION_RULES) -> ReconSco
     """Prices and declared results only ever meet sold rows of the pairs'
     common SKUs, so their SKU side is the pairs' live SKUs."""
     s = promo_scope(t, rules, "promo", exceptions=True)
-    sku_live = live(t.sku).select("id_sku").join(s.sku, "id_sku")
+    sku_live = s.sku.where("sku_live").drop("sku_live")
     return ReconScope(s, _price_side(t, sku_live), sku_live)
 
 
@@ -98,9 +96,22 @@ def condition_sales_bonus(t: PromoTables, rules: PromoRules = CONDITION_RULES,
 
 
 def _sold(t: PromoTables, rules: PromoRules, rs: ReconScope | None, keys: list[str], rows: DataFrame | None) -> DataFrame:
-    return (condition_sales_bonus(t, rules, rs, rows)
-            .groupBy(*keys, "bonus", "multiple")
-            .agg(F.sum("sales_quantity").alias("quantity"), F.sum("sum_bonus").alias("sum_bonus")))
+    """Sums per group, bonus and multiple, as if every sale met every price of its promo start.
+
+    Aggregated before the price join: the quantity and the whole packs are
+    summed per group and multiple, the prices are counted per bonus, and one
+    row of a group meets one row of a bonus. The sums are then multiplied, so a
+    second price repeats no sale.
+    """
+    rs = rs or recon_scope(t, rules)
+    rows = condition_sales(t, rules, rs.scope) if rows is None else rows
+    groups = (rows.groupBy(*keys, "multiple")
+              .agg(F.sum("sales_quantity").alias("quantity"),
+                   F.sum(X.floor_packs("sales_quantity", "multiple")).alias("packs")))
+    prices = rs.price.groupBy("start_date", "id_client", "id_common_sku", "bonus").agg(F.count(F.lit(1)).alias("prices"))
+    return (groups.join(prices, ["start_date", "id_client", "id_common_sku"])
+            .select(*keys, "bonus", "multiple", (F.col("quantity") * F.col("prices")).alias("quantity"),
+                    (F.col("bonus") * (F.col("packs") * F.col("prices"))).alias("sum_bonus")))
 
 
 def sold_by_tin(t: PromoTables, rules: PromoRules = CONDITION_RULES, rs: ReconScope | None = None,
@@ -115,16 +126,10 @@ def sold_grouped(t: PromoTables, rules: PromoRules = CONDITION_RULES, rs: ReconS
 
 def _declared(t: PromoTables, rs: ReconScope | None) -> DataFrame:
     """Declared results of live SKUs, keyed by common SKU; inside a
-    reconciliation only those its pairs' clients and dates can meet."""
+    reconciliation only those of its pairs' clients, common SKUs and dates."""
     if rs is None:
         return t.result.join(live(t.sku).select("id_sku", "id_common_sku"), "id_sku")
-    rows, b = t.result, rs.scope.bounds
-    if b is not None:
-        rows = rows.where((F.col("start_date") <= F.lit(b.hi)) & (F.col("start_date") >= F.lit(b.lo))
-                          & F.col("id_client").between(*b.client_range))
-        if b.clients is not None:
-            rows = rows.where(F.col("id_client").isin(list(b.clients)))
-    return rows.join(rs.sku_live, "id_sku")
+    return rs.scope.restrict(t.result.join(rs.sku_live, "id_sku"), *GROUP_KEYS)
 
 
 def results_by_tin(t: PromoTables, rs: ReconScope | None = None) -> DataFrame:

@@ -28,11 +28,11 @@ from packlift.plans import legacy as L
 from packlift.plans import present as P
 from packlift.plans import reconcile as C
 from packlift.plans import report as R
-from packlift.plans.views import VIEWS, create_views
+from packlift.plans.views import VIEWS, create_tables, create_views
 from packlift.rules import LEGACY_RULES, REPORT_RULES
 from packlift.session import ensure_checkpoint_dir
 from packlift.sources.tables import PromoTables
-from packlift.sources.tpch import load_tpch
+from packlift.sources.tpch import load_tpch, tpch_root
 
 # Fixed "today" of every checked query, so that both engines agree.
 AS_OF = date(2024, 6, 30)
@@ -63,7 +63,8 @@ def contract(df: DataFrame) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def wrap(fn: QueryFn):
         return lambda spark, sf_dir: contract(fn(load_tpch(spark, sf_dir)))
-    return {name: wrap(fn) for name, fn in REGISTRY.items()}
+    return ({name: wrap(fn) for name, fn in REGISTRY.items()}
+            | {f"view_{name}": _through_view(name) for name in VIEWS})
 
 
 # --- sources and filters ----------------------------------------------------
@@ -301,11 +302,10 @@ def _table_materialized(t):
     return materialize(df, *_table(df))
 
 
-def _through_views(name):
-    def fn(t):
-        return create_views(t, AS_OF, prefix="packlift_")[name]
+def _through_view(name: str):
+    def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = tpch_root(spark, sf_dir)
+        database = f"packlift_{root.rsplit('/', 1)[1]}"
+        create_tables(spark, root, database)
+        return contract(create_views(spark, database, AS_OF)[name])
     return fn
-
-
-for _key in VIEWS:
-    register(f"view_{_key}")(_through_views(_key))

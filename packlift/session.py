@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job wants: AQE with skew-join splitting, UTC, no UI server.
 # Broadcasts are Spark's own choice: by file size when planning, by the measured
@@ -39,8 +40,9 @@ def get_spark(master: str | None = None, app: str = "packlift", shuffle_partitio
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    A cluster names it; only when it is unset (local runs, tests) a fresh
-    scratch folder is created and set.
+    A cluster names it; only in a local session, where it may be unset, a fresh
+    scratch folder is created and set. Elsewhere an unset folder is refused:
+    every node would write to a disk of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,6 +50,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local"):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder (master is {sc.master})")
         path = tempfile.mkdtemp(prefix="packlift-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def shared_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back: all
+    later uses read the stored copy, also after an executor is lost."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/packlift-scope/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -260,6 +260,17 @@ def store_tpch(spark: SparkSession, sf_dir: str, root: str) -> None:
     fs.create(p, True).close()
 
 
+def tpch_root(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the stored inputs for the test tables in ``sf_dir``, derived if not there yet."""
+    ckpt = ensure_checkpoint_dir(spark)
+    with _STORE_LOCK:
+        root = f"{ckpt.rstrip('/')}/packlift-inputs/{_fingerprint(spark, sf_dir)}"
+        fs, marker = _fs(spark, f"{root}/_COMPLETE")
+        if not fs.exists(marker):
+            store_tpch(spark, sf_dir, root)
+    return root
+
+
 def load_tpch(spark: SparkSession, sf_dir: str, stored: bool = True) -> PromoTables:
     """Report inputs for the test tables in ``sf_dir``.
 
@@ -271,10 +282,4 @@ def load_tpch(spark: SparkSession, sf_dir: str, stored: bool = True) -> PromoTab
     """
     if not stored:
         return derive_tpch(spark, sf_dir)
-    ckpt = ensure_checkpoint_dir(spark)
-    with _STORE_LOCK:
-        root = f"{ckpt.rstrip('/')}/packlift-inputs/{_fingerprint(spark, sf_dir)}"
-        fs, marker = _fs(spark, f"{root}/_COMPLETE")
-        if not fs.exists(marker):
-            store_tpch(spark, sf_dir, root)
-    return load_warehouse(spark, root)
+    return load_warehouse(spark, tpch_root(spark, sf_dir))
