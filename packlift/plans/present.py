@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packlift.functions import expr as X
-from packlift.plans.reconcile import add_product_names, entity_names, recon_by_tin, recon_grouped
+from packlift.plans.reconcile import (add_product_names, condition_sales, entity_names, recon_by_tin, recon_grouped,
+                                     recon_scope, sold_tins)
 from packlift.rules import CONDITION_RULES, DEFAULT_ENTITY_NAME, PromoRules
 from packlift.sources.tables import PromoTables
 
@@ -49,9 +50,13 @@ def hot_by_tin(t: PromoTables, as_of: date | None = None, rules: PromoRules = CO
                recon: DataFrame | None = None) -> DataFrame:
     """Reconciliation by TIN for reading: 19 labelled columns; names as of
     today unless a date is given."""
-    recon = recon_by_tin(t, rules=rules) if recon is None else recon
+    tins = None
+    if recon is None:
+        rs = recon_scope(t, rules)
+        rows = condition_sales(t, rules, rs.scope)
+        recon, tins = recon_by_tin(t, rules=rules, rs=rs, rows=rows), sold_tins(rows)
     df = add_product_names(recon, t, as_of)
-    df = df.join(entity_names(t), "tin_buyer", "left")
+    df = df.join(entity_names(t, tins), "tin_buyer", "left")
     return df.select(
         F.col("common_sku_name").alias(PRODUCT),
         "id_common_sku",

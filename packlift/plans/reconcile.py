@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packlift.functions import expr as X
+from packlift.operators.bloom import among
 from packlift.operators.exceptions import excluded
 from packlift.operators.lookups import client_as_of
 from packlift.operators.pairs import PromoScope, promo_scope
@@ -56,9 +57,12 @@ def add_product_names(df: DataFrame, t: PromoTables, as_of: date | None) -> Data
             .join(client_as_of(t, as_of), "id_client", "left"))
 
 
-def entity_names(t: PromoTables) -> DataFrame:
-    """Live legal entities by TIN."""
-    return live(t.entity).select(F.col("id_legal_entity").alias("tin_buyer"), "legal_entity_name")
+def entity_names(t: PromoTables, sold: DataFrame | None = None) -> DataFrame:
+    """Live legal entities by TIN. With ``sold`` (rows with ``tin_buyer``), a
+    Bloom filter of its TINs drops the other entities where they are read, so
+    the join shuffles little more than the entities it finds."""
+    names = live(t.entity).select(F.col("id_legal_entity").alias("tin_buyer"), "legal_entity_name")
+    return names if sold is None else among(names, "tin_buyer", sold, "tin_buyer")
 
 
 def recon_scope(t: PromoTables, rules: PromoRules = CONDITION_RULES) -> ReconScope:
@@ -95,6 +99,20 @@ def condition_sales_bonus(t: PromoTables, rules: PromoRules = CONDITION_RULES,
     return out.withColumn("sum_bonus", F.col("bonus") * X.floor_packs("sales_quantity", "multiple"))
 
 
+def sold_groups(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Quantity and whole packs of the qualifying sales per group and multiple."""
+    return (rows.groupBy(*keys, "multiple")
+            .agg(F.sum("sales_quantity").alias("quantity"),
+                 F.sum(X.floor_packs("sales_quantity", "multiple")).alias("packs")))
+
+
+def sold_tins(rows: DataFrame) -> DataFrame:
+    """The TINs with qualifying sales. Reads both sums of ``sold_groups``, so that its
+    aggregate is the reconciliation's own and Spark runs it once for both."""
+    return (sold_groups(rows, TIN_KEYS).where(F.col("quantity").isNotNull() | F.col("packs").isNotNull())
+            .select("tin_buyer"))
+
+
 def _sold(t: PromoTables, rules: PromoRules, rs: ReconScope | None, keys: list[str], rows: DataFrame | None) -> DataFrame:
     """Sums per group, bonus and multiple, as if every sale met every price of its promo start.
 
@@ -105,9 +123,7 @@ def _sold(t: PromoTables, rules: PromoRules, rs: ReconScope | None, keys: list[s
     """
     rs = rs or recon_scope(t, rules)
     rows = condition_sales(t, rules, rs.scope) if rows is None else rows
-    groups = (rows.groupBy(*keys, "multiple")
-              .agg(F.sum("sales_quantity").alias("quantity"),
-                   F.sum(X.floor_packs("sales_quantity", "multiple")).alias("packs")))
+    groups = sold_groups(rows, keys)
     prices = rs.price.groupBy("start_date", "id_client", "id_common_sku", "bonus").agg(F.count(F.lit(1)).alias("prices"))
     return (groups.join(prices, ["start_date", "id_client", "id_common_sku"])
             .select(*keys, "bonus", "multiple", (F.col("quantity") * F.col("prices")).alias("quantity"),

@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from packlift import schemas
+from packlift.operators.bloom import among
 from packlift.operators.exceptions import stabbed_starts
 from packlift.operators.pairs import day_bucket, promo_scope
 from packlift.operators.windows import tag_sales
@@ -222,3 +223,58 @@ def test_client_whitelist_pushed_to_scan(tables):
     df = R.report_new(tables)
     scan = _sale_scans(plan_of(df))[0]
     assert "In(id_client" in scan
+
+
+def test_bloom_filter_lets_every_key_through_and_few_others(spark):
+    keys = spark.range(0, 3000, 3).withColumnRenamed("id", "k").unionByName(spark.createDataFrame([(None,)], "k long"))
+    found = {r["id"] for r in among(spark.range(0, 30000), "id", keys, "k", 1 << 16).collect()}
+    assert set(range(0, 3000, 3)) <= found and len(found) < 1000 + 300
+
+
+def test_entities_without_sales_are_not_shuffled(spark):
+    """A hundred times the sold entities: nearly none but the sold ones leaves the scan, and the sales are read once."""
+    from packlift.sources.tables import load_warehouse
+    from tests.test_freshness import store
+
+    rows = Rows(entity=[(TIN_A + i, f"E{i}", None) for i in range(30_000)])
+    for i in range(300):
+        rows.sell(TIN_A + i * 97, START + timedelta(days=i % 10), 3)
+    t = load_warehouse(spark, store(spark, rows.tables(spark)))
+    for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(key, "-1")
+    try:
+        df = P.hot_by_tin(t, date(2024, 6, 30))
+        got = df.collect()
+    finally:
+        for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(key)
+    assert sorted(r[P.ENTITY] for r in got) == sorted(f"E{i * 97}" for i in range(300))
+    filtered = []
+
+    def walk(node):
+        if node.nodeName() == "Filter" and "legal_entity_name" in node.toString().split("Scan")[-1] and "getbit" in node.toString():
+            filtered.append(node.metrics().get("numOutputRows").get().value())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+        for inner in ("executedPlan", "plan"):
+            try:
+                walk(getattr(node, inner)())
+            except Exception:
+                continue
+
+    walk(df._jdf.queryExecution().executedPlan())
+    assert filtered and max(filtered) <= 330, filtered
+    assert len(_sale_scans("\n".join(_final_lines(plan_of(df))))) == 1
+
+
+def _final_lines(plan: str) -> list[str]:
+    """The plan's lines without the initial plans that adaptive subqueries print below their final ones."""
+    out, hidden = [], None
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        if hidden is not None and depth >= hidden:
+            continue
+        hidden = depth if "== Initial Plan ==" in line else None
+        if hidden is None:
+            out.append(line)
+    return out
