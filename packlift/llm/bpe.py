@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from packlift.llm.common import rows_udf, text_of
 
 WIDE = 64                # symbols; longer words are merged one by one
-REMEMBERED = 400_000     # chunks and words in a generation of a Python worker's memory (about 200 bytes each)
+REMEMBERED = 400_000     # chunks and words in a generation of a task's memory (about 200 bytes each)
 END = "</w>"
 NONE = np.int64(1 << 62)
 
@@ -292,22 +292,26 @@ class Known:
         return list(new - found)
 
 
-_VOCABULARIES: dict[int, tuple[Vocabulary, Known]] = {}
+_VOCABULARIES: dict[int, Vocabulary] = {}
 _MARK = b"\xff\xff\xff\xff"   # not an id, and its bytes occur in no two ids
 
 
-def vocabulary(json_text: str) -> tuple[Vocabulary, Known]:
-    """The vocabulary, and the chunks and words known to this Python worker."""
+def vocabulary(json_text: str) -> Vocabulary:
+    """The vocabulary, built once per Python worker; it does not change with the texts."""
     name = zlib.crc32(json_text.encode())
     if name not in _VOCABULARIES:
         _VOCABULARIES.clear()
-        _VOCABULARIES[name] = (Vocabulary(json_text), Known())
+        _VOCABULARIES[name] = Vocabulary(json_text)
     return _VOCABULARIES[name]
 
 
 def encoder(json_text: str):
-    """A function from texts to their ids as little-endian 32-bit numbers."""
-    vocab, known = vocabulary(json_text)
+    """A function from texts to their ids as little-endian 32-bit numbers.
+
+    What it remembers of the texts is its own and goes with it, at the end of
+    its task: a reused Python worker keeps nothing of them.
+    """
+    vocab, known = vocabulary(json_text), Known()
 
     def word_ids(words: set[str]) -> dict[str, bytes]:
         """Ids of all the words; a word is also a chunk of its own."""
@@ -350,7 +354,7 @@ def bpe(docs: DataFrame, json_text: str) -> DataFrame:
     """Token counts and digests of the ids and of the decoded text of every row."""
     def make():
         encode = encoder(json_text)
-        vocab, _ = vocabulary(json_text)
+        vocab = vocabulary(json_text)
 
         def work(texts: list[str]) -> list[tuple]:
             out = []

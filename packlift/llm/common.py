@@ -13,11 +13,14 @@ Conventions of every operator in this subpackage:
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -71,6 +74,16 @@ def stored(df: DataFrame, name: str, batch_rows: int | None = None, codec: str |
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return what a task no longer needs to the system: a reused Python worker
+    would otherwise hold the memory of its largest task while others run."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # the GNU C library's
+    if trim:
+        trim(0)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished jobs now: it does so when the
     driver's collector finds their owners gone, which a quiet driver may not do for half an hour."""
@@ -108,6 +121,8 @@ def rows_udf(make: Callable[[], Callable[[list], list[tuple]]], schema: str):
             for part in slices(texts.tolist()):
                 out += work(part)
             yield pd.DataFrame.from_records(out, columns=names)
+        work = texts = part = out = None
+        give_back()
 
     return run
 

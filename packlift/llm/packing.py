@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from packlift.llm.bpe import encoder
-from packlift.llm.common import slices, stored, text_of
+from packlift.llm.common import give_back, slices, stored, text_of
 
 LIMIT = 2048
 GROUPS = 64
@@ -253,6 +253,8 @@ def piece_rows(docs: DataFrame, tokenizer_json: str, limit: int = LIMIT) -> Data
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out), _PIECE_TYPES)],
                     names=["doc_id", "piece", "start", "length", "ids_crc32", "pid", "nth"])
+        encode = batch = ids = part = out = data = None
+        give_back()
 
     return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(pieces, PIECES)
 

@@ -264,13 +264,14 @@ def fingerprint_links(fps: DataFrame, split: int = SPLIT) -> DataFrame:
 
 
 def grouped(rows: DataFrame, split: int = SPLIT) -> DataFrame:
-    """``rows`` (doc_id, fp, ...) with ``component_id``."""
+    """``rows`` (doc_id, fp, ...) with ``component_id`` and ``root``, the component's least
+    fingerprint: ids may repeat, so only the root tells components apart."""
     fps = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-fps")
     roots = components(fingerprint_links(fps.select("fp"), split))
     of = fps.join(roots, fps["fp"] == roots["node"], "left").select(
         fps["fp"].alias("f"), "least", F.coalesce("root", fps["fp"]).alias("r"))
     smallest = of.groupBy(F.col("r").alias("r2")).agg(F.min("least").alias("component_id"))
-    named = stored(of.join(smallest, F.col("r") == F.col("r2")).select("f", "component_id"), "simhash-named")
+    named = stored(of.join(smallest, F.col("r") == F.col("r2")).select("f", F.col("r").alias("root"), "component_id"), "simhash-named")
     return rows.join(named, rows["fp"] == named["f"], "left").drop("f")
 
 
@@ -284,12 +285,13 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """One row of each near-duplicate component: the one with the smallest
     doc_id (a row without an id only if the component has no other), of rows
     that share that id the one of the smallest content hash, and one of equal
-    rows. All columns are kept."""
+    rows. Unlike texts under one id lie in components of their own, so each
+    stays. All columns are kept."""
     fp, row_hash, row_id, place = fresh(docs, "fp", "hash", "id", "place")
     content = F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith("map")])
     marked = docs.withColumn(fp, fingerprint_udf(shingle)(text_of())["fp"])
     rows = stored(marked.select("doc_id", F.col(fp).alias("fp"), content.alias("h")), "simhash-docs")
-    first = (grouped(rows).groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("lone"))
+    first = (grouped(rows).groupBy("root")
              .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "h")).alias("best"))
              .select(F.coalesce("best.doc_id", F.lit(0)).alias(row_id), F.col("best.h").alias(row_hash)).distinct())
     # Join and numbering share their keys, so the texts are shuffled once.

@@ -111,3 +111,19 @@ def test_no_training_rows_gives_no_toxic(spark):
     model = toxicity.fit([])
     assert [r["score"] for r in toxicity.toxicity(odd(spark), model).collect()] == [0.0] * len(ROWS)
     assert np.isfinite(MODEL.probability(np.zeros((1, 2)))).all()
+
+
+def test_unlike_texts_of_one_id_all_stay(spark):
+    texts = ["a first text about ships and harbours and the open sea", "quite another one on bread, flour and slow ovens",
+             "a third that speaks of mountains, snow and long winters"]
+    rows = [(1, texts[0], "en", "a", 1), (1, texts[1], "en", "a", 1), (2, texts[2], "en", "a", 1),
+            (3, texts[0], "en", "a", 1), (1, texts[0], "en", "a", 1)]
+    kept = simhash.keep_first(spark.createDataFrame(rows, DOC)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(1, texts[0]), (1, texts[1]), (2, texts[2])])
+
+
+def test_an_encoder_keeps_its_texts_to_itself():
+    first, second = bpe.encoder(VOCABULARY), bpe.encoder(VOCABULARY)
+    assert first(["one two three"]) == second(["one two three"])
+    remembered = [c.cell_contents for f in (first, second) for c in f.__closure__ if isinstance(c.cell_contents, bpe.Known)]
+    assert len(remembered) == 2 and remembered[0] is not remembered[1]

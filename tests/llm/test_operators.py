@@ -407,12 +407,12 @@ def test_bpe_odd_texts(text):
     want = tokenizer.encode(text, add_special_tokens=False).ids
     got = np.frombuffer(bpe.encoder(tokenizer_text())([text])[0], dtype="<u4")
     assert got.tolist() == want
-    vocab, _ = bpe.vocabulary(tokenizer_text())
+    vocab = bpe.vocabulary(tokenizer_text())
     assert vocab.decode(got).decode() == tokenizer.decode(want, skip_special_tokens=False)
 
 
 def test_segment_tree_and_rows_agree():
-    vocab, _ = bpe.vocabulary(tokenizer_text())
+    vocab = bpe.vocabulary(tokenizer_text())
     rng = random.Random(4)
     words = ["".join(rng.choice("etaoinshr") for _ in range(rng.randrange(1, 60))) for _ in range(300)]
     for word, data in zip(words, vocab.encode_words(words)):
