@@ -71,13 +71,15 @@ def write_sales_layout(sale: DataFrame, path: str, mode: str = "overwrite") -> N
     columns samples the keys, so neither a client nor a single (client, day)
     that holds a large share of the rows lands in one task; sorting inside each
     file keeps the Parquet min/max statistics tight, so client and date filters
-    skip row groups. Columns are brought to the declared types first.
+    skip row groups. Columns are brought to the declared types first. The salt
+    is an expression of the partitioning, not a column: eight random bytes a row
+    are not shuffled.
     """
     typed = sale.select(*[F.col(f.name).cast(f.dataType) for f in schemas.SALE.fields])
     salt = F.xxhash64("id_sku", "tin_buyer", "quantity", "id_operation_type", "delete_date")
-    (typed.withColumn("op_year", F.year("operation_date")).withColumn("_salt", salt)
-     .repartitionByRange("op_year", "id_client", "operation_date", "_salt")
-     .sortWithinPartitions("id_client", "operation_date").drop("_salt")
+    (typed.repartitionByRange(F.year("operation_date"), "id_client", "operation_date", salt)
+     .withColumn("op_year", F.year("operation_date"))
+     .sortWithinPartitions("op_year", "id_client", "operation_date")
      .write.mode(mode).partitionBy("op_year").parquet(path))
 
 

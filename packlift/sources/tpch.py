@@ -13,13 +13,14 @@ import hashlib
 import inspect
 import sys
 import threading
+from collections.abc import Callable
 from dataclasses import fields
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packlift.session import ensure_checkpoint_dir
+from packlift.session import ensure_checkpoint_dir, shared_table
 from packlift.sources.tables import PromoTables, load_warehouse, write_sales_layout
 
 # ---------------------------------------------------------------------------
@@ -53,26 +54,38 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def derive_sale(lineitem: DataFrame, orders: DataFrame, keep_keys: bool = False) -> DataFrame:
-    """Sales fact: one sale per line item."""
-    li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-                         "l_returnflag")
-    od = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
+    """Sales fact: one sale per line item.
+
+    What a line item alone decides is computed before the join. The line number,
+    the client's place in ``CLIENT_BY_REMAINDER`` (3 bits) and whether the line
+    was returned (1 bit) cross it as one number, since a shuffled row spends
+    eight bytes on each field.
+    """
+    ok, rest = F.col("l_orderkey"), F.col("l_suppkey") % 7
     qty = (F.when(ok % 37 == 0, -F.col("l_quantity"))
            .when(ok % 31 == 0, F.lit(0.0))
            .otherwise(F.col("l_quantity") % 13))
+    place = F.when(rest.between(0, len(CLIENT_BY_REMAINDER) - 2), rest).otherwise(len(CLIENT_BY_REMAINDER) - 1)
+    returned = F.when(F.col("l_returnflag") == "R", 1).otherwise(0)
+    li = lineitem.select(
+        ok, F.col("l_partkey").cast("bigint").alias("id_sku"), qty.cast("decimal(18,3)").alias("quantity"),
+        (F.col("l_linenumber").cast("bigint") * 16 + place * 2 + returned).alias("line"))
+    line = F.col("line")
+    ln = F.shiftright(line, 4)
+    place = F.shiftright(line.bitwiseAND(F.lit(15)), 1).cast("int")
+    od = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     cols = [
-        F.col("l_partkey").cast("bigint").alias("id_sku"),
-        _client(F.col("l_suppkey")).alias("id_client"),
+        "id_sku",
+        F.get(F.array(*[F.lit(c) for c in CLIENT_BY_REMAINDER]), place).alias("id_client"),
         F.when(ok % 41 == 0, F.lit(None)).otherwise(F.lit(TIN_BASE) + F.col("o_custkey"))
         .cast("bigint").alias("tin_buyer"),
         _day(SALE_DAY0, (ok * 13 + ln * 29) % 360).alias("operation_date"),
-        qty.cast("decimal(18,3)").alias("quantity"),
-        F.when(F.col("l_returnflag") == "R", 3).otherwise(4).cast("int").alias("id_operation_type"),
+        "quantity",
+        F.when(line.bitwiseAND(F.lit(1)) == 1, 3).otherwise(4).cast("int").alias("id_operation_type"),
         F.when(ok % 19 == 0, F.lit(SALE_DELETED)).otherwise(F.lit(LIVE_SALE)).alias("delete_date"),
     ]
     if keep_keys:
-        cols += [ok.alias("l_orderkey"), ln.alias("l_linenumber")]
+        cols += [ok, ln.alias("l_linenumber")]
     return li.join(od, "l_orderkey").select(*cols)
 
 
@@ -200,12 +213,18 @@ def derive_entity(customer: DataFrame) -> DataFrame:
     )
 
 
-def derive_tpch(spark: SparkSession, sf_dir: str) -> PromoTables:
-    """Every report input as a DataFrame over the test tables in ``sf_dir``."""
+def derive_tpch(spark: SparkSession, sf_dir: str, stage: Callable[[DataFrame, str], DataFrame] | None = None) -> PromoTables:
+    """Every report input as a DataFrame over the test tables in ``sf_dir``.
+
+    Sales, exceptions and declared results all come from the join of line items
+    and orders; ``stage(df, name)`` may store it, so that it is shuffled once.
+    """
     lineitem = _read(spark, sf_dir, "lineitem")
     orders = _read(spark, sf_dir, "orders")
     part = _read(spark, sf_dir, "part")
     sale_k = derive_sale(lineitem, orders, keep_keys=True)
+    if stage is not None:
+        sale_k = stage(sale_k, "sale-keyed")
     sale = sale_k.drop("l_orderkey", "l_linenumber")
     sku = derive_sku(part)
     promo = derive_promo(part)
@@ -249,7 +268,7 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
 def store_tpch(spark: SparkSession, sf_dir: str, root: str) -> None:
     """Write the derived inputs under ``root`` in the warehouse layout (the
     sales fact partitioned by year), then a completion marker."""
-    t = derive_tpch(spark, sf_dir)
+    t = derive_tpch(spark, sf_dir, shared_table)
     for f in fields(t):
         df = getattr(t, f.name)
         if f.name == "sale":

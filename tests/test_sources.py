@@ -42,3 +42,25 @@ def test_live_styles(spark):
     t = Rows().sell(TIN_A, "2024-01-12", 3).sell(TIN_A, "2024-01-12", 3, deleted=True).tables(spark)
     assert live(t.sale, "sentinel", date(2000, 1, 1)).count() == 1
     assert live(t.promo).count() == 1
+
+
+def test_line_items_meet_orders_once(spark, monkeypatch):
+    """Sales, exceptions and declared results come from one stored join of line items and orders, and the
+    layout's salt is no column of what is shuffled."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from packlift.sources.tpch import store_tpch
+
+    written, plain = [], DataFrameWriter.parquet
+
+    def watched(self, *args, **kwargs):
+        written.append(self._df._jdf.queryExecution().optimizedPlan().toString())
+        return plain(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", watched)
+    store_tpch(spark, "/root/testdata/sf0.001", tempfile.mkdtemp(prefix="packlift-store-", dir="/tmp"))
+    joins = [p for p in written if "l_orderkey" in p and "o_custkey" in p]
+    assert len(joins) == 1, len(joins)
+    layout, = [p for p in written if "RepartitionByExpression" in p]
+    shuffled = layout.split("RepartitionByExpression", 1)[1].split("\n", 1)[1]
+    assert "xxhash64" not in shuffled, shuffled
