@@ -48,7 +48,9 @@ def add_names(df: DataFrame, t: PromoTables, sku_side: DataFrame | None = None)
     else:
         price = (live(t.price).join(sku_side, "id_sku")
                  .select("id_client", "id_common_sku", "sale_date", "bonus"))
-    return (df.join(t.promo_type.select("id_promotion_type", "promotion_type_name"), "id_promotion_type", "left")
+    price = price.withColumnRenamed("sale_date", "start_date")
+    # The price list first: it is the join that may shuffle, and names repeat the rows.
+    return (df.join(price, ["id_client", "id_common_sku", "start_date"], "left")
+            .join(t.promo_type.select("id_promotion_type", "promotion_type_name"), "id_promotion_type", "left")
             .join(client_names(t), "id_client", "left")
-            .join(t.common_sku.select("id_common_sku", "common_sku_name"), "id_common_sku", "left")
-            .join(price.withColumnRenamed("sale_date", "start_date"), ["id_client", "id_common_sku", "start_date"], "left"))
+            .join(t.common_sku.select("id_common_sku", "common_sku_name"), "id_common_sku", "left"))

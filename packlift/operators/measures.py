@@ -37,36 +37,42 @@ PIVOT_NAMES = {
 }
 
 
+# The two kinds of sums of one row or group: conditional (rule and exceptions) and total.
+KINDS = ("cond", "total")
+PART_COLS = [f"{m}_{kind}" for kind in KINDS for m in ("q", "p", "n")]
+
+
 def parts(tagged: DataFrame, rules: PromoRules) -> DataFrame:
-    """Per tagged row and sales type ``t``: ``q_t`` (quantity it contributes,
-    NULL if it does not count), ``p_t`` (its packs) and ``n_t`` (1 if it
-    counts, else 0). The exception list is not applied yet.
+    """Per tagged row and kind ``k``: ``q_k`` (quantity it contributes, NULL if
+    it does not count), ``p_k`` (its packs) and ``n_k`` (1 if it counts, else
+    0), for the sales type of its window (``in_promo``). The exception list is
+    not applied yet.
 
     Conditional types: sales only and the quantity rule met; totals: every
-    row. A row whose scored quantity is 0 counts for no type.
+    row. A row whose scored quantity is 0 counts for no type, so one of
+    quantity 0 counts for none and is left out where it is read.
     """
     scored = X.scored_sql(rules)
     exprs = []
-    for label, conditional, promo_window in SALES_TYPES:
-        window = "in_promo" if promo_window else "NOT in_promo"
+    for kind in KINDS:
+        conditional = kind == "cond"
         q = f"({scored})" if conditional else "quantity"
-        flag = f"{window} AND {q} <> 0"
+        flag = f"{q} <> 0"
         if conditional:
             flag += f" AND id_operation_type = {int(rules.sale_operation_type)}"
-        exprs += [f"CASE WHEN {flag} THEN {q} END AS q_{label}",
-                  f"CASE WHEN {flag} THEN {X.packs_sql(q, 'multiple')} END AS p_{label}",
-                  f"CAST({flag} AS BIGINT) AS n_{label}"]
-    return tagged.selectExpr(*PAIR_KEYS, "tin_buyer", "operation_date", "in_promo", *exprs)
-
-
-PART_COLS = [f"{m}_{label}" for label, _, _ in SALES_TYPES for m in ("q", "p", "n")]
+        exprs += [f"CASE WHEN {flag} THEN {q} END AS q_{kind}",
+                  f"CASE WHEN {flag} THEN {X.packs_sql(q, 'multiple')} END AS p_{kind}",
+                  f"CAST({flag} AS BIGINT) AS n_{kind}"]
+    return (tagged.where(F.col("quantity") != 0)
+            .selectExpr(*PAIR_KEYS, "tin_buyer", "operation_date", "in_promo", *exprs))
 
 
 def combine_parts(rows: DataFrame) -> DataFrame:
     """Pre-aggregate ``parts`` to (pair, TIN, sale date): every exception
     policy gives one answer per such group, so the exception join can run on
     the groups instead of the rows. Map-side partial aggregation makes a hot
-    buyer cost at most (its pairs x days) rows per task."""
+    buyer cost at most (its pairs x days) rows per task. A day lies in one
+    window, so a group has the sums of that window only."""
     return (rows.groupBy(*PAIR_KEYS, "tin_buyer", "operation_date", "in_promo")
             .agg(*[F.expr(f"sum({c}) AS {c}") for c in PART_COLS]))
 
@@ -77,12 +83,14 @@ def stage1(flagged: DataFrame, rules: PromoRules) -> DataFrame:
     types drop what the report's exception policy excludes."""
     keep = f"NOT ({excluded_sql(rules.exception_policy)})"
     aggs = []
-    for label, conditional, _ in SALES_TYPES:
-        q, p, n = (f"{m}_{label}" for m in ("q", "p", "n"))
+    for label, conditional, promo_window in SALES_TYPES:
+        kind = "cond" if conditional else "total"
+        counts = "in_promo" if promo_window else "NOT in_promo"
         if conditional:
-            q, p, n = (f"CASE WHEN {keep} THEN {q} END", f"CASE WHEN {keep} THEN {p} END",
-                       f"CASE WHEN {keep} THEN {n} ELSE 0 END")
-        aggs += [f"sum({q}) AS q_{label}", f"sum({p}) AS p_{label}", f"sum({n}) AS n_{label}"]
+            counts += f" AND {keep}"
+        aggs += [f"sum(CASE WHEN {counts} THEN q_{kind} END) AS q_{label}",
+                 f"sum(CASE WHEN {counts} THEN p_{kind} END) AS p_{label}",
+                 f"sum(CASE WHEN {counts} THEN n_{kind} ELSE 0 END) AS n_{label}"]
     return flagged.groupBy(*PAIR_KEYS, "tin_buyer").agg(*[F.expr(a) for a in aggs])
 
 

@@ -53,3 +53,25 @@ def test_exception_join_on_pre_aggregated_groups(no_broadcast):
     join = next(i for i, ln in enumerate(lines) if "SortMergeJoin" in ln and "tin_buyer" in ln and "LeftOuter" in ln)
     below = "\n".join(lines[join:join + 12])
     assert "HashAggregate(keys=[id_promotion" in below and "operation_date" in below
+
+
+def test_groups_carry_the_sums_of_one_window(no_broadcast):
+    """The groups that are shuffled to the exception join hold three sums per kind, not per sales type,
+    and no sale of quantity 0."""
+    from packlift.plans import report as R
+    from packlift.sources.tpch import load_tpch
+
+    plan = R.report_pivot(load_tpch(no_broadcast, SF))._jdf.queryExecution().optimizedPlan().toString()
+    groups = next(ln for ln in plan.splitlines() if "Aggregate [id_promotion" in ln and "operation_date" in ln)
+    assert groups.count("sum(") == 6, groups
+    assert any("Filter" in ln and "NOT (quantity" in ln for ln in plan.splitlines())
+
+
+def test_prices_are_joined_before_names_repeat_the_rows(no_broadcast):
+    from packlift.plans import report as R
+    from packlift.sources.tpch import load_tpch
+
+    df = R.report_new(load_tpch(no_broadcast, SF))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    joins = [ln for ln in plan.splitlines() if "Join LeftOuter" in ln]
+    assert "id_common_sku" in joins[0] and "start_date" in joins[3], joins[:4]
