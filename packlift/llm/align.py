@@ -4,8 +4,8 @@ A text's tokens under A and under B are reduced to their end offsets in bytes.
 Where both end arrays hold an offset, the tokens up to there form a group. The
 two arrays are walked together at the current index shift: a stretch where
 ``ends_a[i + n] == ends_b[j + n]`` is one-to-one, and its length is found by
-exponential probing (slices of doubled length compared whole, then halved at
-the first difference). At an irregular group the lesser end advances until both
+exponential probing (slices of doubled length compared whole; the first
+difference is the lowest different bit of the last two, read as numbers). At an irregular group the lesser end advances until both
 agree; the shift is then that of the new places, and probing starts again.
 
 A link is a pair of tokens whose byte ranges overlap: one per one-to-one group,
@@ -130,59 +130,80 @@ class Piece:
 WORD = 4     # bytes of an end offset in the buffers that are probed
 
 
+FIRST_PROBE = 16 * WORD
+
+
 def run_length(a: bytes, b: bytes, i: int, j: int) -> int:
     """How far the offsets of ``a`` from place i on equal those of ``b`` from place j on.
 
-    Probes of doubled length are compared whole, then halved at a difference.
+    Probes of doubled length are compared whole. One that differs is read as
+    two numbers, whose lowest different bit is in the first different offset.
     """
     x, y = WORD * i, WORD * j
-    most = min(len(a) - x, len(b) - y)
-    n, width = 0, 2 * WORD
-    while n < most and a[x + n:x + n + width] == b[y + n:y + n + width]:
-        n += width
+    width = FIRST_PROBE
+    while True:
+        p, q = a[x:x + width], b[y:y + width]
+        if p != q or not p:
+            break
+        x += width
+        y += width
         if width < LONGEST_PROBE:
             width += width
-    while width > WORD and n < most:
-        width >>= 1
-        if a[x + n:x + n + width] == b[y + n:y + n + width]:
-            n += width
-    return (n if n < most else most) // WORD
+    most = min(len(p), len(q))
+    if most == width:
+        differ = int.from_bytes(p, "little") ^ int.from_bytes(q, "little")
+    else:
+        differ = int.from_bytes(p[:most], "little") ^ int.from_bytes(q[:most], "little")
+    same = ((differ & -differ).bit_length() - 1) // (8 * WORD) if differ else most // WORD
+    return min(x, len(a)) // WORD - i + same
 
 
-def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[list[tuple[int, int, int, int, int]], list[int], list[int]]:
+def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The walk over two rising arrays of end offsets with equal last entries.
 
-    Each step ``(i, j, run, p, q)`` is ``run`` one-to-one groups from tokens
-    (i, j) on, then one irregular group up to (p, q), exclusive; the last step
-    may lack the latter. The other two lists hold the links of the irregular
-    groups, as places in a and in b.
+    Each step ``(i, j, run, p, q)``, a row of the first array, is ``run``
+    one-to-one groups from tokens (i, j) on, then one irregular group up to
+    (p, q), exclusive; the last step may lack the latter. The other two arrays
+    hold the links of the irregular groups, as places in a and in b.
     """
-    steps, left, right = [], [], []
+    steps = []
     a, b = ends_a.tolist(), ends_b.tolist()
     probe_a, probe_b = (e.astype(f"u{WORD}").tobytes() for e in (ends_a, ends_b))
     i = j = 0
     n = len(a)
     while i < n:
-        run = run_length(probe_a, probe_b, i, j)
+        run = run_length(probe_a, probe_b, i, j) if a[i] == b[j] else 0
         p, q = i + run, j + run
         if p < n:
             x, y = a[p], b[q]
             while x != y:
-                left.append(p)
-                right.append(q)
                 if x < y:
                     p += 1
                     x = a[p]
                 else:
                     q += 1
                     y = b[q]
-            left.append(p)
-            right.append(q)
             p += 1
             q += 1
-        steps.append((i, j, run, p, q))
+        steps += (i, j, run, p, q)
         i, j = p, q
-    return steps, left, right
+    table = np.array(steps, dtype=np.int64).reshape(-1, 5)
+    return table, *irregular_links(ends_a, ends_b, table)
+
+
+def irregular_links(ends_a: np.ndarray, ends_b: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The links of the irregular groups, as places in a and in b.
+
+    The ends of both sides cut a group into stretches that lie in one token of
+    each side; a stretch is a link, and the places are those of the tokens that
+    end with it or next after it.
+    """
+    i, j, run, p, q = steps.T
+    places = _expanded(i + run, p - i - run), _expanded(j + run, q - j - run)
+    ends = ends_a[places[0]], ends_b[places[1]]
+    cuts = np.sort(np.concatenate(ends))
+    cuts = cuts[np.concatenate((cuts[1:] != cuts[:-1], np.ones(min(1, len(cuts)), dtype=bool)))]
+    return places[0][ends[0].searchsorted(cuts)], places[1][ends[1].searchsorted(cuts)]
 
 
 def _expanded(starts: np.ndarray, runs: np.ndarray) -> np.ndarray:
@@ -191,11 +212,11 @@ def _expanded(starts: np.ndarray, runs: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, runs) + np.arange(int(runs.sum()))
 
 
-def group_ends(steps: list) -> tuple[np.ndarray, np.ndarray]:
+def group_ends(steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Per group the number of a's and of b's tokens up to its end."""
-    if not steps:
+    if not len(steps):
         return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-    i, j, run, p, q = np.array(steps, dtype=np.int64).T
+    i, j, run, p, q = steps.T
     knot = p > i + run
     ends = []
     for start, end in ((i, p), (j, q)):
@@ -206,13 +227,38 @@ def group_ends(steps: list) -> tuple[np.ndarray, np.ndarray]:
     return ends[0], ends[1]
 
 
-def links(steps: list, left: list[int], right: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def links(steps: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Every link's place in a and in b: one per one-to-one group, then those of the irregular groups."""
-    if not steps:
-        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-    i, j, run, _, _ = np.array(steps, dtype=np.int64).T
-    return (np.concatenate((_expanded(i, run), np.array(left, dtype=np.int64))),
-            np.concatenate((_expanded(j, run), np.array(right, dtype=np.int64))))
+    i, j, run, _, _ = steps.T
+    return np.concatenate((_expanded(i, run), left)), np.concatenate((_expanded(j, run), right))
+
+
+NO_STEPS = np.empty((0, 5), dtype=np.int64)
+CHECKED = 1 << 16     # tokens whose bytes are compared at a time
+
+
+class Bytes:
+    """The bytes of a vocabulary's entries in one buffer."""
+
+    def __init__(self, pieces: list[bytes]):
+        self._flat = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+        self._lengths = np.array([len(p) for p in pieces], dtype=np.int64)
+        self._starts = self._lengths.cumsum() - self._lengths
+
+    def ends(self, ids: np.ndarray, text: np.ndarray) -> np.ndarray | None:
+        """The end offset of each token; None unless the tokens' joined bytes are those of ``text``."""
+        lengths = self._lengths[ids]
+        ends = lengths.cumsum()
+        if not len(ids) or ends[-1] != len(text):
+            return None
+        at = 0
+        for k in range(0, len(ids), CHECKED):
+            some = slice(k, k + CHECKED)
+            to = int(ends[some][-1])
+            if not np.array_equal(self._flat[_expanded(self._starts[ids[some]], lengths[some])], text[at:to]):
+                return None
+            at = to
+        return ends
 
 
 class Aligner:
@@ -220,32 +266,32 @@ class Aligner:
 
     def __init__(self, spec_a: str, model_b: bytes):
         self.a, self.b = ByteLevel(spec_a), Piece(model_b)
-        self._lengths = [np.array([len(p) for p in v.pieces], dtype=np.int64) for v in (self.a, self.b)]
+        self._bytes = [Bytes(v.pieces) for v in (self.a, self.b)]
         # An id as the digest's text has it: followed by what separates it from the next of its own
         # group (first half of a table), or by what ends its side of the group (second half).
         self._names = [np.array([f"{i}{mark}" for mark in marks for i in range(len(v.pieces))], dtype=object)
                        for v, marks in ((self.a, ",|"), (self.b, ",;"))]
         self.width = len(self.b.pieces)
 
-    def texts(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, list, list, list]]:
+    def texts(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """Per text: ids under A, ids under B, and what ``align`` returns; all empty without tokens."""
         got_a, got_b = self.a.encode(texts), self.b.encode(texts)
         none = np.empty(0, dtype=np.int64)
         for k, text in enumerate(texts):
             ids = (got_a[k], got_b[k])
             got_a[k] = got_b[k] = None
-            want = b" " + text.encode()
-            if not text or any(b"".join(map(v.pieces.__getitem__, i.tolist())) != want
-                               for v, i in zip((self.a, self.b), ids)):
-                yield none, none, [], [], []
+            want = np.frombuffer(b" " + text.encode(), dtype=np.uint8)
+            ends = [v.ends(i, want) for v, i in zip(self._bytes, ids)] if text else [None]
+            if any(e is None for e in ends):
+                yield none, none, NO_STEPS, none, none
                 continue
-            yield *ids, *align(*(self._lengths[s][ids[s]].cumsum() for s in (0, 1)))
+            yield *ids, *align(*ends)
 
     def pairs(self, ids_a: np.ndarray, ids_b: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The distinct linked id pairs (A's id times B's vocabulary size plus B's id) and their numbers of links."""
         return np.unique(ids_a[left] * self.width + ids_b[right], return_counts=True)
 
-    def text_of_groups(self, ids_a: np.ndarray, ids_b: np.ndarray, steps: list) -> str:
+    def text_of_groups(self, ids_a: np.ndarray, ids_b: np.ndarray, steps: np.ndarray) -> str:
         """``a1,a2|b1;a3|b2,b3``: decimal ids in order."""
         ends = group_ends(steps)
         sizes = [np.diff(e, prepend=0) for e in ends]
@@ -307,7 +353,7 @@ def linked_pairs(docs: DataFrame, spec_a: str, model_b: bytes) -> DataFrame:
             for a, b, steps, left, right in aligner.texts(texts):
                 left, right = links(steps, left, right)
                 sizes.append((len(a), len(b), len(a) + len(b) - len(left), len(left)))
-                digests.append(hashlib.sha256(aligner.text_of_groups(a, b, steps).encode()).hexdigest() if steps else "")
+                digests.append(hashlib.sha256(aligner.text_of_groups(a, b, steps).encode()).hexdigest() if len(steps) else "")
                 code, n = aligner.pairs(a, b, left, right)
                 codes.append(code)
                 numbers.append(n)

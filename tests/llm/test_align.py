@@ -106,6 +106,36 @@ def test_probing_is_logarithmic_on_long_runs():
     assert Seen.asked <= 40
 
 
+def test_short_runs_take_one_probe():
+    class Seen(bytes):
+        asked = 0
+
+        def __getitem__(self, key):
+            Seen.asked += 1
+            return super().__getitem__(key)
+
+    for n in [*range(16), 16, 17, 31, 48, 500, 70_000]:
+        a, b = np.arange(1, n + 9, dtype="u4"), np.arange(101, n + 109, dtype="u4")
+        b[3:3 + n] = a[5:5 + n]     # runs of n on a diagonal, then a difference, or the end of either side
+        for cut_a, cut_b in ((len(a), len(b)), (5 + n, len(b)), (len(a), 3 + n), (5 + n, 3 + n)):
+            Seen.asked = 0
+            got = align.run_length(Seen(a[:cut_a].tobytes()), b[:cut_b].tobytes(), 5, 3)
+            assert got == n, (n, cut_a, cut_b, got)
+            assert n >= 16 or Seen.asked <= 2, (n, Seen.asked)
+
+
+def test_joined_bytes_are_compared_whole():
+    vocabulary = align.Bytes([b"a", b"bcd", b"", b"\xd0"])
+    ids = np.array([0, 1, 2, 3] * 40_000)
+    text = np.frombuffer(b"abcd\xd0" * 40_000, dtype=np.uint8)
+    assert vocabulary.ends(ids, text).tolist()[:5] == [1, 4, 4, 5, 6]
+    for place in (0, 150_000, len(text) - 1):
+        other = text.copy()
+        other[place] ^= 1
+        assert vocabulary.ends(ids, other) is None
+    assert vocabulary.ends(ids, text[:-1]) is None and vocabulary.ends(ids[:0], text[:1]) is None
+
+
 def test_empty_table(spark):
     assert align.align_documents(table(spark, ["a"]).limit(0), SPEC, MODEL).count() == 0
 
