@@ -8,9 +8,11 @@ and their paths to the root are updated, until no mergeable pair remains. A
 word of n symbols costs O(n log n).
 
 Short words are merged many at a time, each with its own tree in a row of one
-numpy array; words over ``WIDE`` symbols use ``SegmentTree`` one by one. A task
-remembers the ids of chunks between blanks (a bounded number, see ``Known``),
-as nothing merges across blanks.
+numpy array; words over ``WIDE`` symbols use ``SegmentTree`` one by one. Nothing
+merges across blanks, so each different chunk between blanks is cut into words
+once in a slice of texts; Arrow's dictionaries tell which are different and put
+the ids back in the texts' order. A task remembers the ids of words (a bounded
+number, see ``Known``).
 
 Before that a text is split at special tokens, brought to NFC, its blanks
 dropped, lower-cased character by character, and cut into contractions,
@@ -33,16 +35,22 @@ import json
 import re
 import unicodedata
 import zlib
+from collections.abc import Callable
+from itertools import groupby
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
 from packlift.llm.common import rows_udf, text_of
 
 WIDE = 64                # symbols; longer words are merged one by one
-REMEMBERED = 400_000     # chunks and words in a generation of a task's memory (about 200 bytes each)
+REMEMBERED = 400_000     # words in a task's memory (some 40 bytes each)
+ROWS = 4096              # words merged at a time: their trees stay in a core's cache
 END = "</w>"
+LINE_END = "\n"
 NONE = np.int64(1 << 62)
 
 # The vocabulary's word pattern, a fixed value.
@@ -51,8 +59,6 @@ _EXACT = regex.compile(PATTERN)
 # The same for texts without numbers other than decimal digits, in the faster module.
 _FAST = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|\n|(?:[^\w\s\x1c-\x1f]|[_\x1c-\x1f])+")
 _ODD_NUMBER = regex.compile(r"[\p{No}\p{Nl}]")
-_BLANKS = regex.compile(r"[\p{White_Space}]+")
-_SEPARATORS = re.compile(r"[\x1c-\x1f]")
 
 
 def byte_characters() -> list[str]:
@@ -208,33 +214,37 @@ class Vocabulary:
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word as little-endian 32-bit numbers."""
-        data = [w.encode("utf-8", "surrogatepass") for w in words]
-        out: list[bytes] = [b""] * len(words)
-        by_width: dict[int, list[int]] = {}
-        for k, d in enumerate(data):
-            by_width.setdefault(max(2, 1 << (len(d) - 1).bit_length()), []).append(k)
-        for width, members in by_width.items():
-            if width > WIDE:
-                for k in members:
-                    symbols = self.inner[np.frombuffer(data[k], dtype=np.uint8)].tolist()
-                    symbols[-1] = int(self.last[data[k][-1]])
-                    out[k] = np.array(self.merge_long(symbols), dtype="<u4").tobytes()
-                continue
-            lengths = np.array([len(data[k]) for k in members])
-            flat = np.frombuffer(b"".join(data[k].ljust(width, b"\0") for k in members), dtype=np.uint8)
-            raw = flat.reshape(-1, width)
-            symbols = self.inner[raw]
-            rows = np.arange(len(members))
-            symbols[rows, lengths - 1] = self.last[raw[rows, lengths - 1]]
-            merged = self.merge_rows(symbols, lengths)
-            left = merged >= 0
-            ids = merged[left].astype("<u4").tobytes()
-            ends = (np.cumsum(left.sum(axis=1)) * 4).tolist()
-            start = 0
-            for k, end in zip(members, ends):
-                out[k] = ids[start:end]
-                start = end
-        return out
+        return self.encode_array(pa.array(words, pa.large_string())).to_pylist()
+
+    def encode_array(self, words: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """The same for an Arrow array; the empty word has no ids."""
+        offsets, data = _offsets(words), np.frombuffer(words.buffers()[2] or b"", dtype=np.uint8)
+        start, lengths = offsets[:-1], np.diff(offsets)
+        order, ids, counts = [np.flatnonzero(lengths == 0)], [], [np.zeros((lengths == 0).sum(), dtype=np.int64)]
+        least = 0
+        for width in (2 << k for k in range(WIDE.bit_length() - 1)):
+            members = np.flatnonzero((lengths > least) & (lengths <= width))
+            least = width
+            for lo in range(0, len(members), ROWS):
+                part = members[lo:lo + ROWS]
+                n = lengths[part]
+                symbols = self.inner[data[np.minimum(start[part, None] + np.arange(width), len(data) - 1)]]
+                symbols[np.arange(len(part)), n - 1] = self.last[data[start[part] + n - 1]]
+                merged = self.merge_rows(symbols, n)
+                left = merged >= 0
+                order.append(part)
+                ids.append(merged[left].astype("<u4"))
+                counts.append(left.sum(axis=1))
+        for k in np.flatnonzero(lengths > WIDE):
+            word = data[start[k]:start[k] + lengths[k]]
+            symbols = self.inner[word].tolist()
+            symbols[-1] = int(self.last[word[-1]])
+            ids.append(np.array(self.merge_long(symbols), dtype="<u4"))
+            order.append([k])
+            counts.append([len(ids[-1])])
+        ends = 4 * np.cumsum(np.concatenate([[0], *counts]).astype(np.int64))
+        merged = _binary(ends, pa.py_buffer(np.concatenate([np.empty(0, dtype="<u4"), *ids])))
+        return merged.take(pa.array(np.argsort(np.concatenate(order))))
 
     # ---- texts ----------------------------------------------------------------
 
@@ -248,24 +258,41 @@ class Vocabulary:
                 return _EXACT.findall(part.lower())
         return _FAST.findall(part.lower())
 
-    def parts_of(self, chunk: str) -> list[str | int]:
-        """Words, and the ids of special tokens, of a chunk without blanks."""
+    def parts_of(self, chunk: str) -> list[str]:
+        """Words and special tokens of a chunk without blanks."""
         if self.specials and "<|" in chunk:
-            out: list[str | int] = []
+            out: list[str] = []
             for k, part in enumerate(self.specials.split(chunk)):
-                out += [self.special[part]] if k % 2 else self.words_of(part)
+                out += [part] if k % 2 else self.words_of(part)
             return out
         return self.words_of(chunk)
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b" ".join(self.text[ids].tolist())
+    def words_by_line(self, lines: str) -> list[str]:
+        """Words and special tokens of chunks, a line each, and a line end after each chunk."""
+        def odd(text: str) -> bool:
+            return "<|" in text or not text.isascii() and _ODD_NUMBER.search(text) is not None
+
+        # All lines at once: nothing matches or composes across lines.
+        if not odd(lines):
+            return _FAST.findall(unicodedata.normalize("NFC", lines).replace("Σ", "σ").lower())
+        out: list[str] = []
+        for alone, some in groupby(lines.split(LINE_END)[:-1], odd):
+            if alone:
+                for chunk in some:
+                    out += [*self.parts_of(chunk), LINE_END]
+            else:
+                out += self.words_of("".join([chunk + LINE_END for chunk in some]))
+        return out
 
+    def encode_parts(self, parts: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """Ids of words, special tokens and line ends, which have none."""
+        names = [LINE_END, *self.special]
+        ids = pa.array([b"", *[i.to_bytes(4, "little") for i in self.special.values()]], pa.large_binary())
+        which = pc.index_in(parts, pa.array(names, pa.large_string()))
+        return pc.coalesce(ids.take(which), self.encode_array(pc.if_else(which.is_valid(), pa.scalar("", pa.large_string()), parts)))
 
-def chunks(text: str) -> list[str]:
-    """A text's pieces between blanks; str.split would also split at 1C to 1F."""
-    if _SEPARATORS.search(text):
-        return [c for c in _BLANKS.split(text) if c]
-    return text.split()
+    def decode(self, ids: np.ndarray) -> bytes:
+        return b" ".join(self.text[ids].tolist())
 
 
 def vocabulary_json(path: str) -> str:
@@ -273,27 +300,42 @@ def vocabulary_json(path: str) -> str:
         return f.read()
 
 
+def _offsets(array: pa.Array) -> np.ndarray:
+    return np.frombuffer(array.buffers()[1], dtype=np.int64)[array.offset:array.offset + len(array) + 1]
+
+
+def _binary(offsets: np.ndarray, data: pa.Buffer | None) -> pa.LargeBinaryArray:
+    buffers = [None, pa.py_buffer(offsets), data or pa.py_buffer(b"")]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, buffers)
+
+
 class Known:
-    """Ids of chunks and words seen lately, in two generations: a full one ages,
-    and what is asked for again moves on to the next."""
+    """Words seen lately and their ids; when there are too many, only those asked for last stay."""
 
     def __init__(self):
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def missing(self, wanted: set[str]) -> list[str]:
-        """What neither generation has; the rest is young afterwards."""
-        new = wanted - self.young.keys()
-        if len(self.young) + len(new) > REMEMBERED:
-            self.old, self.young = self.young, {}
-            new = wanted
-        found = new & self.old.keys()
-        self.young.update(zip(found, map(self.old.__getitem__, found)))
-        return list(new - found)
+        self.words = pa.array([], pa.large_string())
+        self.ids = pa.array([], pa.large_binary())
+
+    def ids_of(self, words: pa.LargeStringArray,
+               learn: Callable[[pa.LargeStringArray], pa.LargeBinaryArray]) -> pa.LargeBinaryArray:
+        """Ids of different words; what is not known is learnt."""
+        at = pc.index_in(words, self.words)
+        new = words.filter(at.is_null())
+        found = self.ids
+        if len(new):
+            lacking = at.is_null().to_numpy(zero_copy_only=False)
+            at = at.fill_null(0).to_numpy().astype(np.int64)
+            at[lacking] = len(found) + np.arange(len(new))
+            found = pa.concat_arrays([found, learn(new)])
+        ids = found.take(pa.array(at))
+        if len(found) > REMEMBERED:
+            self.words, self.ids = words, ids
+        elif len(new):
+            self.words, self.ids = pa.concat_arrays([self.words, new]), found
+        return ids
 
 
 _VOCABULARIES: dict[int, Vocabulary] = {}
-_MARK = b"\xff\xff\xff\xff"   # not an id, and its bytes occur in no two ids
 
 
 def vocabulary(json_text: str) -> Vocabulary:
@@ -305,6 +347,22 @@ def vocabulary(json_text: str) -> Vocabulary:
     return _VOCABULARIES[name]
 
 
+def _joined_ids(strings: pa.LargeStringArray, ends: np.ndarray,
+                ids_of: Callable[[pa.LargeStringArray], pa.LargeBinaryArray]) -> pa.LargeBinaryArray:
+    """The ids of all the strings in a row, cut where so many strings end; each
+    different string is looked up once."""
+    coded = strings.dictionary_encode()
+    run = ids_of(coded.dictionary).take(coded.indices)
+    return _binary(_offsets(run)[np.concatenate([[0], ends])], run.buffers()[2])
+
+
+def _chunk_ids(vocab: Vocabulary, known: Known, chunks: pa.LargeStringArray) -> pa.LargeBinaryArray:
+    lines = "".join([chunk + LINE_END for chunk in chunks.to_pylist()])
+    words = pa.array(vocab.words_by_line(lines), pa.large_string())
+    ends = np.flatnonzero(pc.equal(words, LINE_END).to_numpy(zero_copy_only=False)) + 1
+    return _joined_ids(words, ends, lambda different: known.ids_of(different, vocab.encode_parts))
+
+
 def encoder(json_text: str):
     """A function from texts to their ids as little-endian 32-bit numbers.
 
@@ -313,36 +371,11 @@ def encoder(json_text: str):
     """
     vocab, known = vocabulary(json_text), Known()
 
-    def word_ids(words: set[str]) -> dict[str, bytes]:
-        """Ids of all the words; a word is also a chunk of its own."""
-        new = sorted(words - known.young.keys() - known.old.keys(), key=len)
-        ids = {w: known.young.get(w) or known.old.get(w) for w in words}
-        for lo in range(0, len(new), 16384):
-            part = new[lo:lo + 16384]
-            ids.update(zip(part, vocab.encode_words(part)))
-        return ids
-
-    def learn(new: list[str]) -> None:
-        odd = {c for c in new if "<|" in c or not c.isascii() and _ODD_NUMBER.search(c)}
-        plain = [c for c in new if c not in odd] if odd else new
-        if plain:
-            # All chunks at once, a line each: nothing matches or composes across lines.
-            words = vocab.words_of("\n".join(plain))
-            ids = word_ids(set(words) - {"\n"})
-            known.young.update(ids)
-            ids["\n"] = _MARK
-            known.young.update(zip(plain, b"".join(map(ids.__getitem__, words)).split(_MARK)))
-        for c in odd:
-            parts = vocab.parts_of(c)
-            ids = word_ids({p for p in parts if isinstance(p, str)})
-            known.young[c] = b"".join([ids[p] if isinstance(p, str) else p.to_bytes(4, "little") for p in parts])
-
     def encode(texts: list[str]) -> list[bytes]:
-        split = [chunks(t) for t in texts]
-        new = known.missing(set().union(*split))
-        if new:
-            learn(new)
-        return [b"".join(map(known.young.__getitem__, s)) for s in split]
+        # Chunks end at ASCII blanks; other blanks inside one are dropped as it is cut into words.
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        ends = split.offsets.to_numpy()[1:]
+        return _joined_ids(split.values, ends, lambda chunks: _chunk_ids(vocab, known, chunks)).to_pylist()
 
     return encode
 

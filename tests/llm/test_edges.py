@@ -1,10 +1,12 @@
 """Nulls, empty and long texts, repeated rows, empty tables, clashing columns."""
 
 import hashlib
+import sys
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from packlift.llm import bpe, chat, html_text, packing, phrases, pii, quality, secrets, simhash, toxicity
 from packlift.llm.queries import tokenizer_text
@@ -127,3 +129,32 @@ def test_an_encoder_keeps_its_texts_to_itself():
     assert first(["one two three"]) == second(["one two three"])
     remembered = [c.cell_contents for f in (first, second) for c in f.__closure__ if isinstance(c.cell_contents, bpe.Known)]
     assert len(remembered) == 2 and remembered[0] is not remembered[1]
+
+
+def test_encoding_costs_no_calls_per_chunk():
+    texts = [" ".join(f"{a}{b}{c}{d}." for c in "aeioux" for d in "rstlnm") for a in "bcdfghjk" for b in "lmnprstvw"] * 3
+    encode = bpe.encoder(VOCABULARY)
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        encode(texts)
+    finally:
+        sys.setprofile(None)
+    assert calls < sum(len(t.split()) for t in texts[:len(texts) // 3])
+
+
+def test_forgotten_words_and_mixed_chunks_encode_alike(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 5)
+    monkeypatch.setattr(bpe, "ROWS", 3)
+    tokenizer = Tokenizer.from_str(VOCABULARY)
+    texts = ["", "  ", "x" * 63 + " " + "é" * 32 + " " + "ab" * 33, "one,two;three <|endoftext|> ½x <|endoftext|>½ é<|startoftext|>'s",
+             "a　b½\xa0c 12² <| |>", *["qw" * n for n in range(1, 40)], "one,two;three", "\n\r\t\x0b\x0c", "<|endoftext|>"]
+    encode = bpe.encoder(VOCABULARY)
+    for part in (texts, texts[::-1], *([t] for t in texts)):
+        assert [np.frombuffer(d, dtype="<u4").tolist() for d in encode(part)] == [
+            tokenizer.encode(t, add_special_tokens=False).ids for t in part]
